@@ -89,6 +89,16 @@ def page_view_payload(pv: DataFrame) -> DataFrame:
         F.col("event_id").alias("offset"))
 
 
+def page_view_payload_stateless(pv: DataFrame) -> DataFrame:
+    """Page-view JSON records from the stateless adapter (stream-safe)."""
+    payload = F.to_json(F.struct(
+        F.unix_millis("ts").alias("ts"), "page", "auth", "method", "status", "level",
+        F.col("user_id").alias("userId"), "duration", "tag"))
+    return pv.select(payload.cast("binary").alias("value"), F.lit(S.PAGE_VIEW).alias("topic"),
+                     (F.col("user_id") % 5).cast("int").alias("partition"),
+                     F.col("event_id").alias("offset"))
+
+
 def decode_events(spark, sf):
     """Produce page-view JSON records, then decode them."""
     kafka = page_view_payload(A.page_views(spark, sf))

@@ -1,3 +1,169 @@
-"""Registered stream queries (filled in below)."""
-STREAM_QUERIES: dict = {}
-STREAM_SQL: dict = {}
+"""Registered stream queries: each runs a real Structured Streaming query
+(``availableNow``) over the driver tables into the shared checkpoint folder,
+then returns the written result as a batch DataFrame."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import schemas as S
+from ..operators import windows
+from ..plans import adapters as A
+from ..plans.oracle import SQL as BATCH_SQL
+from ..plans.oracle import pv_cte
+from ..session import scratch_path
+from ..sinks import writers
+from .jobs import events_stream, run_until_done
+from .stateful import auth_attempts_stream
+
+
+def _latest_per_key(df: DataFrame, keys: list[str], value_cols: list[str]) -> DataFrame:
+    """Update mode re-emits a key per batch: keep the row of the last batch."""
+    last = F.max_by(F.struct(*value_cols), F.col("batch_id"))
+    return df.groupBy(*keys).agg(last.alias("_v")).select(*keys, "_v.*")
+
+
+def stream_sliding_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Watermark 60 s, 60 s / 10 s windows, update mode into
+    an idempotent per-batch writer; the last version of each window wins."""
+    base = scratch_path(spark, "stream_sliding_count")
+    ev = windows.with_watermark(events_stream(spark, sf).select("ts"), "ts", "60 seconds")
+    agg = windows.sliding_count(ev, "ts", "60 seconds", "10 seconds")
+    q = writers.for_each_batch(agg, writers.idempotent_batch_writer(f"{base}/out"),
+                               f"{base}/ck", mode="update", trigger="availableNow")
+    run_until_done(q)
+    res = spark.read.parquet(f"{base}/out")
+    return windows.format_windows(_latest_per_key(res, ["window"], ["count"]), ["count"])
+
+
+def stream_tumbling_closed(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly tumbling counts, watermark 10 min, append mode into a
+    parquet file sink: only windows closed by the watermark are written."""
+    base = scratch_path(spark, "stream_tumbling_closed")
+    ev = windows.with_watermark(events_stream(spark, sf).select("ts"), "ts", "10 minutes")
+    agg = windows.tumbling_count(ev, "ts", "1 hour")
+    run_until_done(writers.write_stream(agg, f"{base}/out", f"{base}/ck", mode="append",
+                                        trigger="availableNow"))
+    return windows.format_windows(spark.read.parquet(f"{base}/out"), ["count"])
+
+
+def stream_sessions_closed(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-user session windows (30 min gap) on a stream, append mode."""
+    base = scratch_path(spark, "stream_sessions_closed")
+    ev = windows.with_watermark(events_stream(spark, sf).select("ts", "user_id"),
+                                "ts", "30 minutes")
+    agg = ev.groupBy(F.session_window("ts", "30 minutes").alias("s"), "user_id") \
+        .agg(F.count(F.lit(1)).alias("n_events"))
+    run_until_done(writers.write_stream(agg, f"{base}/out", f"{base}/ck", mode="append",
+                                        trigger="availableNow"))
+    r = spark.read.parquet(f"{base}/out")
+    return r.select("user_id", F.unix_micros("s.start").alias("session_start"),
+                    F.unix_micros("s.end").alias("session_end"), "n_events")
+
+
+def stream_distinct_users(spark: SparkSession, sf: str) -> DataFrame:
+    """F4 on a stream: de-duplicate (hour window, user) under the watermark,
+    then count per window (two chained stateful operators, append mode)."""
+    base = scratch_path(spark, "stream_distinct_users")
+    ev = windows.with_watermark(events_stream(spark, sf).select("ts", "user_id"),
+                                "ts", "10 minutes")
+    agg = windows.distinct_per_window(ev, "ts", "user_id", "1 hour", out="users")
+    run_until_done(writers.write_stream(agg, f"{base}/out", f"{base}/ck", mode="append",
+                                        trigger="availableNow"))
+    return windows.format_windows(spark.read.parquet(f"{base}/out"), ["users"])
+
+
+def stream_to_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Page-view JSON records decoded on a stream into a
+    catalog table partitioned by ``method`` (created from the schema
+    registry), then read back and counted per method and page."""
+    from ..plans.queries import page_view_payload_stateless
+    from .jobs import decoded_page_views
+    base = scratch_path(spark, "stream_to_table")
+    pv = A.page_view_columns(events_stream(spark, sf))
+    decoded = decoded_page_views(page_view_payload_stateless(pv))
+    name = writers.create_topic_table(spark, "eventide_stream",
+                                      "page_views_" + base.rsplit("/", 1)[-1][:12],
+                                      location=f"{base}/table")
+    cols = spark.table(name).columns
+    q = writers.to_table(decoded.select(*cols), name, f"{base}/ck", trigger="availableNow")
+    run_until_done(q)
+    t = spark.table(name)
+    return t.groupBy("method", "page").agg(F.count(F.lit(1)).alias("n"))
+
+
+def foreach_batch_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Events appended through the idempotent per-batch writer;
+    the same batch is then replayed once (as after a failure) and the result
+    still has each row once."""
+    base = scratch_path(spark, "foreach_batch_append")
+    writer = writers.idempotent_batch_writer(f"{base}/out")
+    seen = []
+
+    def write_twice(batch, batch_id):
+        writer(batch, batch_id)
+        if not seen:  # replay the first batch: overwrite, not duplicate
+            seen.append(batch_id)
+            writer(batch, batch_id)
+
+    ev = events_stream(spark, sf).select("event_id", "event_type")
+    run_until_done(writers.for_each_batch(ev, write_twice, f"{base}/ck", trigger="availableNow"))
+    r = spark.read.parquet(f"{base}/out")
+    return r.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"),
+                                       F.count_distinct("event_id").alias("n_distinct"))
+
+
+def stream_auth_attempts(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessionized page views (a table Spark derives from events) read
+    as a stream; the previous page is kept in per-session state."""
+    base = scratch_path(spark, "stream_auth_attempts")
+    pv = A.page_views(spark, sf).select("event_id", "ts", "session_id", "item_in_session",
+                                        "page", "status", "auth", "level", "user_id", "tag")
+    pv.write.parquet(f"{base}/pv")
+    src = spark.readStream.schema(pv.schema).parquet(f"{base}/pv")
+    src = src.withWatermark("ts", "30 minutes")
+    out = auth_attempts_stream(src, out_cols=["event_id", "ts", "session_id",
+                                              "item_in_session", "level", "user_id", "tag"])
+    run_until_done(writers.write_stream(out, f"{base}/out", f"{base}/ck", mode="append",
+                                        trigger="availableNow"))
+    r = spark.read.parquet(f"{base}/out")
+    return r.select("event_id", F.unix_micros("ts").alias("ts_us"), "session_id",
+                    "item_in_session", "level", "user_id", "tag", "success")
+
+
+STREAM_QUERIES = {
+    "stream_sliding_count": stream_sliding_count,
+    "stream_tumbling_closed": stream_tumbling_closed,
+    "stream_sessions_closed": stream_sessions_closed,
+    "stream_distinct_users": stream_distinct_users,
+    "stream_to_table": stream_to_table,
+    "foreach_batch_append": foreach_batch_append,
+    "stream_auth_attempts": stream_auth_attempts,
+}
+
+_CLOSED_HOUR = """
+SELECT strftime(make_timestamp(ws * 3600000000), '%Y-%m-%d %H:%M:%S') AS timestamp_minute,
+       CAST(ws * 3600 AS BIGINT) AS unix_timestamp, {agg}
+FROM (SELECT epoch_us(ts) // 3600000000 AS ws, user_id FROM events)
+GROUP BY ws
+HAVING (ws + 1) * 3600000000 <= (SELECT epoch_us(max(ts)) FROM events) - 600000000"""
+
+STREAM_SQL = {
+    "stream_sliding_count": BATCH_SQL["sliding_count"],
+    "stream_tumbling_closed": _CLOSED_HOUR.format(agg="count(*) AS count"),
+    "stream_distinct_users": _CLOSED_HOUR.format(agg="count(DISTINCT user_id) AS users"),
+    "stream_sessions_closed": f"""
+WITH {pv_cte()}
+SELECT user_id, epoch_us(min(ts)) AS session_start,
+       epoch_us(max(ts)) + 1800000000 AS session_end, count(*) AS n_events
+FROM pv GROUP BY user_id, session_id
+HAVING epoch_us(max(ts)) + 1800000000 <= (SELECT epoch_us(max(ts)) FROM events) - 1800000000""",
+    "stream_to_table": f"""
+WITH {pv_cte()}
+SELECT method, page, count(*) AS n FROM pv GROUP BY 1, 2""",
+    "foreach_batch_append": """
+SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS n_distinct
+FROM events GROUP BY 1""",
+    "stream_auth_attempts": BATCH_SQL["auth_attempts"],
+}
