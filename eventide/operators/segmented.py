@@ -55,6 +55,8 @@ class Scan:
     ``index``      0-based position of the row within its key
     ``sum_excl``   running sum of the value over earlier rows (0 for the first)
     ``sum_incl``   running sum including the row
+    ``index_of_last``  0-based position (within the key) of the last row at
+                   or before this one where the boolean ``value`` is true
     """
     kind: str
     value: str | Column | None
@@ -80,7 +82,8 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[S
     before = Window.unboundedPreceding
     ordkey = F.struct(*[F.col(c) for c in order])
 
-    need_rn = any(s.kind in ("lag", "lead") for s in scans)
+    need_rn = any(s.kind in ("lag", "lead", "index", "index_of_last") for s in scans)
+    need_before = any(s.kind in ("index", "index_of_last") for s in scans)
     need_cnt = any(s.kind == "lead" for s in scans)
 
     local = {}
@@ -103,8 +106,13 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[S
             summ_aggs.append(F.max_by(v, F.when(v.isNotNull(), ordkey)).alias(sv))
             carry[s.out] = F.last(F.col(sv), ignorenulls=True).over(sw.rowsBetween(before, -1))
         elif s.kind == "index":
-            local[s.out] = F.row_number().over(w) - 1
-            carry[s.out] = F.sum(F.col("_cnt")).over(sw.rowsBetween(before, -1))
+            local[s.out] = F.col("_rn") - 1
+        elif s.kind == "index_of_last":
+            pos = F.when(v, F.col("_rn") - 1)
+            local[s.out] = F.last(pos, ignorenulls=True).over(w.rowsBetween(before, 0))
+            summ_aggs.append(F.max(F.when(v, F.col("_rn") - 1)).alias(sv))
+            carry[s.out] = F.last(F.col(sv) + F.col("_before"), ignorenulls=True) \
+                .over(sw.rowsBetween(before, -1))
         elif s.kind in ("sum_excl", "sum_incl"):
             hi = -1 if s.kind == "sum_excl" else 0
             local[s.out] = F.sum(v).over(w.rowsBetween(before, hi))
@@ -118,12 +126,21 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[S
         extra.append(F.row_number().over(w).alias("_rn"))
     if need_cnt:
         extra.append(F.count(F.lit(1)).over(w_all).alias("_nb"))
-    loc = df.select("*", *extra, *[c.alias(f"_l_{o}") for o, c in local.items()])
+    # row number first (same window spec: no extra shuffle or sort), so the
+    # other local scans can use it
+    loc = df.select("*", *extra) if extra else df
+    loc = loc.select("*", *[c.alias(f"_l_{o}") for o, c in local.items()])
 
     # ``loc`` is already hash-partitioned on (keys, bucket): the summary
     # aggregate needs no shuffle, and its input exchange is reused
-    summ = loc.groupBy(*part).agg(F.count(F.lit(1)).alias("_cnt"), *summ_aggs).select(
+    summ = loc.groupBy(*part).agg(F.count(F.lit(1)).alias("_cnt"), *summ_aggs)
+    if need_before:
+        # rows of the key in earlier buckets (a window over the summary)
+        summ = summ.withColumn("_before", F.coalesce(
+            F.sum(F.col("_cnt")).over(sw.rowsBetween(before, -1)), F.lit(0)))
+    summ = summ.select(
         *[F.col(k).alias(f"_k_{k}") for k in part],
+        *([F.col("_before")] if need_before else []),
         *[c.alias(f"_c_{o}") for o, c in carry.items()])
 
     # plain equality keeps the join on the rows' existing partitioning (a
@@ -143,7 +160,9 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[S
         elif s.kind in ("last_excl", "last_incl"):
             e = F.coalesce(lc, cc)
         elif s.kind == "index":
-            e = lc + F.coalesce(cc, F.lit(0))
+            e = lc + F.col("_before")
+        elif s.kind == "index_of_last":
+            e = F.coalesce(lc + F.col("_before"), cc)
         else:
             e = F.coalesce(lc, F.lit(0)) + F.coalesce(cc, F.lit(0))
         outs.append(e.alias(s.out))

@@ -45,16 +45,15 @@ def sessionize(df: DataFrame, user_col: str = "user_id", ts_col: str = "ts",
     d = ordered_scan(d, [user_col], order, [Scan("lag", F.col(ts_col), "_prev_ts")])
     new = F.col("_prev_ts").isNull() | (
         (_us(ts_col) - _us("_prev_ts")) > F.lit(int(gap_seconds) * 1_000_000))
-    d = d.withColumn("_new", new)
+    d = d.select(*[c for c in d.columns if c != "_prev_ts"], new.alias("_new"))
     d = ordered_scan(d, [user_col], order, [
         Scan("last_incl", F.when(F.col("_new"), F.col(id_col)), session_col),
         Scan("index", None, "_uidx"),
+        Scan("index_of_last", F.col("_new"), "_start_idx"),
     ])
-    d = ordered_scan(d, [user_col], order, [
-        Scan("last_incl", F.when(F.col("_new"), F.col("_uidx")), "_start_idx")])
-    d = d.withColumn(item_col, (F.col("_uidx") - F.col("_start_idx")).cast("int"))
-    d = d.drop("_prev_ts", "_new", "_uidx", "_start_idx")
-    return d if keep_bucket else d.drop(BUCKET)
+    keep = [c for c in d.columns if c not in ("_new", "_uidx", "_start_idx")
+            and (keep_bucket or c != BUCKET)]
+    return d.select(*keep, (F.col("_uidx") - F.col("_start_idx")).cast("int").alias(item_col))
 
 
 def is_redirect(status_col: str = "status") -> Column:

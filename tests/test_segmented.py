@@ -29,6 +29,7 @@ def test_scans_match_windows(spark):
             Scan("last_excl", F.col("v"), "le"), Scan("last_incl", F.col("v"), "li"),
             Scan("index", None, "ix"), Scan("sum_excl", F.col("v"), "se"),
             Scan("sum_incl", F.col("v"), "si"),
+            Scan("index_of_last", F.coalesce(F.col("v") > 5, F.lit(False)), "iol"),
         ]).drop(BUCKET)
         w = Window.partitionBy("k").orderBy("t", "id")
         up = Window.unboundedPreceding
@@ -38,8 +39,11 @@ def test_scans_match_windows(spark):
             F.last("v", True).over(w.rowsBetween(up, 0)).alias("li"),
             (F.row_number().over(w) - 1).alias("ix"),
             F.coalesce(F.sum("v").over(w.rowsBetween(up, -1)), F.lit(0)).alias("se"),
-            F.coalesce(F.sum("v").over(w.rowsBetween(up, 0)), F.lit(0)).alias("si"))
-        cols = ["k", "id", "lag", "lead", "le", "li", "ix", "se", "si"]
+            F.coalesce(F.sum("v").over(w.rowsBetween(up, 0)), F.lit(0)).alias("si"),
+            F.row_number().over(w).alias("_rn"))
+        exp = exp.withColumn("iol", F.last(F.when(F.col("v") > 5, F.col("_rn") - 1), True)
+                             .over(w.rowsBetween(up, 0)))
+        cols = ["k", "id", "lag", "lead", "le", "li", "ix", "se", "si", "iol"]
         a = sorted(tuple(r) for r in got.select(*cols).collect())
         b = sorted(tuple(r) for r in exp.select(*cols).collect())
         assert a == b, width
