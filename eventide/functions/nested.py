@@ -53,10 +53,12 @@ def to_nested(df: DataFrame) -> DataFrame:
                            F.col(cols.get("song", "song")).alias("title"),
                            F.col(cols.get("duration", "duration")).cast("double").alias("duration"))) \
         if "song" in cols else F.lit(None).cast(S.SONG_PROPERTIES)
-    base = [c for c in ("ts", "sessionid", "level", "iteminsession", "page", "auth", "method",
-                        "status", "tag") if c in cols]
+    names = {"ts": "ts", "sessionid": "sessionId", "level": "level",
+             "iteminsession": "itemInSession", "page": "page", "auth": "auth",
+             "method": "method", "status": "status", "tag": "tag"}
+    base = [c for c in names if c in cols]
     return df.select(
-        *[F.col(cols[c]) for c in base],
+        *[F.col(cols[c]).alias(names[c]) for c in base],
         F.col(cols["userid"]).cast("long").alias("userId") if "userid" in cols
         else F.lit(None).cast("long").alias("userId"),
         detail_map(df, S.USER_DETAIL_KEYS).alias("userDetails"),
