@@ -268,3 +268,34 @@ WITH r AS ({SQL["prefix_weights"]}),
 k AS (SELECT c_custkey, (c_custkey * 7919) % (SELECT sum(CAST(p_size AS BIGINT)) FROM part) AS k
       FROM customer)
 SELECT c_custkey, p_partkey FROM k JOIN r ON k.k >= r.lo AND k.k < r.hi"""
+
+SQL["next_track"] = f"""
+WITH c AS ({SQL["listen_counts"]}),
+pairs AS (SELECT DISTINCT track_id, similar_id FROM ({SQL["similar_pairs"]})),
+w AS (SELECT p.track_id, p.similar_id AS next_track, c.count AS weight,
+             CAST(substr(p.similar_id, 3) AS BIGINT) AS ok
+      FROM pairs p JOIN c ON c.track_id = p.similar_id),
+r AS (SELECT track_id, next_track,
+             coalesce(sum(weight) OVER (PARTITION BY track_id ORDER BY ok
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lo,
+             sum(weight) OVER (PARTITION BY track_id ORDER BY ok ROWS UNBOUNDED PRECEDING) AS hi,
+             sum(weight) OVER (PARTITION BY track_id) AS tot
+      FROM w),
+t AS (SELECT DISTINCT track_id, tot FROM r),
+g AS (SELECT track_id AS next_track,
+             coalesce(sum(count) OVER (ORDER BY CAST(substr(track_id, 3) AS BIGINT)
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lo,
+             sum(count) OVER (ORDER BY CAST(substr(track_id, 3) AS BIGINT)
+                      ROWS UNBOUNDED PRECEDING) AS hi
+      FROM c),
+req AS (SELECT l_orderkey, l_linenumber, l_partkey, 'TR' || l_partkey AS track_id,
+               l_orderkey * 7919 + l_linenumber * 31 + l_partkey AS key FROM lineitem),
+a AS (SELECT req.*, t.tot FROM req LEFT JOIN t USING (track_id))
+SELECT a.l_orderkey, a.l_linenumber, a.track_id, r.next_track
+FROM a JOIN r ON r.track_id = a.track_id AND a.key % a.tot >= r.lo AND a.key % a.tot < r.hi
+WHERE a.tot IS NOT NULL
+UNION ALL
+SELECT a.l_orderkey, a.l_linenumber, a.track_id, g.next_track
+FROM a JOIN g ON a.key % (SELECT sum(count) FROM c) >= g.lo
+             AND a.key % (SELECT sum(count) FROM c) < g.hi
+WHERE a.tot IS NULL"""

@@ -337,6 +337,30 @@ def weighted_pick(spark, sf):
     return range_lookup(keys, "k", ranges, width).select("c_custkey", "p_partkey")
 
 
+def next_track(spark, sf):
+    """H5 F8: each order line asks for the track after its part's track:
+    drawn from that track's similar list (weighted by plays), or from all
+    played tracks when it has none. Draw key: (orderkey*7919 + line*31 +
+    partkey) mod total, so SQL can repeat it."""
+    from ..operators.sampling import next_items
+    num = lambda c: F.regexp_extract(F.col(c), r"TR(\d+)", 1).cast("long")
+    counts = listen_counts(spark, sf)
+    pairs = similar_pairs(spark, sf).select("track_id", "similar_id").distinct()
+    similar = pairs.join(counts.select(F.col("track_id").alias("similar_id"),
+                                       F.col("count").alias("weight")), "similar_id") \
+        .select("track_id", F.col("similar_id").alias("next_track"), "weight",
+                num("similar_id").alias("order_key"))
+    all_items = counts.select(F.col("track_id").alias("next_track"),
+                              F.col("count").alias("weight"), num("track_id").alias("order_key"))
+    li = A.table(spark, sf, "lineitem")
+    req = li.select("l_orderkey", "l_linenumber", "l_partkey",
+                    F.concat(F.lit("TR"), F.col("l_partkey").cast("string")).alias("track_id"))
+    key = (F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 31 + F.col("l_partkey"))
+    out = next_items(req, "track_id", lambda tot: F.pmod(key, tot), similar, all_items,
+                     out="next_track", bucket_width=256)
+    return out.select("l_orderkey", "l_linenumber", "track_id", "next_track")
+
+
 QUERIES = {
     "sliding_count": sliding_count,
     "tumbling_count": tumbling_count,
@@ -372,4 +396,5 @@ QUERIES = {
     "geo_dimension": geo_dimension,
     "prefix_weights": prefix_weights,
     "weighted_pick": weighted_pick,
+    "next_track": next_track,
 }

@@ -1,49 +1,73 @@
 """Previous page / login attempts on a stream.
 
 ``lag`` is not allowed on streams, so the redirect-aware previous page is
-kept in per-session state with ``applyInPandasWithState``. Each session's
-state is ``(last_page, last_previous, last_item, last_ts_ms)``; rows of a
-batch are processed in ``(ts, item)`` order and the state times out once the
-watermark passes the session gap, so state is bounded by open sessions.
-
-Rows of one session must arrive in order across batches (they do from a
-topic keyed by session); a row older than the stored last item is
-dropped.
+kept in state with ``applyInPandasWithState``. State is kept per user (a
+user's sessions follow each other in time), holding
+``(session, last_page, last_previous, last_item, last_ts_ms)``; rows of a
+batch are processed in ``(ts, session, item)`` order and the state times out
+once the watermark passes the session gap, so it is bounded by active users.
+Keying by user instead of by session cuts the number of Python group calls
+per batch to the number of active users.
+
+Rows of a user must arrive in time order across batches (a topic keyed by
+user gives that); a row not newer than the stored last row is dropped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 LOGIN = "Login"
-STATE_SCHEMA = "last_page string, last_prev string, last_item long, last_ts_ms long"
+STATE_SCHEMA = ("session long, last_page string, last_prev string, last_item long, "
+                "last_ts_ms long")
 
 
 def previous_pages(pdf: pd.DataFrame, page_col: str, status_col: str,
-                   last_page: str | None, last_prev: str | None) -> pd.Series:
-    """Vectorised rule for one session's ordered rows, continuing from the
-    state: a non-redirect row's previous page is the page before it; a
-    redirect (300..398) keeps the previous page of the row before it."""
+                   last_page: str | None, last_prev: str | None,
+                   session_col: str | None = None, state_session=None) -> pd.Series:
+    """Vectorised rule for ordered rows, continuing from the state.
+
+    In a session, a non-redirect row's previous page is the page before it;
+    a redirect (300..398) keeps the previous page of the row before it; the
+    first row of a session has none.
+    """
+    n = len(pdf)
     pages = pdf[page_col].astype(object).reset_index(drop=True)
+    redirect = pdf[status_col].reset_index(drop=True).between(300, 398) \
+        .fillna(False).to_numpy(dtype=bool)
+    if session_col is not None:
+        sess = pdf[session_col].reset_index(drop=True)
+        new_sess = (sess != sess.shift(1)).to_numpy(dtype=bool)
+        new_sess[0] = state_session is None or sess.iloc[0] != state_session
+    else:
+        new_sess = np.zeros(n, dtype=bool)
+        new_sess[0] = last_page is None and last_prev is None
     before = pages.shift(1).astype(object)
-    before.iloc[0] = last_page
-    non_redirect = ~pdf[status_col].reset_index(drop=True).between(300, 398).fillna(False)
-    # rows from one non-redirect row up to the next share its previous page
-    grp = non_redirect.cumsum()
-    anchor = dict(zip(grp[non_redirect], before[non_redirect]))
-    out = grp.map(anchor).astype(object)
-    out[grp == 0] = last_prev
-    return out.where(out.notna(), None)
+    before[new_sess] = None
+    if not new_sess[0]:
+        before.iloc[0] = last_page
+    # anchors: non-redirect rows and session starts; a redirect takes the
+    # value of the anchor before it
+    anchor = ~redirect | new_sess
+    anchor[0] = True
+    value = before.where(~redirect, None)
+    if redirect[0] and not new_sess[0]:
+        value.iloc[0] = last_prev
+    grp = np.cumsum(anchor) - 1
+    vals = value[anchor].to_numpy(dtype=object)
+    return pd.Series(vals[grp], dtype=object)
 
 
 def auth_attempts_stream(page_views: DataFrame, session_col: str = "session_id",
                          ts_col: str = "ts", item_col: str = "item_in_session",
                          page_col: str = "page", status_col: str = "status",
-                         auth_col: str = "auth", gap: str = "30 minutes",
+                         auth_col: str = "auth", user_col: str = "user_id",
+                         gap: str = "30 minutes",
                          out_cols: list[str] | None = None) -> DataFrame:
     """J6 + D3: login attempts from a page-view stream.
 
@@ -63,27 +87,29 @@ def auth_attempts_stream(page_views: DataFrame, session_col: str = "session_id",
             return
         pdf = pd.concat(list(pdfs), ignore_index=True)
         if state.exists:
-            last_page, last_prev, last_item, last_ts = state.get
+            sess, last_page, last_prev, last_item, last_ts = state.get
         else:
-            last_page, last_prev, last_item, last_ts = None, None, -1, None
-        pdf = pdf.sort_values([ts_col, item_col], kind="stable")
-        pdf = pdf[pdf[item_col] > last_item].reset_index(drop=True)
+            sess, last_page, last_prev, last_item, last_ts = None, None, None, -1, None
+        pdf = pdf.sort_values([ts_col, session_col, item_col], kind="stable")
+        ts_ms = pd.to_datetime(pdf[ts_col], utc=True).astype("int64") // 1_000_000
+        if last_ts is not None:
+            keep = (ts_ms > last_ts) | ((ts_ms == last_ts) & (pdf[item_col] > last_item))
+            pdf, ts_ms = pdf[keep], ts_ms[keep]
         if len(pdf) == 0:
             return
-        prev = previous_pages(pdf, page_col, status_col, last_page, last_prev)
+        prev = previous_pages(pdf, page_col, status_col, last_page, last_prev,
+                              session_col, sess)
+        pdf = pdf.reset_index(drop=True)
+        state.update((int(pdf[session_col].iloc[-1]), pdf[page_col].iloc[-1], prev.iloc[-1],
+                      int(pdf[item_col].iloc[-1]), int(ts_ms.iloc[-1])))
+        state.setTimeoutTimestamp(int(ts_ms.iloc[-1]) + gap_ms)
         hit = (prev == LOGIN).to_numpy()
-        ts_ms = pd.to_datetime(pdf[ts_col]).astype("int64") // 1_000_000 \
-            if str(pdf[ts_col].dtype).startswith("datetime") else pdf[ts_col]
-        new_last_ts = int(ts_ms.iloc[-1])
-        state.update((pdf[page_col].iloc[-1], prev.iloc[-1],
-                      int(pdf[item_col].iloc[-1]), new_last_ts))
-        state.setTimeoutTimestamp(new_last_ts + gap_ms)
         if hit.any():
             res = pdf.loc[hit, out_cols].copy()
             res["success"] = (pdf.loc[hit, auth_col] == "Logged In").to_numpy()
             yield res
 
-    return page_views.groupBy(session_col).applyInPandasWithState(
+    return page_views.groupBy(user_col).applyInPandasWithState(
         step, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
 
