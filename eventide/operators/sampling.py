@@ -39,22 +39,34 @@ def seeded_key(key: Column, total: Column, seed: int = 0) -> Column:
 
 
 def range_lookup(keys: DataFrame, k_col: str, ranges: DataFrame,
-                 width: Column | int, group: list[str] | None = None) -> DataFrame:
+                 width: Column | int | str, group: list[str] | None = None) -> DataFrame:
     """Join each key ``k`` to the range with ``lo <= k < hi``.
 
     Both sides get a bucket ``floor(x / width)``; a range is copied into each
     bucket it overlaps (at most ``weight / width + 2``). The join is then an
-    equi-join on (group, bucket) plus the range filter, which Spark can
-    shuffle or broadcast by size; a hot bucket is split by AQE's skew join.
+    equi-join on (group, bucket) plus the range filter. ``width`` is a
+    number, a scalar column, or the name of a per-group column present on
+    both sides. The copied side is never broadcast on a static estimate (its
+    size after the copy is not known from the files): the join is
+    sort-merge, and AQE may still switch it to a broadcast from measured
+    sizes or split a hot bucket with its skew join.
     """
     group = group or []
-    w = F.lit(width) if isinstance(width, int) else width
+    if isinstance(width, int):
+        w_r = w_k = F.lit(width)
+    elif isinstance(width, str):
+        w_r = w_k = F.col(width)
+    else:
+        w_r = w_k = width
     r = ranges.where(F.col("hi") > F.col("lo")).withColumn(
-        "_b", F.explode(F.sequence(F.floor(F.col("lo") / w).cast("long"),
-                                   F.floor((F.col("hi") - 1) / w).cast("long"))))
-    k = keys.withColumn("_b", F.floor(F.col(k_col) / w).cast("long"))
+        "_b", F.explode(F.sequence(F.floor(F.col("lo") / w_r).cast("long"),
+                                   F.floor((F.col("hi") - 1) / w_r).cast("long"))))
+    k = keys.withColumn("_b", F.floor(F.col(k_col) / w_k).cast("long"))
     on = [*group, "_b"]
-    j = k.join(r, on, "inner").where((F.col(k_col) >= F.col("lo")) & (F.col(k_col) < F.col("hi")))
+    if isinstance(width, str):
+        r = r.drop(width)
+    j = k.join(r.hint("merge"), on, "inner") \
+        .where((F.col(k_col) >= F.col("lo")) & (F.col(k_col) < F.col("hi")))
     return j.drop("_b")
 
 
@@ -83,12 +95,18 @@ def next_items(requests: DataFrame, item_col: str, k_expr, similar: DataFrame,
     bucketed range joins; the per-item ranges come from a two-level prefix
     sum keyed by item, so a hot item is split by its order buckets.
     """
+    totals = similar.groupBy(item_col).agg(
+        F.sum(F.col(weight_col).cast("long")).alias("_tot"),
+        F.count(F.lit(1)).alias("_n"))
+    # a bucket width per item (its total over its list length) keeps the
+    # copied ranges within about three times the list length
+    totals = totals.withColumn("_w", F.greatest(F.lit(1).cast("long"),
+                                                F.ceil(F.col("_tot") / F.col("_n")).cast("long")))
     sim = prefix_ranges(similar, weight_col, order_col, keys=[item_col], bucket_width=bucket_width)
-    totals = similar.groupBy(item_col).agg(F.sum(F.col(weight_col).cast("long")).alias("_tot"))
+    sim = sim.join(totals.select(item_col, "_w"), item_col)
     req = requests.join(totals, item_col, "left")
     with_sim = req.where(F.col("_tot").isNotNull()).withColumn("_k", k_expr(F.col("_tot")))
-    # a width per item: its total over its list length keeps the copies small
-    hit = range_lookup(with_sim, "_k", sim.select(item_col, out, "lo", "hi"), 64,
+    hit = range_lookup(with_sim, "_k", sim.select(item_col, out, "lo", "hi", "_w"), "_w",
                        group=[item_col])
     glob = prefix_ranges(all_items, weight_col, order_col, bucket_width=bucket_width)
     total = total_weight(all_items, weight_col)

@@ -343,13 +343,17 @@ def next_track(spark, sf):
     played tracks when it has none. Draw key: (orderkey*7919 + line*31 +
     partkey) mod total, so SQL can repeat it."""
     from ..operators.sampling import next_items
+    from ..session import materialize
     num = lambda c: F.regexp_extract(F.col(c), r"TR(\d+)", 1).cast("long")
-    counts = listen_counts(spark, sf)
+    # the two reference tables are built once and read back (they are used
+    # by several branches of the plan)
+    counts = materialize(listen_counts(spark, sf), "listen_counts")
     pairs = similar_pairs(spark, sf).select("track_id", "similar_id").distinct()
     similar = pairs.join(counts.select(F.col("track_id").alias("similar_id"),
                                        F.col("count").alias("weight")), "similar_id") \
         .select("track_id", F.col("similar_id").alias("next_track"), "weight",
                 num("similar_id").alias("order_key"))
+    similar = materialize(similar, "similar_lists")
     all_items = counts.select(F.col("track_id").alias("next_track"),
                               F.col("count").alias("weight"), num("track_id").alias("order_key"))
     li = A.table(spark, sf, "lineitem")

@@ -89,3 +89,13 @@ def local_path(path: str) -> str:
 def ensure_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     os.environ.setdefault("TZ", "UTC")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: cuts the lineage (a lost executor re-reads files instead of
+    recomputing the plan) and lets a table used several times be computed
+    once. Never a machine-local folder on a cluster."""
+    path = scratch_path(df.sparkSession, "tables", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
