@@ -69,7 +69,7 @@ def listen_count_file(spark: SparkSession, sf: str) -> DataFrame:
     out = counts.join(part, size == F.col("_k")).select(
         "track_id", "artist", "title",
         F.when(F.col("p_size") % 3 != 0, F.col("duration")).alias("duration"), "count")
-    out.write.option("sep", "\t").option("compression", "gzip").csv(f"{base}/listen_counts")
+    writers.write_tsv(out, f"{base}/listen_counts", compression="gzip")
     return files.read_listen_counts(spark, f"{base}/listen_counts")
 
 

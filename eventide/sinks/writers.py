@@ -71,6 +71,20 @@ def idempotent_batch_writer(path: str, fmt: str = "parquet", options: dict | Non
     return write
 
 
+def connector_batch_writer(fmt: str, options: dict | None = None, mode: str = "append"
+                           ) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` callback for a connector addressed by options
+    (a warehouse table, a key-value store table with ``keyspace``/``ttl``).
+    Put the batch id in the rows (``batch_id`` column) and key the target on
+    it when the connector can upsert, so a replay is not counted twice."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        w = batch.withColumn("batch_id", F.lit(batch_id)).write.format(fmt).mode(mode)
+        for k, v in (options or {}).items():
+            w = w.option(k, v)
+        w.save()
+    return write
+
+
 def snapshot_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
     """Each micro-batch replaces the whole output (latest snapshot)."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -141,11 +155,16 @@ def memory(df: DataFrame, name: str, mode: str = "update") -> StreamingQuery:
         .trigger(availableNow=True).start()
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """B11 (C16): tab-separated text, tabs inside values replaced by spaces."""
+def write_tsv(df: DataFrame, path: str, mode: str = "overwrite",
+              compression: str | None = None) -> None:
+    """B11 (C16): tab-separated text, tabs inside values replaced by spaces;
+    ``compression="gzip"`` for B12."""
     out = df.select(*[F.replace(F.col(c).cast("string"), F.lit("\t"), F.lit("     ")).alias(c)
                       for c in df.columns])
-    out.write.mode(mode).options(sep="\t", quote="", escape="").csv(path)
+    w = out.write.mode(mode).options(sep="\t", quote="", escape="")
+    if compression:
+        w = w.option("compression", compression)
+    w.csv(path)
 
 
 def write_gzip_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
