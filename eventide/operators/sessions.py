@@ -10,7 +10,7 @@ a value from another session is discarded. That keeps all scans on the same
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .segmented import BUCKET, Scan, add_time_bucket, ordered_scan
@@ -42,18 +42,55 @@ def sessionize(df: DataFrame, user_col: str = "user_id", ts_col: str = "ts",
     """
     order = [ts_col, id_col]
     d = df if BUCKET in df.columns else add_time_bucket(df, ts_col, bucket_seconds)
-    d = ordered_scan(d, [user_col], order, [Scan("lag", F.col(ts_col), "_prev_ts")])
-    new = F.col("_prev_ts").isNull() | (
-        (_us(ts_col) - _us("_prev_ts")) > F.lit(int(gap_seconds) * 1_000_000))
-    d = d.select(*[c for c in d.columns if c != "_prev_ts"], new.alias("_new"))
-    d = ordered_scan(d, [user_col], order, [
-        Scan("last_incl", F.when(F.col("_new"), F.col(id_col)), session_col),
-        Scan("index", None, "_uidx"),
-        Scan("index_of_last", F.col("_new"), "_start_idx"),
-    ])
-    keep = [c for c in d.columns if c not in ("_new", "_uidx", "_start_idx")
-            and (keep_bucket or c != BUCKET)]
-    return d.select(*keep, (F.col("_uidx") - F.col("_start_idx")).cast("int").alias(item_col))
+    part = [user_col, BUCKET]
+    w = Window.partitionBy(*part).orderBy(*order)
+    sw = Window.partitionBy(user_col).orderBy(BUCKET)
+    up = Window.unboundedPreceding
+    gap_us = F.lit(int(gap_seconds) * 1_000_000)
+    ts, rid = F.col(ts_col), F.col(id_col)
+
+    # local pass: a row after the first of its bucket starts a session when
+    # the gap to the row before is larger than the gap; the first row's
+    # status needs the previous bucket (from the summary below)
+    loc = d.select("*", F.row_number().over(w).alias("_rn"), F.lag(ts).over(w).alias("_lts"))
+    loc = loc.select("*", ((F.col("_rn") > 1) & ((_us(ts) - _us("_lts")) > gap_us)).alias("_nl"))
+    loc = loc.select(
+        "*",
+        F.last(F.when(F.col("_nl"), rid), ignorenulls=True)
+        .over(w.rowsBetween(up, 0)).alias("_sid_l"),
+        F.last(F.when(F.col("_nl"), F.col("_rn")), ignorenulls=True)
+        .over(w.rowsBetween(up, 0)).alias("_srn_l"))
+
+    # one summary row per (user, bucket)
+    summ = loc.groupBy(*part).agg(
+        F.min(ts).alias("_fts"), F.max(ts).alias("_lts_b"),
+        F.min_by(rid, F.col("_rn")).alias("_fid"), F.count(F.lit(1)).alias("_cnt"),
+        F.max_by(rid, F.when(F.col("_nl"), F.col("_rn"))).alias("_lsid"),
+        F.max(F.when(F.col("_nl"), F.col("_rn"))).alias("_lsrn"))
+    summ = summ.select(
+        "*", F.lag("_lts_b").over(sw).alias("_plts"),
+        F.coalesce(F.sum("_cnt").over(sw.rowsBetween(up, -1)), F.lit(0)).alias("_before"))
+    first_new = F.col("_plts").isNull() | ((_us("_fts") - _us("_plts")) > gap_us)
+    summ = summ.select(
+        *part, "_fid", "_before", first_new.alias("_fnew"),
+        # session open at the end of the bucket, and its start position
+        F.coalesce(F.col("_lsid"), F.when(first_new, F.col("_fid"))).alias("_xid"),
+        F.coalesce(F.col("_lsrn") - 1 + F.col("_before"),
+                   F.when(first_new, F.col("_before"))).alias("_xidx"))
+    carry = sw.rowsBetween(up, -1)
+    summ = summ.select(
+        *[F.col(k).alias(f"_k_{k}") for k in part], "_before",
+        F.when(F.col("_fnew"), F.col("_fid"))
+        .otherwise(F.last("_xid", ignorenulls=True).over(carry)).alias("_eid"),
+        F.when(F.col("_fnew"), F.col("_before"))
+        .otherwise(F.last("_xidx", ignorenulls=True).over(carry)).alias("_eidx"))
+
+    j = loc.join(summ, [loc[k] == summ[f"_k_{k}"] for k in part], "left")
+    uidx = F.col("_rn") - 1 + F.col("_before")
+    start = F.coalesce(F.col("_srn_l") - 1 + F.col("_before"), F.col("_eidx"))
+    keep = [c for c in d.columns if keep_bucket or c != BUCKET]
+    return j.select(*keep, F.coalesce(F.col("_sid_l"), F.col("_eid")).alias(session_col),
+                    (uidx - start).cast("int").alias(item_col))
 
 
 def is_redirect(status_col: str = "status") -> Column:
@@ -61,11 +98,15 @@ def is_redirect(status_col: str = "status") -> Column:
     return F.col(status_col).between(300, 398)
 
 
+ALL_NEIGHBOURS = ("prev_ts", "next_ts", "next_page", "previous_page")
+
+
 def in_session_neighbours(df: DataFrame, user_col: str, session_col: str,
                           order: list[str], ts_col: str, page_col: str | None = None,
                           status_col: str | None = None, bucket_seconds: int = DAY,
-                          keep_bucket: bool = False) -> DataFrame:
-    """One scan pass that adds, inside the session:
+                          keep_bucket: bool = False,
+                          want: tuple[str, ...] = ALL_NEIGHBOURS) -> DataFrame:
+    """Add, inside the session (only the columns named in ``want``):
 
     * ``prev_ts`` / ``next_ts`` - event time of the neighbouring events;
     * ``next_page`` - page of the next event (null for the last);
@@ -76,31 +117,67 @@ def in_session_neighbours(df: DataFrame, user_col: str, session_col: str,
     """
     d = df if BUCKET in df.columns else add_time_bucket(df, ts_col, bucket_seconds)
     s = F.col(session_col)
-    scans = [
-        Scan("lag", F.struct(s.alias("s"), F.col(ts_col).alias("v")), "_p_ts"),
-        Scan("lead", F.struct(s.alias("s"), F.col(ts_col).alias("v")), "_n_ts"),
-    ]
-    if page_col:
-        scans += [Scan("lag", F.struct(s.alias("s"), F.col(page_col).alias("v")), "_p_pg"),
-                  Scan("lead", F.struct(s.alias("s"), F.col(page_col).alias("v")), "_n_pg")]
-    d = ordered_scan(d, [user_col], order, scans)
-    d = d.withColumn("prev_ts", _same_session("_p_ts", session_col, "v")) \
-         .withColumn("next_ts", _same_session("_n_ts", session_col, "v"))
-    drop = ["_p_ts", "_n_ts"]
-    if page_col:
-        d = d.withColumn("next_page", _same_session("_n_pg", session_col, "v"))
-        lag_page = _same_session("_p_pg", session_col, "v")
-        red = is_redirect(status_col) if status_col else F.lit(False)
-        # c = page before a non-redirect event; a redirect contributes nothing
-        c = F.when(~F.coalesce(red, F.lit(False)), lag_page)
-        d = d.withColumn("_c", F.when(c.isNotNull(), F.struct(s.alias("s"), c.alias("v"))))
-        d = ordered_scan(d, [user_col], order, [Scan("last_incl", F.col("_c"), "_pp")])
-        d = d.withColumn("previous_page", _same_session("_pp", session_col, "v"))
-        drop += ["_p_pg", "_n_pg", "_c", "_pp"]
-    d = d.drop(*drop)
+    scans = []
+    if "prev_ts" in want:
+        scans.append(Scan("lag", F.struct(s.alias("s"), F.col(ts_col).alias("v")), "_p_ts"))
+    if "next_ts" in want:
+        scans.append(Scan("lead", F.struct(s.alias("s"), F.col(ts_col).alias("v")), "_n_ts"))
+    if "next_page" in want and page_col:
+        scans.append(Scan("lead", F.struct(s.alias("s"), F.col(page_col).alias("v")), "_n_pg"))
+    if scans:
+        d = ordered_scan(d, [user_col], order, scans)
+        adds = {"_p_ts": "prev_ts", "_n_ts": "next_ts", "_n_pg": "next_page"}
+        d = d.select(*[c for c in d.columns if c not in adds],
+                     *[_same_session(c, session_col, "v").alias(o)
+                       for c, o in adds.items() if c in d.columns])
+    if "previous_page" in want and page_col:
+        d = _previous_page_pass(d, user_col, session_col, order, page_col, status_col)
     return d if keep_bucket else d.drop(BUCKET)
 
 
+def _previous_page_pass(d: DataFrame, user_col: str, session_col: str, order: list[str],
+                        page_col: str, status_col: str | None) -> DataFrame:
+    """G1 in one pass over rows partitioned by (user, bucket).
+
+    Every non-redirect row is an anchor holding the page before it (when that
+    row is in the same session); a row's previous page is the last anchor at
+    or before it. Inside a bucket that is a running last-non-null; the first
+    row of a bucket takes the previous bucket's last page from the summary,
+    and buckets without an anchor take the last anchor of earlier buckets (a
+    window over one summary row per bucket). Values carry their session id,
+    so nothing leaks across sessions.
+    """
+    part = [user_col, BUCKET]
+    w = Window.partitionBy(*part).orderBy(*order)
+    sw = Window.partitionBy(user_col).orderBy(BUCKET)
+    up = Window.unboundedPreceding
+    s = F.col(session_col)
+    red = F.coalesce(is_redirect(status_col), F.lit(False)) if status_col else F.lit(False)
+    sp = F.struct(s.alias("s"), F.col(page_col).alias("v"))
+    loc = d.select("*", F.row_number().over(w).alias("_rn"), F.lag(sp).over(w).alias("_lp"),
+                   red.alias("_red"))
+    c = F.when(~F.col("_red") & (F.col("_lp.s") == s),
+               F.struct(s.alias("s"), F.col("_lp.v").alias("v")))
+    loc = loc.select("*", c.alias("_c"))
+    loc = loc.select("*", F.last("_c", ignorenulls=True).over(w.rowsBetween(up, 0)).alias("_lc"))
+
+    summ = loc.groupBy(*part).agg(
+        F.max_by(sp, F.col("_rn")).alias("_last"),
+        F.min_by(F.struct(s.alias("s"), F.col("_red").alias("red")), F.col("_rn")).alias("_first"),
+        F.max_by(F.col("_c"), F.when(F.col("_c").isNotNull(), F.col("_rn"))).alias("_lastc"))
+    summ = summ.withColumn("_prev_last", F.lag("_last").over(sw))
+    c_first = F.when(~F.col("_first.red") & (F.col("_prev_last.s") == F.col("_first.s")),
+                     F.struct(F.col("_first.s").alias("s"), F.col("_prev_last.v").alias("v")))
+    summ = summ.select(*part, c_first.alias("_cf"),
+                       F.coalesce(F.col("_lastc"), c_first).alias("_bl"))
+    summ = summ.select(*[F.col(k).alias(f"_k_{k}") for k in part], "_cf",
+                       F.last("_bl", ignorenulls=True).over(sw.rowsBetween(up, -1)).alias("_carry"))
+    j = loc.join(summ, [loc[k] == summ[f"_k_{k}"] for k in part], "left")
+    anchor = F.coalesce(F.col("_lc"), F.col("_cf"), F.col("_carry"))
+    prev = F.when(anchor["s"] == s, anchor["v"]).alias("previous_page")
+    return j.select(*[F.col(c) for c in d.columns], prev)
+
+
 def previous_page(df: DataFrame, session_col: str = "sessionid",
                   order: list[str] | None = None, ts_col: str = "ts_timestamp",
                   page_col: str = "page", status_col: str = "status",
@@ -108,9 +185,9 @@ def previous_page(df: DataFrame, session_col: str = "sessionid",
     """G1 on a decoded page-view table (keyed by session, or by user when
     given so the scan shares the user's partitioning)."""
     order = order or [ts_col, "iteminsession"]
-    d = in_session_neighbours(df, user_col or session_col, session_col, order, ts_col,
-                              page_col, status_col, bucket_seconds)
-    return d.drop("prev_ts", "next_ts", "next_page")
+    return in_session_neighbours(df, user_col or session_col, session_col, order, ts_col,
+                                 page_col, status_col, bucket_seconds,
+                                 want=("previous_page",))
 
 
 def session_summary(df: DataFrame, session_col: str = "session_id", ts_col: str = "ts",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sessions import in_session_neighbours, sessionize
+from ..operators.sessions import ALL_NEIGHBOURS, in_session_neighbours, sessionize
 from ..operators.segmented import BUCKET
 
 # fixed values: event_type -> page of the adapter
@@ -57,13 +57,16 @@ def page_view_columns(ev: DataFrame) -> DataFrame:
 
 
 def page_views(spark: SparkSession, sf_dir: str, gap_seconds: int = 1800,
-               neighbours: bool = False, keep_bucket: bool = False) -> DataFrame:
+               neighbours: bool | tuple[str, ...] = False,
+               keep_bucket: bool = False) -> DataFrame:
     """Page views with ``session_id`` (first event id of the session) and
     ``item_in_session``; with ``neighbours`` also ``prev_ts, next_ts,
     next_page, previous_page`` inside the session."""
     pv = sessionize(page_view_columns(events(spark, sf_dir)), gap_seconds=gap_seconds,
                     keep_bucket=True)
     if neighbours:
+        want = neighbours if isinstance(neighbours, tuple) else ALL_NEIGHBOURS
         pv = in_session_neighbours(pv, "user_id", "session_id", ["ts", "event_id"], "ts",
-                                   page_col="page", status_col="status", keep_bucket=True)
+                                   page_col="page", status_col="status", keep_bucket=True,
+                                   want=want)
     return pv if keep_bucket else pv.drop(BUCKET)

@@ -124,7 +124,7 @@ def status_changes(spark, sf):
 
 
 def auth_attempts(spark, sf):
-    pv = A.page_views(spark, sf, neighbours=True)
+    pv = A.page_views(spark, sf, neighbours=("previous_page",))
     a = routing.auth_attempts(pv)
     return a.select("event_id", us("ts").alias("ts_us"), "session_id", "item_in_session",
                     "level", "user_id", "tag", "success")
@@ -161,7 +161,7 @@ def ordered_events(spark, sf):
 # --- sessions -----------------------------------------------------------------
 
 def previous_page(spark, sf):
-    pv = A.page_views(spark, sf, gap_seconds=12 * HOUR, neighbours=True)
+    pv = A.page_views(spark, sf, gap_seconds=12 * HOUR, neighbours=("previous_page",))
     return pv.select("event_id", "session_id", "page", "status", "previous_page")
 
 
@@ -184,13 +184,13 @@ def session_summary(spark, sf):
 
 
 def transition_matrix(spark, sf):
-    pv = A.page_views(spark, sf, gap_seconds=12 * HOUR, neighbours=True)
+    pv = A.page_views(spark, sf, gap_seconds=12 * HOUR, neighbours=("next_page",))
     t = sessions.transition_matrix(pv)
     return t.select("source", "dest", "n", F.round("p", 9).alias("p"))
 
 
 def event_gaps(spark, sf):
-    pv = A.page_views(spark, sf, gap_seconds=12 * HOUR, neighbours=True)
+    pv = A.page_views(spark, sf, gap_seconds=12 * HOUR, neighbours=("prev_ts",))
     g = sessions.event_gaps(pv)
     return g.select("user_id", F.round("mean_event_gap_s", 3).alias("mean_event_gap_s"), "n_gaps")
 
@@ -204,7 +204,7 @@ def session_gaps(spark, sf):
 
 
 def play_through(spark, sf):
-    pv = A.page_views(spark, sf, gap_seconds=12 * HOUR, neighbours=True)
+    pv = A.page_views(spark, sf, gap_seconds=12 * HOUR, neighbours=("next_ts",))
     return sessions.play_through(pv).select("event_id", "session_id", "played_through")
 
 

@@ -72,3 +72,27 @@ def test_range_lookup_brute_force(spark):
             k = (j * 7919) % total
             exp[j] = next(r.item for r in rows if r.lo <= k < r.hi)
         assert got == exp, width
+
+
+def test_sessionize_matches_plain_window_any_bucket(spark):
+    import datetime as dt
+    from eventide.operators.sessions import sessionize
+    rnd = random.Random(11)
+    rows, t = [], {}
+    for i in range(2500):
+        u = 0 if rnd.random() < 0.35 else rnd.randint(1, 15)     # user 0 is hot
+        t[u] = t.get(u, 0) + rnd.choice([1, 5, 30, 200, 1800, 1801, 5000])
+        rows.append((u, i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=t[u])))
+    df = spark.createDataFrame(rows, "user_id long, event_id long, ts timestamp")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    gap = F.unix_seconds("ts") - F.unix_seconds(F.lag("ts").over(w))
+    ref = df.withColumn("_n", F.when(gap.isNull() | (gap > 1800), 1).otherwise(0)) \
+        .withColumn("_g", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ws = Window.partitionBy("user_id", "_g").orderBy("ts", "event_id")
+    ref = ref.select("event_id", F.first("event_id").over(ws).alias("sid"),
+                     (F.row_number().over(ws) - 1).alias("item"))
+    exp = sorted(tuple(r) for r in ref.collect())
+    for width in (1, 7, 600, 86400):
+        got = sessionize(df, bucket_seconds=width).select("event_id", "session_id",
+                                                          "item_in_session")
+        assert sorted(tuple(r) for r in got.collect()) == exp, width
