@@ -299,3 +299,15 @@ SELECT a.l_orderkey, a.l_linenumber, a.track_id, g.next_track
 FROM a JOIN g ON a.key % (SELECT sum(count) FROM c) >= g.lo
              AND a.key % (SELECT sum(count) FROM c) < g.hi
 WHERE a.tot IS NULL"""
+
+SQL["decode_all_topics"] = f"""
+WITH {pv_cte(neighbours=True)},
+t AS (
+  SELECT 'page_view_events' AS topic, * FROM pv
+  UNION ALL SELECT 'listen_events', * FROM pv WHERE page = 'NextSong'
+  UNION ALL SELECT 'status_change_events', * FROM pv
+            WHERE page IN ('Submit Downgrade', 'Submit Upgrade')
+  UNION ALL SELECT 'auth_events', * FROM pv WHERE previous_page = 'Login')
+SELECT topic, count(*) AS n_rows, count(DISTINCT session_id) AS n_sessions,
+       CAST(max(item_in_session) AS BIGINT) AS max_item, count(user_id) AS n_with_user
+FROM t GROUP BY topic"""

@@ -109,6 +109,44 @@ def decode_events(spark, sf):
         "city", "userid", "duration", "tag", "topic", "partition", "offset")
 
 
+def decode_all_topics(spark, sf):
+    """The page-view model produces all four topics
+    into one Kafka-shaped frame (one subscription), which is split by topic
+    and decoded with each topic's own schema."""
+    from ..session import materialize
+    from ..sources.kafka import split_topics
+    # the sessionized page views feed four producers: build them once
+    pv = materialize(A.page_views(spark, sf, neighbours=("previous_page",)), "page_views")
+    common = [F.unix_millis("ts").alias("ts"), F.col("session_id").alias("sessionId"),
+              "level", F.col("item_in_session").alias("itemInSession"),
+              F.col("user_id").alias("userId")]
+    payloads = {
+        S.PAGE_VIEW: pv.select(*common, "page", "auth", "method", "status", "duration",
+                               "event_id"),
+        S.LISTEN: routing.listens(pv).select(*common, "auth", "duration", "event_id"),
+        S.STATUS_CHANGE: routing.status_changes(pv).select(*common, "auth", "event_id"),
+        S.AUTH: routing.auth_attempts(pv).select(*common, "success", "event_id"),
+    }
+    frames = [df.select(F.to_json(F.struct(*[c for c in df.columns if c != "event_id"]))
+                        .cast("binary").alias("value"), F.lit(t).alias("topic"),
+                        (F.col("userId") % 5).cast("int").alias("partition"),
+                        F.col("event_id").alias("offset"))
+              for t, df in payloads.items()]
+    wire = frames[0]
+    for f in frames[1:]:
+        wire = wire.unionByName(f)
+    out = None
+    for topic, rows in split_topics(wire).items():
+        d = decode_topic(rows, S.get_schema(topic))
+        agg = d.groupBy("topic").agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_distinct("sessionid").alias("n_sessions"),
+            F.max("iteminsession").cast("long").alias("max_item"),
+            F.count("userid").alias("n_with_user"))
+        out = agg if out is None else out.unionByName(agg)
+    return out
+
+
 # --- routing ------------------------------------------------------------------
 
 def listens(spark, sf):
@@ -373,6 +411,7 @@ QUERIES = {
     "approx_users_window": approx_users_window,
     "date_parts": date_parts_q,
     "decode_events": decode_events,
+    "decode_all_topics": decode_all_topics,
     "listens": listens,
     "status_changes": status_changes,
     "auth_attempts": auth_attempts,
