@@ -95,3 +95,30 @@ def test_stream_equals_batch_sliding(spark, tmp_path):
     run_until_done(q)
     s = {(r.window.start, r["count"]) for r in spark.sql("select * from slide_test").collect()}
     assert s == b
+
+
+def test_per_topic_queries_snapshot_and_stop_after(spark, tmp_path):
+    base = str(tmp_path)
+    _write_batch_files(f"{base}/in", [["00:00:01"], ["00:00:02"], ["00:00:03"], ["00:00:04"]])
+    src = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", "1").parquet(f"{base}/in")
+    # B2: one query per topic, own folder and checkpoint, all started first
+    qs = writers.start_per_topic({"a": src.where("id % 2 = 0"), "b": src.where("id % 2 = 1")},
+                                 f"{base}/out", f"{base}/ck", trigger="availableNow")
+    for q in qs:
+        run_until_done(q)
+    assert spark.read.parquet(f"{base}/out/a").count() + \
+        spark.read.parquet(f"{base}/out/b").count() == 4
+    # Each batch replaces the snapshot; B19: the query stops itself
+    cb, holder = writers.stop_after(2, writers.snapshot_writer(f"{base}/snap"))
+    q = writers.for_each_batch(src, cb, f"{base}/ck2", trigger="1 second")
+    holder[0] = q
+    q.awaitTermination(60)
+    assert not q.isActive
+    assert spark.read.parquet(f"{base}/snap").count() == 1   # the last batch only
+
+
+def test_entry_smoke(spark):
+    import __spark_entry__ as E
+    df = E.entry(spark)
+    assert df.columns == ["timestamp_minute", "unix_timestamp", "count"]
+    assert df.count() > 0
