@@ -59,13 +59,15 @@ def explode_similars(df: DataFrame, id_col: str = "track_id",
 def similar_weights(pairs: DataFrame, track_counts: DataFrame,
                     id_col: str = "track_id") -> DataFrame:
     """E4 + F8: keep pairs whose target is a known track and weight each by
-    the target's play count. Stays one row per pair; ``total_weight`` (F7) is
-    a window over the pairs of one track."""
-    from pyspark.sql import Window
+    the target's play count. Stays one row per pair; ``total_weight`` (F7)
+    per track is a partial aggregate joined back (a per-track window would
+    put a hot track's pairs in one task; the join's hot key is split by
+    AQE's skew join)."""
     known = track_counts.select(F.col(id_col).alias("similar_id"),
                                 F.col("count").alias("weight"))
     j = pairs.join(known, "similar_id", "inner")
-    return j.withColumn("total_weight", F.sum("weight").over(Window.partitionBy(id_col)))
+    totals = j.groupBy(id_col).agg(F.sum("weight").alias("total_weight"))
+    return j.join(totals, id_col)
 
 
 def locations(gazetteer: DataFrame, postal: DataFrame) -> DataFrame:

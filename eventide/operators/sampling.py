@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .segmented import BUCKET, Scan, add_value_bucket, ordered_scan
+from .segmented import BUCKET, Scan, add_range_bucket, add_value_bucket, ordered_scan
 
 
 def prefix_ranges(items: DataFrame, weight_col: str, order_col: str,
@@ -18,10 +18,15 @@ def prefix_ranges(items: DataFrame, weight_col: str, order_col: str,
     """``lo`` = exclusive running sum of weights, ``hi`` = lo + weight,
     in ``order_col`` order (per ``keys`` group when given).
 
-    Two-level: running sums inside ``order_col`` buckets, then bucket totals
-    carried across; never one task over all rows.
+    Two-level: running sums inside buckets, then bucket totals carried
+    across; never one task over all rows. Without keys the buckets are
+    sampled range partitions (balanced); per key they are ``order_col``
+    ranges of ``bucket_width``.
     """
-    d = add_value_bucket(items, order_col, bucket_width)
+    if keys:
+        d = add_value_bucket(items, order_col, bucket_width)
+    else:
+        d = add_range_bucket(items, [order_col])
     d = ordered_scan(d, keys or [], [order_col],
                      [Scan("sum_excl", F.col(weight_col).cast("long"), "lo")]).drop(BUCKET)
     return d.withColumn("hi", F.col("lo") + F.col(weight_col).cast("long"))

@@ -44,6 +44,16 @@ def add_value_bucket(df: DataFrame, col: str, width: int, name: str = BUCKET) ->
     return df.withColumn(name, F.floor(F.col(col) / F.lit(int(width))))
 
 
+def add_range_bucket(df: DataFrame, order: list[str], n: int | None = None,
+                     name: str = BUCKET) -> DataFrame:
+    """Bucket for a scan with no key (a global order): range-partition by
+    the order columns (Spark samples the bounds, so buckets are balanced
+    even when one time range or value is hot) and use the partition id,
+    which increases with the order."""
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *order).withColumn(name, F.spark_partition_id())
+
+
 @dataclass(frozen=True)
 class Scan:
     """One scan output. ``kind`` is one of:

@@ -13,7 +13,7 @@ from .. import schemas as S
 from ..functions.decode import date_parts, decode_topic
 from ..operators import catalog, growth, routing, sessions, windows
 from ..operators.sampling import prefix_ranges, range_lookup, total_weight
-from ..operators.segmented import BUCKET, Scan, add_time_bucket, ordered_scan
+from ..operators.segmented import BUCKET, Scan, ordered_scan
 from . import adapters as A
 
 HOUR = 3600
@@ -190,8 +190,10 @@ def retain_days(spark, sf, days: int = 7):
 
 def ordered_events(spark, sf):
     """H2: all events in (ts, event_id) order with their global position,
-    computed by a bucketed two-level scan (no single-partition window)."""
-    ev = add_time_bucket(A.events(spark, sf).select("event_id", "ts"), "ts", 86400)
+    computed by a two-level scan over sampled range partitions (no
+    single-partition window; a hot hour is split like any other range)."""
+    from ..operators.segmented import add_range_bucket
+    ev = add_range_bucket(A.events(spark, sf).select("event_id", "ts"), ["ts", "event_id"])
     o = ordered_scan(ev, [], ["ts", "event_id"], [Scan("index", None, "pos")]).drop(BUCKET)
     return o.select("event_id", us("ts").alias("ts_us"), F.col("pos").cast("long"))
 
@@ -358,7 +360,7 @@ def geo_dimension(spark, sf):
 
 def prefix_weights(spark, sf):
     part = A.table(spark, sf, "part").select("p_partkey", "p_size")
-    r = prefix_ranges(part, "p_size", "p_partkey", bucket_width=256)
+    r = prefix_ranges(part, "p_size", "p_partkey")
     return r.select("p_partkey", "lo", "hi")
 
 
@@ -368,7 +370,7 @@ def weighted_pick(spark, sf):
     part = A.table(spark, sf, "part").select("p_partkey", "p_size")
     total = total_weight(part, "p_size")
     n = part.agg(F.count(F.lit(1))).scalar()
-    ranges = prefix_ranges(part, "p_size", "p_partkey", bucket_width=256)
+    ranges = prefix_ranges(part, "p_size", "p_partkey")
     keys = A.table(spark, sf, "customer").select(
         "c_custkey", F.pmod(F.col("c_custkey") * 7919, total).alias("k"))
     width = F.greatest(F.lit(1).cast("long"), F.ceil(total / n).cast("long"))

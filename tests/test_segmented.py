@@ -96,3 +96,16 @@ def test_sessionize_matches_plain_window_any_bucket(spark):
         got = sessionize(df, bucket_seconds=width).select("event_id", "session_id",
                                                           "item_in_session")
         assert sorted(tuple(r) for r in got.collect()) == exp, width
+
+
+def test_range_bucket_global_index_hot_range(spark):
+    from eventide.operators.segmented import add_range_bucket
+    # 60% of rows share one timestamp: the unique order (t, id) still splits them
+    rows = [(i, 5 if i % 5 < 3 else i, None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, t long, v long")
+    d = add_range_bucket(df, ["t", "id"], 16)
+    sizes = [r[1] for r in d.groupBy(BUCKET).count().collect()]
+    assert max(sizes) < 3000 * 0.3
+    got = ordered_scan(d, [], ["t", "id"], [Scan("index", None, "pos")])
+    exp = {r.id: i for i, r in enumerate(sorted(df.collect(), key=lambda r: (r.t, r.id)))}
+    assert {r.id: r.pos for r in got.collect()} == exp
