@@ -331,8 +331,11 @@ def similar_pairs(spark, sf):
 
 
 def similar_weights(spark, sf):
-    """Pairs whose target has a play count, weighted by it."""
-    pairs = similar_pairs(spark, sf)
+    """Pairs whose target has a play count, weighted by it. The
+    parsed pair table is built once (it feeds the pairs and the per-track
+    totals)."""
+    from ..session import materialize
+    pairs = materialize(similar_pairs(spark, sf), "similar_pairs")
     counts = listen_counts(spark, sf)
     return catalog.similar_weights(pairs, counts).select(
         "track_id", "similar_id", "score", "weight", "total_weight")
