@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+# Broadcasts are decided only from measured sizes: the static estimate (a
+# Parquet file's compressed size) is not a bound on the table in memory, so
+# it is switched off; AQE converts a join to a broadcast once the shuffled
+# side has been measured below this size. Literal lookups carry a hint.
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+}
+
 # Settings every job relies on: UTC event time, AQE, RocksDB state.
 DEFAULT_CONF = {
-    "spark.sql.session.timeZone": "UTC",
+    **RUNTIME_CONF,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -86,9 +95,11 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-def ensure_utc(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    os.environ.setdefault("TZ", "UTC")
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Set the SQL settings the operators rely on in a session built
+    elsewhere (UTC event time, broadcasts from measured sizes only)."""
+    for k, v in RUNTIME_CONF.items():
+        spark.conf.set(k, v)
 
 
 def materialize(df, name: str):
