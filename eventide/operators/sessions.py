@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .segmented import BUCKET, Scan, add_time_bucket, ordered_scan
+from .segmented import BUCKET, Scan, add_skew_aware_bucket, add_time_bucket, ordered_scan
 
 DAY = 86400
 END = "(end)"
@@ -29,19 +29,28 @@ def _same_session(carried: str, session_col: str, field: str) -> Column:
     return F.when(F.col(f"{carried}.s") == F.col(session_col), F.col(f"{carried}.{field}"))
 
 
+def _bucket(df: DataFrame, user_col: str, ts_col: str, bucket_seconds) -> DataFrame:
+    if BUCKET in df.columns:
+        return df
+    if bucket_seconds == "auto":
+        return add_skew_aware_bucket(df, user_col, ts_col)
+    return add_time_bucket(df, ts_col, bucket_seconds)
+
+
 def sessionize(df: DataFrame, user_col: str = "user_id", ts_col: str = "ts",
                id_col: str = "event_id", gap_seconds: int = 1800,
-               bucket_seconds: int = DAY, session_col: str = "session_id",
+               bucket_seconds: int | str = "auto", session_col: str = "session_id",
                item_col: str = "item_in_session", keep_bucket: bool = False) -> DataFrame:
     """G5 + G2: split each user's events into sessions (a gap of more than
     ``gap_seconds`` starts a new one; an exact gap joins, as
     ``session_window`` does) and number events in a session from 0.
 
     The session id is the ``id_col`` of its first event, so it is unique and
-    stable. Order is ``(ts, id)``.
+    stable. Order is ``(ts, id)``. Buckets are a day per user, a minute for
+    users the sample finds hot (``bucket_seconds="auto"``), or a fixed width.
     """
     order = [ts_col, id_col]
-    d = df if BUCKET in df.columns else add_time_bucket(df, ts_col, bucket_seconds)
+    d = _bucket(df, user_col, ts_col, bucket_seconds)
     part = [user_col, BUCKET]
     w = Window.partitionBy(*part).orderBy(*order)
     sw = Window.partitionBy(user_col).orderBy(BUCKET)
@@ -103,7 +112,7 @@ ALL_NEIGHBOURS = ("prev_ts", "next_ts", "next_page", "previous_page")
 
 def in_session_neighbours(df: DataFrame, user_col: str, session_col: str,
                           order: list[str], ts_col: str, page_col: str | None = None,
-                          status_col: str | None = None, bucket_seconds: int = DAY,
+                          status_col: str | None = None, bucket_seconds: int | str = "auto",
                           keep_bucket: bool = False,
                           want: tuple[str, ...] = ALL_NEIGHBOURS) -> DataFrame:
     """Add, inside the session (only the columns named in ``want``):
@@ -115,7 +124,7 @@ def in_session_neighbours(df: DataFrame, user_col: str, session_col: str,
       page is the page of the event before it; a redirect keeps the previous
       page of the event before it.
     """
-    d = df if BUCKET in df.columns else add_time_bucket(df, ts_col, bucket_seconds)
+    d = _bucket(df, user_col, ts_col, bucket_seconds)
     s = F.col(session_col)
     scans = []
     if "prev_ts" in want:
@@ -181,7 +190,7 @@ def _previous_page_pass(d: DataFrame, user_col: str, session_col: str, order: li
 def previous_page(df: DataFrame, session_col: str = "sessionid",
                   order: list[str] | None = None, ts_col: str = "ts_timestamp",
                   page_col: str = "page", status_col: str = "status",
-                  user_col: str | None = None, bucket_seconds: int = DAY) -> DataFrame:
+                  user_col: str | None = None, bucket_seconds: int | str = "auto") -> DataFrame:
     """G1 on a decoded page-view table (keyed by session, or by user when
     given so the scan shares the user's partitioning)."""
     order = order or [ts_col, "iteminsession"]
@@ -237,10 +246,10 @@ def event_gaps(df: DataFrame, user_col: str = "user_id", ts_col: str = "ts",
 
 def session_gaps(sessions: DataFrame, user_col: str = "user_id",
                  start_col: str = "session_start", end_col: str = "session_end",
-                 session_col: str = "session_id", bucket_seconds: int = 30 * DAY) -> DataFrame:
+                 session_col: str = "session_id", bucket_seconds: int | str = "auto") -> DataFrame:
     """F12 beta: mean time from a session's end to the user's next session
     start, per user. Sessions of a user are scanned with the skew-safe scan."""
-    d = add_time_bucket(sessions, start_col, bucket_seconds)
+    d = _bucket(sessions, user_col, start_col, bucket_seconds)
     d = ordered_scan(d, [user_col], [start_col, session_col],
                      [Scan("lag", F.col(end_col), "_prev_end")]).drop(BUCKET)
     gap = (_us(start_col) - _us("_prev_end")) / F.lit(1_000_000.0)

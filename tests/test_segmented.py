@@ -109,3 +109,20 @@ def test_range_bucket_global_index_hot_range(spark):
     got = ordered_scan(d, [], ["t", "id"], [Scan("index", None, "pos")])
     exp = {r.id: i for i, r in enumerate(sorted(df.collect(), key=lambda r: (r.t, r.id)))}
     assert {r.id: r.pos for r in got.collect()} == exp
+
+
+def test_skew_aware_bucket_splits_hot_key_only(spark):
+    import datetime as dt
+    from eventide.operators.segmented import add_skew_aware_bucket
+    from eventide.operators.sessions import sessionize
+    rows = [(0 if i % 3 else i % 7 + 1, i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=20 * i))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "user_id long, event_id long, ts timestamp")
+    b = add_skew_aware_bucket(df, "user_id", "ts", fraction=0.5, min_hits=300)
+    per_user = {r.user_id: r.n for r in
+                b.groupBy("user_id").agg(F.count_distinct(BUCKET).alias("n")).collect()}
+    assert per_user[0] > 100                       # hot user: minute buckets
+    assert all(per_user[u] == 1 for u in per_user if u != 0)   # others: one day
+    plain = sessionize(df, bucket_seconds=86400).select("event_id", "session_id", "item_in_session")
+    split = sessionize(b).select("event_id", "session_id", "item_in_session")
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
