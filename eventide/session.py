@@ -65,6 +65,14 @@ def build_session(master: str | None = None, app_name: str = "eventide",
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20,
+                           min_partitions: int = 8) -> int:
+    """Initial shuffle partition count for an input size: about
+    ``target_bytes`` of input per partition (AQE then coalesces small ones
+    and splits skewed ones). 100 TB -> ~400k partitions."""
+    return max(min_partitions, -(-int(input_bytes) // int(target_bytes)))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

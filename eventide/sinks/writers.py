@@ -141,6 +141,14 @@ def repair(spark: SparkSession, table: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
+def drain_and_stop(query: StreamingQuery) -> None:
+    """Graceful stop: finish the data already available, then stop; the
+    checkpoint holds the position, so a restart continues from there
+    (``spark.streaming.stopGracefullyOnShutdown`` only applies to DStreams)."""
+    query.processAllAvailable()
+    query.stop()
+
+
 def console(df: DataFrame, mode: str = "update", trigger: str | None = "60 seconds",
             truncate: bool = False, num_rows: int = 20) -> StreamingQuery:
     """Print changing aggregates (for people; tests use :func:`memory`)."""
