@@ -48,3 +48,43 @@ def bronze_copy(kafka_rows: DataFrame, path: str, checkpoint: str, fmt: str = "p
     """B1: raw topic rows, undecoded, appended to a lake folder."""
     return writers.write_stream(kafka_rows, path, checkpoint, fmt=fmt, mode="append",
                                 trigger=trigger)
+
+
+def decode_to_files_job(kafka_rows: DataFrame, path: str, checkpoint: str,
+                        fmt: str = "parquet", trigger: str | None = "1 minute",
+                        partition_by: list[str] | None = None):
+    """Decoded page views appended to files (the file-sink stream job)."""
+    return writers.write_stream(decoded_page_views(kafka_rows), path, checkpoint, fmt=fmt,
+                                mode="append", trigger=trigger, partition_by=partition_by)
+
+
+def decode_to_table_job(kafka_rows: DataFrame, database: str, table: str, checkpoint: str,
+                        fmt: str = "parquet", trigger: str | None = "1 minute",
+                        location: str | None = None):
+    """Decoded page views streamed into a catalog table partitioned by
+    ``method``; the table is created from the schema registry if absent and
+    columns are matched by name."""
+    spark = kafka_rows.sparkSession
+    name = writers.create_topic_table(spark, database, table, fmt=fmt, location=location)
+    cols = spark.table(name).columns
+    return writers.to_table(decoded_page_views(kafka_rows).select(*cols), name, checkpoint,
+                            fmt=fmt, trigger=trigger)
+
+
+def decode_to_warehouse_job(kafka_rows: DataFrame, fmt: str, options: dict, checkpoint: str,
+                            trigger: str | None = "30 seconds"):
+    """Decoded page views appended to a warehouse connector per micro-batch,
+    with the batch id in the rows for idempotent loads."""
+    return writers.for_each_batch(decoded_page_views(kafka_rows),
+                                  writers.connector_batch_writer(fmt, options), checkpoint,
+                                  trigger=trigger)
+
+
+def start_all_topics(kafka_rows: DataFrame, base_path: str, base_checkpoint: str,
+                     trigger: str | None = "1 minute"):
+    """One subscription, four decoded topic streams, each into its own folder
+    with its own checkpoint (all started, then awaited together)."""
+    from ..sources.kafka import split_topics
+    streams = {t: decode_topic(df, S.get_schema(t, with_tag=True))
+               for t, df in split_topics(kafka_rows).items()}
+    return writers.start_per_topic(streams, base_path, base_checkpoint, trigger=trigger)

@@ -122,3 +122,29 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["timestamp_minute", "unix_timestamp", "count"]
     assert df.count() > 0
+
+
+def test_decode_jobs_from_kafka_shaped_files(spark, tmp_path):
+    import json
+    from eventide.streaming import jobs
+    from eventide import schemas as S
+    base = str(tmp_path)
+    recs = [(json.dumps({"ts": 1704067200000 + i, "sessionId": 1, "page": "Home", "method": "GET",
+                         "userId": 3}), S.PAGE_VIEW, 0, i) for i in range(5)] + \
+           [(json.dumps({"ts": 1704067200000, "sessionId": 1, "success": True}), S.AUTH, 1, 0)]
+    df = spark.createDataFrame(recs, "v string, topic string, partition int, offset long") \
+        .select(F.col("v").cast("binary").alias("value"), "topic", "partition", "offset",
+                F.lit(None).cast("binary").alias("key"), F.current_timestamp().alias("timestamp"),
+                F.lit(0).alias("timestampType"))
+    df.write.parquet(f"{base}/kafka")
+    src = spark.readStream.schema(S.KAFKA_SCHEMA).parquet(f"{base}/kafka")
+    qs = jobs.start_all_topics(src, f"{base}/topics", f"{base}/ck", trigger="availableNow")
+    for q in qs:
+        run_until_done(q)
+    assert spark.read.parquet(f"{base}/topics/{S.PAGE_VIEW}").where("page IS NOT NULL").count() == 5
+    assert spark.read.parquet(f"{base}/topics/{S.AUTH}").where("success").count() == 1
+    q = jobs.decode_to_table_job(src.where(F.col("topic") == S.PAGE_VIEW), "eventide_test",
+                                 "pv_job", f"{base}/ck2", trigger="availableNow",
+                                 location=f"{base}/tbl")
+    run_until_done(q)
+    assert spark.table("eventide_test.pv_job").count() == 5
