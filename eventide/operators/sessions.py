@@ -268,3 +268,133 @@ def play_through(df: DataFrame, ts_col: str = "ts", duration_col: str = "duratio
     flag = F.when(F.col(next_col).isNull(), F.lit(None).cast("boolean")) \
         .otherwise(_us(next_col) >= F.unix_micros(end))
     return df.where(F.col(page_col) == song_page).withColumn("played_through", flag)
+
+
+def session_pass(df: DataFrame, user_col: str = "user_id", ts_col: str = "ts",
+                 id_col: str = "event_id", gap_seconds: int = 1800,
+                 page_col: str | None = None, status_col: str | None = None,
+                 want: tuple[str, ...] = (), bucket_seconds: int | str = "auto",
+                 session_col: str = "session_id", item_col: str = "item_in_session",
+                 keep_bucket: bool = False) -> DataFrame:
+    """Sessionize and add in-session neighbours in ONE pass over the rows.
+
+    Adds ``session_id`` and ``item_in_session`` (as :func:`sessionize`) and
+    any of ``prev_ts, next_ts, next_page, previous_page`` named in ``want``
+    (as :func:`in_session_neighbours`). All values that cross a bucket border
+    come from one summary row per (user, bucket): last/first time and page,
+    the last session start, and the last "previous page" anchor. A
+    previous-page anchor is a non-redirect row (its value is the page before
+    it in the session) or a session start (value null); a row's previous
+    page is the value of the last anchor at or before it.
+    """
+    order = [ts_col, id_col]
+    d = _bucket(df, user_col, ts_col, bucket_seconds)
+    part = [user_col, BUCKET]
+    w = Window.partitionBy(*part).orderBy(*order)
+    w_all = Window.partitionBy(*part)
+    sw = Window.partitionBy(user_col).orderBy(BUCKET)
+    up = Window.unboundedPreceding
+    gap_us = F.lit(int(gap_seconds) * 1_000_000)
+    ts, rid = F.col(ts_col), F.col(id_col)
+    want_prev_page = "previous_page" in want and page_col is not None
+    want_next = "next_ts" in want or ("next_page" in want and page_col is not None)
+    pg = F.col(page_col) if page_col else None
+    red = F.coalesce(is_redirect(status_col), F.lit(False)) if status_col else F.lit(False)
+
+    # stage 1: positions and in-bucket neighbours
+    sel = [F.row_number().over(w).alias("_rn"), F.lag(ts).over(w).alias("_lts"),
+           red.alias("_red")]
+    if want_next:
+        sel += [F.count(F.lit(1)).over(w_all).alias("_nb"), F.lead(ts).over(w).alias("_nts")]
+        if page_col:
+            sel.append(F.lead(pg).over(w).alias("_npg"))
+    if want_prev_page:
+        sel.append(F.lag(pg).over(w).alias("_lpg"))
+    loc = d.select("*", *sel)
+    nl = (F.col("_rn") > 1) & ((_us(ts) - _us("_lts")) > gap_us)
+    loc = loc.select("*", nl.alias("_nl"))
+    # stage 2: running "last" values inside the bucket
+    run = w.rowsBetween(up, 0)
+    sel2 = [F.last(F.when(F.col("_nl"), rid), ignorenulls=True).over(run).alias("_sid_l"),
+            F.last(F.when(F.col("_nl"), F.col("_rn")), ignorenulls=True).over(run).alias("_srn_l")]
+    if want_prev_page:
+        anchor = (F.col("_rn") > 1) & (~F.col("_red") | F.col("_nl"))
+        aval = F.struct(F.when(~F.col("_red") & ~F.col("_nl"), F.col("_lpg")).alias("v"))
+        loc = loc.select("*", anchor.alias("_anc"), aval.alias("_aval"))
+        sel2.append(F.last(F.when(F.col("_anc"), F.col("_aval")), ignorenulls=True)
+                    .over(run).alias("_pa_l"))
+    loc = loc.select("*", *sel2)
+
+    # one summary row per (user, bucket)
+    aggs = [F.min(ts).alias("_fts"), F.max(ts).alias("_lts_b"),
+            F.min_by(rid, F.col("_rn")).alias("_fid"), F.count(F.lit(1)).alias("_cnt"),
+            F.max_by(rid, F.when(F.col("_nl"), F.col("_rn"))).alias("_lsid"),
+            F.max(F.when(F.col("_nl"), F.col("_rn"))).alias("_lsrn")]
+    if want_prev_page:
+        aggs += [F.max_by(pg, F.col("_rn")).alias("_lpage"),
+                 F.min_by(F.col("_red"), F.col("_rn")).alias("_fred"),
+                 F.max_by(F.col("_aval"), F.when(F.col("_anc"), F.col("_rn"))).alias("_lanc")]
+    if want_next and page_col:
+        aggs.append(F.min_by(pg, F.col("_rn")).alias("_fpage"))
+    summ = loc.groupBy(*part).agg(*aggs)
+    s1 = [F.lag("_lts_b").over(sw).alias("_plts"),
+          F.coalesce(F.sum("_cnt").over(sw.rowsBetween(up, -1)), F.lit(0)).alias("_before")]
+    if want_prev_page:
+        s1.append(F.lag("_lpage").over(sw).alias("_plpage"))
+    if want_next:
+        s1.append(F.lead("_fts").over(sw).alias("_nfts"))
+        if page_col:
+            s1.append(F.lead("_fpage").over(sw).alias("_nfpage"))
+    summ = summ.select("*", *s1)
+    first_new = F.col("_plts").isNull() | ((_us("_fts") - _us("_plts")) > gap_us)
+    s2 = [*part, "_fid", "_before", first_new.alias("_fnew"),
+          F.coalesce(F.col("_lsid"), F.when(first_new, F.col("_fid"))).alias("_xid"),
+          F.coalesce(F.col("_lsrn") - 1 + F.col("_before"),
+                     F.when(first_new, F.col("_before"))).alias("_xidx"),
+          F.when(~first_new, F.col("_plts")).alias("_r1_pts")]
+    if want_prev_page:
+        r1 = F.when(~F.col("_fred") | first_new,
+                    F.struct(F.when(~F.col("_fred") & ~first_new, F.col("_plpage")).alias("v")))
+        s2 += [r1.alias("_r1anc"), F.coalesce(F.col("_lanc"), r1).alias("_xanc")]
+    if want_next:
+        cont = F.col("_nfts").isNotNull() & ((_us("_nfts") - _us("_lts_b")) <= gap_us)
+        s2.append(F.when(cont, F.col("_nfts")).alias("_x_nts"))
+        if page_col:
+            s2.append(F.when(cont, F.col("_nfpage")).alias("_x_npg"))
+    summ = summ.select(*s2)
+    carry = sw.rowsBetween(up, -1)
+    s3 = [*[F.col(k).alias(f"_k_{k}") for k in part], "_before", "_r1_pts",
+          F.when(F.col("_fnew"), F.col("_fid"))
+          .otherwise(F.last("_xid", ignorenulls=True).over(carry)).alias("_eid"),
+          F.when(F.col("_fnew"), F.col("_before"))
+          .otherwise(F.last("_xidx", ignorenulls=True).over(carry)).alias("_eidx")]
+    if want_prev_page:
+        s3 += ["_r1anc", F.last("_xanc", ignorenulls=True).over(carry).alias("_canc")]
+    if want_next:
+        s3.append("_x_nts")
+        if page_col:
+            s3.append("_x_npg")
+    summ = summ.select(*s3)
+
+    j = loc.join(summ, [loc[k] == summ[f"_k_{k}"] for k in part], "left")
+    uidx = F.col("_rn") - 1 + F.col("_before")
+    start = F.coalesce(F.col("_srn_l") - 1 + F.col("_before"), F.col("_eidx"))
+    outs = [F.coalesce(F.col("_sid_l"), F.col("_eid")).alias(session_col),
+            (uidx - start).cast("int").alias(item_col)]
+    if "prev_ts" in want:
+        outs.append(F.when(F.col("_rn") == 1, F.col("_r1_pts"))
+                    .otherwise(F.when(~F.col("_nl"), F.col("_lts"))).alias("prev_ts"))
+    if want_next:
+        last_row = F.col("_rn") == F.col("_nb")
+        same = (_us("_nts") - _us(ts)) <= gap_us
+        if "next_ts" in want:
+            outs.append(F.when(last_row, F.col("_x_nts"))
+                        .otherwise(F.when(same, F.col("_nts"))).alias("next_ts"))
+        if "next_page" in want and page_col:
+            outs.append(F.when(last_row, F.col("_x_npg"))
+                        .otherwise(F.when(same, F.col("_npg"))).alias("next_page"))
+    if want_prev_page:
+        outs.append(F.coalesce(F.col("_pa_l"), F.col("_r1anc"), F.col("_canc"))["v"]
+                    .alias("previous_page"))
+    keep = [c for c in d.columns if keep_bucket or c != BUCKET]
+    return j.select(*keep, *outs)

@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sessions import ALL_NEIGHBOURS, in_session_neighbours, sessionize
-from ..operators.segmented import BUCKET
+from ..operators.sessions import ALL_NEIGHBOURS, session_pass
 
 # fixed values: event_type -> page of the adapter
 PAGE_OF_TYPE = [("view", "NextSong"), ("click", "Home"), ("error", "Login"),
@@ -62,11 +61,9 @@ def page_views(spark: SparkSession, sf_dir: str, gap_seconds: int = 1800,
     """Page views with ``session_id`` (first event id of the session) and
     ``item_in_session``; with ``neighbours`` also ``prev_ts, next_ts,
     next_page, previous_page`` inside the session."""
-    pv = sessionize(page_view_columns(events(spark, sf_dir)), gap_seconds=gap_seconds,
-                    keep_bucket=True)
-    if neighbours:
-        want = neighbours if isinstance(neighbours, tuple) else ALL_NEIGHBOURS
-        pv = in_session_neighbours(pv, "user_id", "session_id", ["ts", "event_id"], "ts",
-                                   page_col="page", status_col="status", keep_bucket=True,
-                                   want=want)
-    return pv if keep_bucket else pv.drop(BUCKET)
+    want = () if not neighbours else (
+        neighbours if isinstance(neighbours, tuple) else ALL_NEIGHBOURS)
+    # one pass: sessions, item numbers and the requested in-session neighbours
+    pv = session_pass(page_view_columns(events(spark, sf_dir)), gap_seconds=gap_seconds,
+                      page_col="page", status_col="status", want=want, keep_bucket=keep_bucket)
+    return pv

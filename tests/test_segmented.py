@@ -126,3 +126,39 @@ def test_skew_aware_bucket_splits_hot_key_only(spark):
     plain = sessionize(df, bucket_seconds=86400).select("event_id", "session_id", "item_in_session")
     split = sessionize(b).select("event_id", "session_id", "item_in_session")
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
+
+
+def test_session_pass_matches_plain_windows(spark):
+    import datetime as dt
+    from eventide.operators.sessions import session_pass
+    rnd = random.Random(5)
+    rows, t = [], {}
+    pages = ["Home", "Login", "NextSong", "Settings"]
+    for i in range(2500):
+        u = 0 if rnd.random() < 0.35 else rnd.randint(1, 12)
+        t[u] = t.get(u, 0) + rnd.choice([1, 5, 30, 200, 1800, 1801, 5000])
+        rows.append((u, i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=t[u]),
+                     rnd.choice(pages), 307 if rnd.random() < 0.3 else 200))
+    df = spark.createDataFrame(rows, "user_id long, event_id long, ts timestamp, page string, "
+                                     "status int")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    gap = F.unix_seconds("ts") - F.unix_seconds(F.lag("ts").over(w))
+    ref = df.withColumn("_n", F.when(gap.isNull() | (gap > 1800), 1).otherwise(0)) \
+        .withColumn("_g", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ws = Window.partitionBy("user_id", "_g").orderBy("ts", "event_id")
+    c = F.when(~F.col("status").between(300, 398), F.lag("page").over(ws))
+    ref = ref.select("*", F.first("event_id").over(ws).alias("sid"),
+                     (F.row_number().over(ws) - 1).alias("item"),
+                     F.lag("ts").over(ws).alias("pts"), F.lead("ts").over(ws).alias("nts"),
+                     F.lead("page").over(ws).alias("npg"), c.alias("_c"))
+    ref = ref.select("event_id", "sid", "item", "pts", "nts", "npg",
+                     F.last("_c", True).over(ws.rowsBetween(Window.unboundedPreceding, 0))
+                     .alias("pp"))
+    exp = sorted(tuple(r) for r in ref.collect())
+    want = ("prev_ts", "next_ts", "next_page", "previous_page")
+    for width in (1, 7, 600, 86400):
+        got = session_pass(df, page_col="page", status_col="status", want=want,
+                           bucket_seconds=width)
+        got = got.select("event_id", "session_id", "item_in_session", "prev_ts", "next_ts",
+                         "next_page", "previous_page")
+        assert sorted(tuple(r) for r in got.collect()) == exp, width
