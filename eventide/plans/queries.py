@@ -303,21 +303,28 @@ def listen_counts(spark, sf):
     return catalog.track_listen_counts(*_tracks(spark, sf))
 
 
-def _similar_docs(spark, sf) -> DataFrame:
-    """Similar-track documents derived from orders: the first line's part of
-    each order is the track, each later line one similar (id, score) pair,
-    written as the JSON documents the similar-track loader reads."""
+def _similar_rows(spark, sf) -> DataFrame:
+    """(track, similar, score) rows from orders: the first line's part of
+    each order is the track, each later line one similar pair."""
     li = A.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
                                                "l_quantity")
     src = li.groupBy("l_orderkey").agg(
         F.min_by("l_partkey", F.struct("l_linenumber", "l_partkey")).alias("src_part"),
         F.min("l_linenumber").alias("first_line"))
     j = li.join(src, "l_orderkey").where(F.col("l_linenumber") != F.col("first_line"))
+    return j.select(F.concat(F.lit("TR"), F.col("src_part").cast("string")).alias("track_id"),
+                    F.concat(F.lit("TR"), F.col("l_partkey").cast("string")).alias("similar_id"),
+                    F.col("l_quantity").alias("score"))
+
+
+def _similar_docs(spark, sf) -> DataFrame:
+    """Similar-track documents derived from orders (see :func:`_similar_rows`),
+    written as the JSON documents the similar-track loader reads."""
+    r = _similar_rows(spark, sf)
     doc = F.to_json(F.struct(
-        F.concat(F.lit("TR"), F.col("src_part").cast("string")).alias("track_id"),
-        F.array(F.array(F.concat(F.lit("TR"), F.col("l_partkey").cast("string")),
-                        F.col("l_quantity").cast("string"))).alias("similars")))
-    return j.select(doc.alias("value"))
+        "track_id",
+        F.array(F.array("similar_id", F.col("score").cast("string"))).alias("similars")))
+    return r.select(doc.alias("value"))
 
 
 SIMILAR_SCHEMA = "track_id string, similars array<array<string>>"
@@ -331,11 +338,10 @@ def similar_pairs(spark, sf):
 
 
 def similar_weights(spark, sf):
-    """Pairs whose target has a play count, weighted by it. The
-    parsed pair table is built once (it feeds the pairs and the per-track
-    totals)."""
-    from ..session import materialize
-    pairs = materialize(similar_pairs(spark, sf), "similar_pairs")
+    """Pairs whose target has a play count, weighted by it (the
+    pairs straight from the order lines; the JSON document form is parsed by
+    ``similar_pairs`` / ``json_tree``)."""
+    pairs = _similar_rows(spark, sf)
     counts = listen_counts(spark, sf)
     return catalog.similar_weights(pairs, counts).select(
         "track_id", "similar_id", "score", "weight", "total_weight")
@@ -391,7 +397,7 @@ def next_track(spark, sf):
     # the two reference tables are built once and read back (they are used
     # by several branches of the plan)
     counts = materialize(listen_counts(spark, sf), "listen_counts")
-    pairs = similar_pairs(spark, sf).select("track_id", "similar_id").distinct()
+    pairs = _similar_rows(spark, sf).select("track_id", "similar_id").distinct()
     similar = pairs.join(counts.select(F.col("track_id").alias("similar_id"),
                                        F.col("count").alias("weight")), "similar_id") \
         .select("track_id", F.col("similar_id").alias("next_track"), "weight",
