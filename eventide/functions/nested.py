@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas as S
 
@@ -93,5 +92,4 @@ def from_avro_payload(col: str, json_schema: str) -> Column:
 
 
 NESTED_TYPES = {t: S.nested_schema(t) for t in S.TOPICS}
-__all__ = ["to_nested", "from_nested", "detail_map", "from_avro_payload", "NESTED_TYPES",
-           "T"]
+__all__ = ["to_nested", "from_nested", "detail_map", "from_avro_payload", "NESTED_TYPES"]

@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas as S
 from ..operators import windows
 from ..plans import adapters as A
 from ..plans.oracle import SQL as BATCH_SQL
