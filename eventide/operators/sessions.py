@@ -220,14 +220,24 @@ def session_summary(df: DataFrame, session_col: str = "session_id", ts_col: str
 
 
 def transition_matrix(df: DataFrame, page_col: str = "page",
-                      next_col: str = "next_page") -> DataFrame:
+                      next_col: str = "next_page", closed_only: bool = False,
+                      session_col: str = "session_id", ts_col: str = "ts",
+                      gap_seconds: int = 1800) -> DataFrame:
     """counts and shares of page -> next page, session end as ``(end)``.
 
-    Input rows carry ``next_page`` (see :func:`in_session_neighbours`). The
-    share is over the source page; the window runs on the aggregated edge
-    table (pages x pages), not on events.
+    Input rows carry ``next_page`` (see :func:`session_pass`). The share is
+    over the source page; the window runs on the aggregated edge table
+    (pages x pages), not on events. A session whose last event lies within
+    the gap of the newest event may still continue, so its "end" is not yet
+    known: ``closed_only`` leaves such sessions out (the newest time is a
+    scalar subquery, the session ends a partial aggregate).
     """
-    from pyspark.sql import Window
+    if closed_only:
+        newest = df.agg(F.max(ts_col)).scalar()
+        ends = df.groupBy(session_col).agg(F.max(ts_col).alias("_end"))
+        closed = ends.where(_us("_end") + F.lit(int(gap_seconds) * 1_000_000)
+                            <= F.unix_micros(newest)).select(session_col)
+        df = df.join(closed, session_col, "left_semi")
     edges = df.select(F.col(page_col).alias("source"),
                       F.coalesce(F.col(next_col), F.lit(END)).alias("dest")) \
         .groupBy("source", "dest").agg(F.count(F.lit(1)).alias("n"))

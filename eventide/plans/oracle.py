@@ -311,3 +311,12 @@ t AS (
 SELECT topic, count(*) AS n_rows, count(DISTINCT session_id) AS n_sessions,
        CAST(max(item_in_session) AS BIGINT) AS max_item, count(user_id) AS n_with_user
 FROM t GROUP BY topic"""
+
+SQL["transition_matrix_closed"] = f"""
+WITH {pv_cte(12 * HOUR, neighbours=True)},
+closed AS (SELECT session_id FROM pv GROUP BY session_id
+           HAVING epoch_us(max(ts)) + {12 * HOUR * 1_000_000}
+                  <= (SELECT epoch_us(max(ts)) FROM events)),
+e AS (SELECT page AS source, coalesce(next_page, '(end)') AS dest, count(*) AS n
+      FROM pv WHERE session_id IN (SELECT session_id FROM closed) GROUP BY 1, 2)
+SELECT source, dest, n, round(n / sum(n) OVER (PARTITION BY source), 9) AS p FROM e"""

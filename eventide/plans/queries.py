@@ -229,6 +229,15 @@ def transition_matrix(spark, sf):
     return t.select("source", "dest", "n", F.round("p", 9).alias("p"))
 
 
+def transition_matrix_closed(spark, sf):
+    """F11 on closed sessions only: sessions that may still continue past the
+    end of the data (last event within the gap of the newest) are left out."""
+    gap = 12 * HOUR
+    pv = A.page_views(spark, sf, gap_seconds=gap, neighbours=("next_page",))
+    t = sessions.transition_matrix(pv, closed_only=True, gap_seconds=gap)
+    return t.select("source", "dest", "n", F.round("p", 9).alias("p"))
+
+
 def event_gaps(spark, sf):
     pv = A.page_views(spark, sf, gap_seconds=12 * HOUR, neighbours=("prev_ts",))
     g = sessions.event_gaps(pv)
@@ -431,6 +440,7 @@ QUERIES = {
     "sessionize": sessionize,
     "session_summary": session_summary,
     "transition_matrix": transition_matrix,
+    "transition_matrix_closed": transition_matrix_closed,
     "event_gaps": event_gaps,
     "session_gaps": session_gaps,
     "play_through": play_through,
