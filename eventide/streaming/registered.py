@@ -24,11 +24,18 @@ def _latest_per_key(df: DataFrame, keys: list[str], value_cols: list[str]) -> Da
 
 
 def stream_sliding_count(spark: SparkSession, sf: str) -> DataFrame:
-    """Watermark 60 s, 60 s / 10 s windows, update mode into
-    an idempotent per-batch writer; the last version of each window wins."""
+    """The reference's flagship stream, end to end: page-view JSON records
+    (produced from events on the stream) are decoded from a Kafka-shaped
+    frame (C1-C7), watermarked at 60 s (J1), counted in 60 s / 10 s windows
+    (J3) in update mode (B8) through an idempotent per-batch writer (B4,
+    J7); the last version of each window wins."""
+    from ..plans.queries import page_view_payload_stateless
+    from .jobs import decoded_page_views
     base = scratch_path(spark, "stream_sliding_count")
-    ev = windows.with_watermark(events_stream(spark, sf).select("ts"), "ts", "60 seconds")
-    agg = windows.sliding_count(ev, "ts", "60 seconds", "10 seconds")
+    wire = page_view_payload_stateless(A.page_view_columns(events_stream(spark, sf)))
+    decoded = decoded_page_views(wire, with_parts=True)
+    ev = windows.with_watermark(decoded.select("ts_timestamp"), "ts_timestamp", "60 seconds")
+    agg = windows.sliding_count(ev, "ts_timestamp", "60 seconds", "10 seconds")
     q = writers.for_each_batch(agg, writers.idempotent_batch_writer(f"{base}/out"),
                                f"{base}/ck", mode="update", trigger="availableNow")
     run_until_done(q)
