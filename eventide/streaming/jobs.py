@@ -6,6 +6,8 @@ These are the reference's stream jobs as functions. Bounded runs use the
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,23 @@ def windowed_count_job(decoded: DataFrame, length: str = "60 seconds",
     return windows.format_windows(windows.sliding_count(w, ts_col, length, slide))
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Start a stateful stream with ``n`` state partitions (default: the
+    cluster's cores). The count is fixed in the query's checkpoint at its
+    first start, so the session setting is restored right after; AQE cannot
+    coalesce stateful stages, so the batch default (often 200) would mean
+    200 state-store tasks per operator per micro-batch."""
+    n = n or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def run_until_done(query) -> None:
     """Wait for a bounded (availableNow) query and surface its error."""
     query.awaitTermination()

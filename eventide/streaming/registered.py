@@ -13,7 +13,7 @@ from ..plans.oracle import SQL as BATCH_SQL
 from ..plans.oracle import pv_cte
 from ..session import scratch_path
 from ..sinks import writers
-from .jobs import events_stream, run_until_done
+from .jobs import events_stream, run_until_done, state_partitions
 from .stateful import auth_attempts_stream
 
 
@@ -36,9 +36,10 @@ def stream_sliding_count(spark: SparkSession, sf: str) -> DataFrame:
     decoded = decoded_page_views(wire, with_parts=True)
     ev = windows.with_watermark(decoded.select("ts_timestamp"), "ts_timestamp", "60 seconds")
     agg = windows.sliding_count(ev, "ts_timestamp", "60 seconds", "10 seconds")
-    q = writers.for_each_batch(agg, writers.idempotent_batch_writer(f"{base}/out"),
-                               f"{base}/ck", mode="update", trigger="availableNow")
-    run_until_done(q)
+    with state_partitions(spark):
+        run_until_done(writers.for_each_batch(agg, writers.idempotent_batch_writer(f"{base}/out"),
+                                              f"{base}/ck", mode="update",
+                                              trigger="availableNow"))
     res = spark.read.parquet(f"{base}/out")
     return windows.format_windows(_latest_per_key(res, ["window"], ["count"]), ["count"])
 
@@ -49,8 +50,9 @@ def stream_tumbling_closed(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "stream_tumbling_closed")
     ev = windows.with_watermark(events_stream(spark, sf).select("ts"), "ts", "10 minutes")
     agg = windows.tumbling_count(ev, "ts", "1 hour")
-    run_until_done(writers.write_stream(agg, f"{base}/out", f"{base}/ck", mode="append",
-                                        trigger="availableNow"))
+    with state_partitions(spark):
+        run_until_done(writers.write_stream(agg, f"{base}/out", f"{base}/ck", mode="append",
+                                            trigger="availableNow"))
     return windows.format_windows(spark.read.parquet(f"{base}/out"), ["count"])
 
 
@@ -61,8 +63,9 @@ def stream_sessions_closed(spark: SparkSession, sf: str) -> DataFrame:
                                 "ts", "30 minutes")
     agg = ev.groupBy(F.session_window("ts", "30 minutes").alias("s"), "user_id") \
         .agg(F.count(F.lit(1)).alias("n_events"))
-    run_until_done(writers.write_stream(agg, f"{base}/out", f"{base}/ck", mode="append",
-                                        trigger="availableNow"))
+    with state_partitions(spark):
+        run_until_done(writers.write_stream(agg, f"{base}/out", f"{base}/ck", mode="append",
+                                            trigger="availableNow"))
     r = spark.read.parquet(f"{base}/out")
     return r.select("user_id", F.unix_micros("s.start").alias("session_start"),
                     F.unix_micros("s.end").alias("session_end"), "n_events")
@@ -75,8 +78,9 @@ def stream_distinct_users(spark: SparkSession, sf: str) -> DataFrame:
     ev = windows.with_watermark(events_stream(spark, sf).select("ts", "user_id"),
                                 "ts", "10 minutes")
     agg = windows.distinct_per_window(ev, "ts", "user_id", "1 hour", out="users")
-    run_until_done(writers.write_stream(agg, f"{base}/out", f"{base}/ck", mode="append",
-                                        trigger="availableNow"))
+    with state_partitions(spark):
+        run_until_done(writers.write_stream(agg, f"{base}/out", f"{base}/ck", mode="append",
+                                            trigger="availableNow"))
     return windows.format_windows(spark.read.parquet(f"{base}/out"), ["users"])
 
 
@@ -131,8 +135,9 @@ def stream_auth_attempts(spark: SparkSession, sf: str) -> DataFrame:
     src = src.withWatermark("ts", "30 minutes")
     out = auth_attempts_stream(src, out_cols=["event_id", "ts", "session_id",
                                               "item_in_session", "level", "user_id", "tag"])
-    run_until_done(writers.write_stream(out, f"{base}/out", f"{base}/ck", mode="append",
-                                        trigger="availableNow"))
+    with state_partitions(spark):
+        run_until_done(writers.write_stream(out, f"{base}/out", f"{base}/ck", mode="append",
+                                            trigger="availableNow"))
     r = spark.read.parquet(f"{base}/out")
     return r.select("event_id", F.unix_micros("ts").alias("ts_us"), "session_id",
                     "item_in_session", "level", "user_id", "tag", "success")
