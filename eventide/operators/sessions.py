@@ -1,11 +1,13 @@
 """Sessions and in-session order.
 
-Every per-user / per-session ordered pass goes through
-:func:`eventide.operators.segmented.ordered_scan`, so a hot user or an
-endless session is split by time bucket instead of landing in one task.
-In-session values are scanned per user and carried with their session id;
-a value from another session is discarded. That keeps all scans on the same
-``(user, bucket)`` partitioning, so chained scans add no shuffle of the rows.
+No per-user or per-session window: rows are split by ``(user, time
+bucket)`` and values that cross a bucket border are carried through one
+summary row per bucket (see :mod:`eventide.operators.segmented`), so a hot
+user or an endless session is spread over many tasks. In-session values are
+carried with their session id; a value from another session is discarded.
+:func:`session_pass` does sessions, item numbers and all neighbours in one
+pass; :func:`in_session_neighbours` is the generic form for tables that
+already carry a session id.
 """
 
 from __future__ import annotations
@@ -49,57 +51,9 @@ def sessionize(df: DataFrame, user_col: str = "user_id", ts_col: str = "ts",
     stable. Order is ``(ts, id)``. Buckets are a day per user, a minute for
     users the sample finds hot (``bucket_seconds="auto"``), or a fixed width.
     """
-    order = [ts_col, id_col]
-    d = _bucket(df, user_col, ts_col, bucket_seconds)
-    part = [user_col, BUCKET]
-    w = Window.partitionBy(*part).orderBy(*order)
-    sw = Window.partitionBy(user_col).orderBy(BUCKET)
-    up = Window.unboundedPreceding
-    gap_us = F.lit(int(gap_seconds) * 1_000_000)
-    ts, rid = F.col(ts_col), F.col(id_col)
-
-    # local pass: a row after the first of its bucket starts a session when
-    # the gap to the row before is larger than the gap; the first row's
-    # status needs the previous bucket (from the summary below)
-    loc = d.select("*", F.row_number().over(w).alias("_rn"), F.lag(ts).over(w).alias("_lts"))
-    loc = loc.select("*", ((F.col("_rn") > 1) & ((_us(ts) - _us("_lts")) > gap_us)).alias("_nl"))
-    loc = loc.select(
-        "*",
-        F.last(F.when(F.col("_nl"), rid), ignorenulls=True)
-        .over(w.rowsBetween(up, 0)).alias("_sid_l"),
-        F.last(F.when(F.col("_nl"), F.col("_rn")), ignorenulls=True)
-        .over(w.rowsBetween(up, 0)).alias("_srn_l"))
-
-    # one summary row per (user, bucket)
-    summ = loc.groupBy(*part).agg(
-        F.min(ts).alias("_fts"), F.max(ts).alias("_lts_b"),
-        F.min_by(rid, F.col("_rn")).alias("_fid"), F.count(F.lit(1)).alias("_cnt"),
-        F.max_by(rid, F.when(F.col("_nl"), F.col("_rn"))).alias("_lsid"),
-        F.max(F.when(F.col("_nl"), F.col("_rn"))).alias("_lsrn"))
-    summ = summ.select(
-        "*", F.lag("_lts_b").over(sw).alias("_plts"),
-        F.coalesce(F.sum("_cnt").over(sw.rowsBetween(up, -1)), F.lit(0)).alias("_before"))
-    first_new = F.col("_plts").isNull() | ((_us("_fts") - _us("_plts")) > gap_us)
-    summ = summ.select(
-        *part, "_fid", "_before", first_new.alias("_fnew"),
-        # session open at the end of the bucket, and its start position
-        F.coalesce(F.col("_lsid"), F.when(first_new, F.col("_fid"))).alias("_xid"),
-        F.coalesce(F.col("_lsrn") - 1 + F.col("_before"),
-                   F.when(first_new, F.col("_before"))).alias("_xidx"))
-    carry = sw.rowsBetween(up, -1)
-    summ = summ.select(
-        *[F.col(k).alias(f"_k_{k}") for k in part], "_before",
-        F.when(F.col("_fnew"), F.col("_fid"))
-        .otherwise(F.last("_xid", ignorenulls=True).over(carry)).alias("_eid"),
-        F.when(F.col("_fnew"), F.col("_before"))
-        .otherwise(F.last("_xidx", ignorenulls=True).over(carry)).alias("_eidx"))
-
-    j = loc.join(summ, [loc[k] == summ[f"_k_{k}"] for k in part], "left")
-    uidx = F.col("_rn") - 1 + F.col("_before")
-    start = F.coalesce(F.col("_srn_l") - 1 + F.col("_before"), F.col("_eidx"))
-    keep = [c for c in d.columns if keep_bucket or c != BUCKET]
-    return j.select(*keep, F.coalesce(F.col("_sid_l"), F.col("_eid")).alias(session_col),
-                    (uidx - start).cast("int").alias(item_col))
+    return session_pass(df, user_col, ts_col, id_col, gap_seconds,
+                        bucket_seconds=bucket_seconds, session_col=session_col,
+                        item_col=item_col, keep_bucket=keep_bucket)
 
 
 def is_redirect(status_col: str = "status") -> Column:
