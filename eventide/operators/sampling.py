@@ -39,7 +39,8 @@ def total_weight(items: DataFrame, weight_col: str) -> Column:
 
 def seeded_key(key: Column, total: Column, seed: int = 0) -> Column:
     """H4: deterministic draw on [0, total) from a key (no ``rand()``, so a
-    retried task draws the same value)."""
+    retried task draws the same value). Spark chains column hashes, so this
+    is XXH64 of the seed value seeded with XXH64 of the key."""
     return F.pmod(F.xxhash64(key, F.lit(seed)), total)
 
 

@@ -395,6 +395,22 @@ def weighted_pick(spark, sf):
     return range_lookup(keys, "k", ranges, width).select("c_custkey", "p_partkey")
 
 
+def weighted_pick_seeded(spark, sf, seed: int = 42):
+    """H4 as the generator does it: a seeded, deterministic draw per key
+    (``pmod(xxhash64(key, seed), total)``; no ``rand()``, so a retried task
+    draws the same). No SQL twin (DuckDB has no xxhash64); the tests check it
+    against a brute-force recomputation."""
+    from ..operators.sampling import seeded_key
+    part = A.table(spark, sf, "part").select("p_partkey", "p_size")
+    total = total_weight(part, "p_size")
+    n = part.agg(F.count(F.lit(1))).scalar()
+    ranges = prefix_ranges(part, "p_size", "p_partkey")
+    keys = A.table(spark, sf, "customer").select(
+        "c_custkey", seeded_key(F.col("c_custkey"), total, seed).alias("k"))
+    width = F.greatest(F.lit(1).cast("long"), F.ceil(total / n).cast("long"))
+    return range_lookup(keys, "k", ranges, width).select("c_custkey", "p_partkey")
+
+
 def next_track(spark, sf):
     """H5 F8: each order line asks for the track after its part's track:
     drawn from that track's similar list (weighted by plays), or from all
@@ -460,5 +476,6 @@ QUERIES = {
     "geo_dimension": geo_dimension,
     "prefix_weights": prefix_weights,
     "weighted_pick": weighted_pick,
+    "weighted_pick_seeded": weighted_pick_seeded,
     "next_track": next_track,
 }
