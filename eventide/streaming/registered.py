@@ -14,7 +14,6 @@ from ..plans.oracle import pv_cte
 from ..session import scratch_path
 from ..sinks import writers
 from .jobs import events_stream, run_until_done, state_partitions
-from .stateful import auth_attempts_stream
 
 
 def _latest_per_key(df: DataFrame, keys: list[str], value_cols: list[str]) -> DataFrame:
@@ -125,16 +124,14 @@ def foreach_batch_append(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_auth_attempts(spark: SparkSession, sf: str) -> DataFrame:
-    """Sessionized page views (a table Spark derives from events) read
-    as a stream; the previous page is kept in per-session state."""
+    """G5 G2 J6 D3 on a stream: the events stream, mapped to page views
+    row by row, is sessionized and followed page by page in per-user state;
+    login attempts come out as their sessions go on."""
+    from .stateful import sessionized_auth_attempts_stream
     base = scratch_path(spark, "stream_auth_attempts")
-    pv = A.page_views(spark, sf).select("event_id", "ts", "session_id", "item_in_session",
-                                        "page", "status", "auth", "level", "user_id", "tag")
-    pv.write.parquet(f"{base}/pv")
-    src = spark.readStream.schema(pv.schema).parquet(f"{base}/pv")
-    src = src.withWatermark("ts", "30 minutes")
-    out = auth_attempts_stream(src, out_cols=["event_id", "ts", "session_id",
-                                              "item_in_session", "level", "user_id", "tag"])
+    pv = A.page_view_columns(events_stream(spark, sf)).withWatermark("ts", "30 minutes")
+    out = sessionized_auth_attempts_stream(
+        pv, out_cols=["event_id", "ts", "user_id", "level", "tag"])
     with state_partitions(spark):
         run_until_done(writers.write_stream(out, f"{base}/out", f"{base}/ck", mode="append",
                                             trigger="availableNow"))

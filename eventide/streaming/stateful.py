@@ -116,3 +116,74 @@ def auth_attempts_stream(page_views: DataFrame, session_col: str = "session_id",
 def _gap_ms(gap: str) -> int:
     n, unit = gap.split()
     return int(n) * {"second": 1000, "minute": 60_000, "hour": 3_600_000}[unit.rstrip("s")]
+
+
+SESSION_STATE_SCHEMA = ("session long, item long, last_ts_us long, last_page string, "
+                        "last_prev string")
+
+
+def sessionized_auth_attempts_stream(page_views: DataFrame, user_col: str = "user_id",
+                                     ts_col: str = "ts", id_col: str = "event_id",
+                                     page_col: str = "page", status_col: str = "status",
+                                     auth_col: str = "auth", gap_seconds: int = 1800,
+                                     out_cols: list[str] | None = None) -> DataFrame:
+    """G5 + G2 + J6 + D3 on a stream of page views without session ids.
+
+    Per user the state holds the open session (id = its first event id), its
+    item count, the last event time, the last page and the last previous
+    page. A batch's rows are ordered by ``(ts, id)``; a gap of more than
+    ``gap_seconds`` (also from the stored last time) starts a session. The
+    state times out one gap after the user's last event, when the session
+    can no longer continue. Output: ``out_cols`` + ``session_id``,
+    ``item_in_session`` and ``success`` for rows whose previous page is the
+    login page.
+    """
+    out_cols = out_cols or [c for c in page_views.columns
+                            if c not in (page_col, status_col, auth_col)]
+    types = dict(page_views.dtypes)
+    out_schema = ", ".join([f"`{c}` {types[c]}" for c in out_cols] +
+                           ["session_id bigint", "item_in_session int", "success boolean"])
+    gap_us = int(gap_seconds) * 1_000_000
+
+    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        pdf = pd.concat(list(pdfs), ignore_index=True)
+        if state.exists:
+            sess, item, last_us, last_page, last_prev = state.get
+        else:
+            sess, item, last_us, last_page, last_prev = None, -1, None, None, None
+        pdf = pdf.sort_values([ts_col, id_col], kind="stable").reset_index(drop=True)
+        us = pd.to_datetime(pdf[ts_col], utc=True).astype("int64").to_numpy() // 1_000
+        if last_us is not None:  # rows not newer than the state are late: dropped
+            keep = us > last_us
+            pdf, us = pdf[keep].reset_index(drop=True), us[keep]
+        if len(pdf) == 0:
+            return
+        prev_us = np.concatenate([[last_us if last_us is not None else -1], us[:-1]])
+        new = (prev_us < 0) | (us - prev_us > gap_us)
+        if last_us is None:
+            new[0] = True
+        ids = pdf[id_col].to_numpy()
+        sid = pd.Series(np.where(new, ids, -1)).replace(-1, np.nan).ffill()
+        sid = sid.fillna(sess if sess is not None else -1).astype("int64")
+        # item number: position since the session start, continuing the state
+        grp = np.cumsum(new)
+        pos = pd.Series(np.arange(len(pdf))).groupby(grp).cumcount().to_numpy()
+        item_no = np.where(grp == 0, item + 1 + pos, pos)
+        prev = previous_pages(pdf.assign(_sid=sid.to_numpy()), page_col, status_col,
+                              last_page, last_prev, "_sid", sess)
+        state.update((int(sid.iloc[-1]), int(item_no[-1]), int(us[-1]),
+                      pdf[page_col].iloc[-1], prev.iloc[-1]))
+        state.setTimeoutTimestamp(int(us[-1] // 1000) + gap_us // 1000 + 1)
+        hit = (prev == LOGIN).to_numpy()
+        if hit.any():
+            res = pdf.loc[hit, out_cols].copy()
+            res["session_id"] = sid.to_numpy()[hit]
+            res["item_in_session"] = item_no[hit].astype("int32")
+            res["success"] = (pdf.loc[hit, auth_col] == "Logged In").to_numpy()
+            yield res
+
+    return page_views.groupBy(user_col).applyInPandasWithState(
+        step, out_schema, SESSION_STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
