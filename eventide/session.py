@@ -32,7 +32,7 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str | None = None, app_name: str = "eventide",
-                  shuffle_partitions: int | None = None,
+                  shuffle_partitions: int | None = None, input_bytes: int | None = None,
                   conf: dict | None = None,
                   catalogs: dict | None = None,
                   packages: list[str] | None = None,
@@ -42,7 +42,11 @@ def build_session(master: str | None = None, app_name: str = "eventide",
     ``catalogs`` maps a catalog name to (implementation class, options) so that
     three-part names ``cat.db.table`` resolve (external JDBC or lake catalogs).
     ``packages`` lands in ``spark.jars.packages`` (connector jars).
+    ``input_bytes`` (the size of the data a job reads) sizes the initial
+    shuffle partitions when ``shuffle_partitions`` is not given.
     """
+    if shuffle_partitions is None and input_bytes:
+        shuffle_partitions = shuffle_partitions_for(input_bytes)
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
