@@ -76,9 +76,17 @@ def add_range_bucket(df: DataFrame, order: list[str], n: int | None = None,
     """Bucket for a scan with no key (a global order): range-partition by
     the order columns (Spark samples the bounds, so buckets are balanced
     even when one time range or value is hot) and use the partition id,
-    which increases with the order."""
+    which increases with the order.
+
+    The sampled bounds depend on the exchange that computes them, and a scan
+    reads its input in two branches (rows and summary) that Spark may not
+    share. So the bucketed rows are written once to the shared checkpoint
+    folder and read back; both branches then see the same buckets.
+    """
+    from ..session import materialize
     n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *order).withColumn(name, F.spark_partition_id())
+    return materialize(df.repartitionByRange(n, *order).withColumn(name, F.spark_partition_id()),
+                       "range_buckets")
 
 
 @dataclass(frozen=True)

@@ -188,3 +188,18 @@ def test_seeded_pick_brute_force(spark):
         exp = next(p for a, b, p in bounds if a <= k < b)
         assert got[c] == exp
     assert len(got) == len(custs)
+
+
+def test_global_prefix_ranges_stable_buckets(spark):
+    """Regression: the range buckets must be the same in the row branch and
+    the summary branch (they prune different columns, so Spark may run the
+    sampled range exchange twice)."""
+    rnd = random.Random(9)
+    rows = [(i, rnd.randint(0, 1000), "x" * rnd.randint(0, 5)) for i in range(20000)]
+    items = spark.createDataFrame(rows, "k long, w long, pad string")
+    got = {r.k: (r.lo, r.hi) for r in prefix_ranges(items, "w", "k").collect()}
+    lo, exp = 0, {}
+    for k, w, _ in rows:
+        exp[k] = (lo, lo + w)
+        lo += w
+    assert got == exp
