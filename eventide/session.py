@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -77,17 +78,22 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20,
     return max(min_partitions, -(-int(input_bytes) // int(target_bytes)))
 
 
+SCRATCH_KEY = "eventide.scratch.dir"
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator (an HDFS / object-store path that
     all executors see). Only when it is unset (tests, local runs) do we pick a
-    scratch folder and record it in the session so later calls agree.
+    scratch folder; ``spark.checkpoint.dir`` cannot be changed on a running
+    session, so the choice is kept under the library's own key so that
+    later calls agree.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_KEY, None)
     if not d:
         d = tempfile.mkdtemp(prefix="eventide-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        spark.conf.set(SCRATCH_KEY, d)
     try:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(d)
@@ -122,3 +128,44 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, "tables", name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``eventide`` importable in the Python workers.
+
+    Only the stateful stream operators run library Python code in tasks. If
+    the workers cannot import the package (it was not installed on the
+    cluster or passed with ``--py-files``), it is zipped once and handed to
+    ``SparkContext.addPyFile``, which sends it to every executor.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: ship with the client's artifacts instead
+        return
+    if sc.applicationId in _SHIPPED:
+        return
+
+    def probe(_):
+        import importlib.util
+        yield importlib.util.find_spec("eventide") is not None
+
+    if all(sc.parallelize([0], 1).mapPartitions(probe).collect()):
+        _SHIPPED.add(sc.applicationId)
+        return
+    import shutil
+
+    import eventide
+    root = os.path.dirname(os.path.dirname(os.path.abspath(eventide.__file__)))
+    base = checkpoint_dir(spark)
+    local = base[5:] if base.startswith("file:") else base
+    if "://" in local:  # a cluster file system: build the zip on the driver
+        local = tempfile.mkdtemp(prefix="eventide-pkg-")
+    out = os.path.join(local, "eventide-pkg", uuid.uuid4().hex)
+    os.makedirs(out, exist_ok=True)
+    zip_path = shutil.make_archive(os.path.join(out, "eventide"), "zip", root_dir=root,
+                                   base_dir="eventide")
+    sc.addPyFile(zip_path)
+    _SHIPPED.add(sc.applicationId)

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..session import ship_package
+
 LOGIN = "Login"
 STATE_SCHEMA = ("session long, last_page string, last_prev string, last_item long, "
                 "last_ts_ms long")
@@ -109,6 +111,7 @@ def auth_attempts_stream(page_views: DataFrame, session_col: str = "session_id",
             res["success"] = (pdf.loc[hit, auth_col] == "Logged In").to_numpy()
             yield res
 
+    ship_package(page_views.sparkSession)
     return page_views.groupBy(user_col).applyInPandasWithState(
         step, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
@@ -185,5 +188,6 @@ def sessionized_auth_attempts_stream(page_views: DataFrame, user_col: str = "use
             res["success"] = (pdf.loc[hit, auth_col] == "Logged In").to_numpy()
             yield res
 
+    ship_package(page_views.sparkSession)
     return page_views.groupBy(user_col).applyInPandasWithState(
         step, out_schema, SESSION_STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
