@@ -52,10 +52,9 @@ def range_lookup(keys: DataFrame, k_col: str, ranges: DataFrame,
     bucket it overlaps (at most ``weight / width + 2``). The join is then an
     equi-join on (group, bucket) plus the range filter. ``width`` is a
     number, a scalar column, or the name of a per-group column present on
-    both sides. The copied side is never broadcast on a static estimate (its
-    size after the copy is not known from the files): the join is
-    sort-merge, and AQE may still switch it to a broadcast from measured
-    sizes or split a hot bucket with its skew join.
+    both sides. The copied side is never broadcast (its size after the copy
+    is not known from the files): the join is hinted sort-merge, and AQE's
+    skew join splits a hot bucket.
     """
     group = group or []
     if isinstance(width, int):
