@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventide.llm.common import broadcast_within, row_keys, table, text_chunks
@@ -278,7 +278,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     windows = materialize(texts.filter("hot").mapInArrow(_windows(length), "m long, c long, off long, h1 long, h2 long"),
                           "sub_windows")
     twice = materialize(windows.groupBy("h1", "h2").count().filter("count > 1").select("h1", "h2"), "sub_twice")
-    warm = windows.join(twice, ["h1", "h2"]).select("m", "c", "off", F.lit(1).cast("long").alias("n"))
+    warm = windows.join(twice, ["h1", "h2"])
+    # neighbouring windows become one run; a window's partition is one content
+    in_content = Window.partitionBy("m", "c").orderBy("off")
+    warm = (warm.withColumn("run", F.col("off") - F.row_number().over(in_content)).groupBy("m", "c", "run")
+            .agg(F.min("off").alias("off"), F.count("*").alias("n")).select("m", "c", "off", "n"))
     copied = contents.filter("n > 1").select("m", "c", F.lit(0).cast("long").alias("off"),
                                              (size - (length - 1)).alias("n"))
     found = materialize(copied.unionByName(cold).unionByName(warm)
