@@ -209,10 +209,12 @@ def learn_rules(docs: DataFrame, labels: DataFrame, label: str = "quality", bad:
            .select(F.col(id_col).alias("_id"), (F.col(label) == bad).alias("_bad"))
            .orderBy(F.xxhash64("_id"), "_id", "_bad").limit(max_rows))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(ids), "_id")
-    st = text_stats(rows, "_text", "_s").filter(~base_failed(F.col("_s")))  # what the list will see
+    st = text_stats(rows, "_text", "_s")
     cols = features(F.col("_s"))
-    got = (st.select("_bad", "_id", *[c.alias(k) for k, c in cols.items()])
+    got = (st.select("_bad", "_id", base_failed(F.col("_s")).alias("_failed"), *[c.alias(k) for k, c in cols.items()])
            .orderBy(F.xxhash64("_id"), "_id", "_bad", "words", "mean_word").limit(max_rows).toPandas())
+    # filtered here: a filter on the counts would be pushed below the join, to all texts
+    got = got[~got["_failed"].astype(bool)]
     if got.empty:
         return []
     names = list(cols)
