@@ -83,9 +83,10 @@ def one_text(text: str | None) -> tuple:
                 seen.add(line)
     count = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
     at = lambda chars: int(count[list(chars)].sum())
+    sizes = np.fromiter(map(len, words), np.int64, n)
     blanks = at(b" \t\n\x0b\x0c\r")
     return (n, len(text) - blanks, at(SYMBOLS.encode()), dup, repeated_words(words), len(lines),
-            at(_UPPER), at(_DIGIT), at(_PUNCT), len(set(words)), sum(len(w) < 3 for w in words),
+            at(_UPPER), at(_DIGIT), at(_PUNCT), len(set(words)), int((sizes < 3).sum()),
             len(raw) - blanks - at(_DIGIT) - at(_PUNCT) - at(SYMBOLS.encode()))
 
 
