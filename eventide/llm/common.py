@@ -27,6 +27,12 @@ def row_keys(doc_id: Column, text: Column) -> tuple[Column, Column]:
     return F.xxhash64(doc_id, text), F.xxhash64(F.lit(7), text, doc_id)
 
 
+def keyed_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """_row (all columns, so that none clashes), _k1, _k2."""
+    k1, k2 = row_keys(F.col(id_col), F.col(text_col))
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), k1.alias("_k1"), k2.alias("_k2"))
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only. ``lower`` does that for pure ASCII and is much
     faster than ``translate``, which the rest takes."""

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import broadcast_within, row_keys, table
+from eventide.llm.common import broadcast_within, keyed_rows, row_keys, table
 from eventide.session import materialize
 
 SHINGLE = 5
@@ -183,11 +183,10 @@ def _leaks(rows: DataFrame, item_rows: DataFrame, k: int, similarity: float, rad
 
 def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that match no benchmark item."""
-    k1, k2 = row_keys(F.col(id_col), F.col(text_col))
     bad = materialize(find_leaks(docs, items, id_col=id_col, text_col=text_col, **how)
                       .select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct(), "bench_bad")
-    return (docs.withColumns({"_k1": k1, "_k2": k2})
-            .join(broadcast_within(bad, MAX_BROADCAST), ["_k1", "_k2"], "left_anti").drop("_k1", "_k2"))
+    return (keyed_rows(docs, id_col, text_col)
+            .join(broadcast_within(bad, MAX_BROADCAST), ["_k1", "_k2"], "left_anti").select("_row.*"))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

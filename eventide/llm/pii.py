@@ -88,7 +88,7 @@ def _part_ok(p: str) -> bool:
     return len(p) < 3 or (len(p) == 3 and p <= "255")
 
 
-def account_after(text: str, at: int) -> tuple[int, int] | None:
+def account_after(text: str, at: int, cue: str = "") -> tuple[int, int] | None:
     """The identifier that a cue ending at ``at`` announces."""
     gap = _CUE_GAP.match(text, at, at + 24)
     at = gap.end() if gap else at
@@ -101,6 +101,8 @@ def account_after(text: str, at: int) -> tuple[int, int] | None:
         if cut < 0:
             break
         m = _IBAN.match(text, at, cut)
+    if cue == "iban":
+        return None
     m = _SSN.match(text, at)
     if m:
         return m.span()
@@ -159,7 +161,7 @@ def find_spans(text: str | None) -> dict[str, list[tuple[int, int]]]:
                 out["address"].append((end - n, stop))
                 last = stop
         elif what == "cue" and not text[end:end + 1].isalpha():
-            m = account_after(text, end)
+            m = account_after(text, end, folded[end - n:end])
             if m:
                 out["account"].append(m)
                 last = m[1]

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm.common import broadcast_within, row_keys, table
+from eventide.llm.common import broadcast_within, keyed_rows, row_keys, table
 from eventide.llm.components import connected_components
 from eventide.session import materialize, ship_package
 
@@ -225,13 +225,13 @@ def keep_one(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS, id_col: st
     best = materialize(best, "simhash_best")
     again = materialize(rows.groupBy(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).count().filter("count > 1")
                         .select("_k1", "_k2"), "simhash_equal_rows")
-    keyed = docs.withColumns({"_k1": k1, "_k2": k2})
+    keyed = keyed_rows(docs, id_col, text_col)
     single = keyed.join(best.join(again, ["_k1", "_k2"], "left_anti"), ["_k1", "_k2"], "left_semi")
     if again.isEmpty():
-        return single.drop("_k1", "_k2")
+        return single.select("_row.*")
     double = (keyed.join(best.join(again, ["_k1", "_k2"], "left_semi"), ["_k1", "_k2"], "left_semi")
               .dropDuplicates(["_k1", "_k2"]))
-    return single.unionByName(double).drop("_k1", "_k2")
+    return single.unionByName(double).select("_row.*")
 
 
 def hex16(fp: Column) -> Column:
