@@ -39,33 +39,6 @@ def add_time_bucket(df: DataFrame, ts_col: str, width_seconds: int,
     return df.withColumn(name, F.floor(us / F.lit(int(width_seconds) * 1_000_000)))
 
 
-def add_skew_aware_bucket(df: DataFrame, key: str, ts_col: str, coarse_seconds: int = 86400,
-                          fine_seconds: int = 60, fraction: float = 0.01,
-                          min_hits: int = 10_000, seed: int = 17,
-                          name: str = BUCKET) -> DataFrame:
-    """Time bucket whose width depends on how hot the key is.
-
-    A seeded ``fraction`` sample counts rows per key; a key with at least
-    ``min_hits`` sampled rows (about ``min_hits / fraction`` rows in all) is
-    hot and gets ``fine_seconds`` buckets, every other key
-    ``coarse_seconds``. The width is fixed per key, so buckets stay monotone
-    in time within a key. The hot list has at most
-    ``sampled rows / min_hits`` entries (one per million rows of input with
-    the defaults): that bound is what makes its broadcast safe. Nothing is
-    dropped or capped; hot keys are only cut finer.
-    """
-    hot = (df.select(key).sample(fraction=fraction, seed=seed)
-           .groupBy(key).agg(F.count(F.lit(1)).alias("_hits"))
-           .where(F.col("_hits") >= min_hits)
-           .select(F.col(key).alias("_hot_key"), F.lit(True).alias("_hot")))
-    d = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    width = F.when(F.col("_hot"), F.lit(int(fine_seconds) * 1_000_000)) \
-        .otherwise(F.lit(int(coarse_seconds) * 1_000_000))
-    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    return d.select(*[F.col(c) for c in df.columns],
-                    F.floor(us / width).cast("long").alias(name))
-
-
 def add_value_bucket(df: DataFrame, col: str, width: int, name: str = BUCKET) -> DataFrame:
     """Bucket a numeric order column (for scans not ordered by time)."""
     return df.withColumn(name, F.floor(F.col(col) / F.lit(int(width))))
@@ -120,6 +93,10 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[S
     scans share one local window, one summary aggregate, one summary window
     and one join.
     """
+    columns = df.columns
+    if keys:  # one struct stands for the keys: it equals itself also where they are null
+        df = df.withColumn("_key", F.struct(*keys))
+        keys = ["_key"]
     part = [*keys, bucket]
     w = Window.partitionBy(*part).orderBy(*order)
     w_all = Window.partitionBy(*part)
@@ -188,9 +165,8 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[S
         *([F.col("_before")] if need_before else []),
         *[c.alias(f"_c_{o}") for o, c in carry.items()])
 
-    # plain equality keeps the join on the rows' existing partitioning (a
-    # null-safe key would re-shuffle them); rows with a null key get no
-    # carry across buckets, so keys are expected to be non-null
+    # plain equality of structs keeps the join on the rows' existing
+    # partitioning and matches null keys
     cond = [loc[k] == summ[f"_k_{k}"] for k in part]
     j = loc.join(summ, cond, "left")
 
@@ -211,5 +187,5 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[S
         else:
             e = F.coalesce(lc, F.lit(0)) + F.coalesce(cc, F.lit(0))
         outs.append(e.alias(s.out))
-    return j.select(*[F.col(c) for c in df.columns], *outs)
+    return j.select(*[F.col(c) for c in columns], *outs)
 

@@ -15,9 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .segmented import BUCKET, Scan, add_skew_aware_bucket, add_time_bucket, ordered_scan
+from .segmented import BUCKET, Scan, add_time_bucket, ordered_scan
 
 DAY = 86400
+# One fixed width for every key: a user with a third of all events is cut into
+# hours like anyone else, and rows and summaries can never disagree.
+HOUR = 3600
 END = "(end)"
 
 
@@ -35,7 +38,7 @@ def _bucket(df: DataFrame, user_col: str, ts_col: str, bucket_seconds) -> DataFr
     if BUCKET in df.columns:
         return df
     if bucket_seconds == "auto":
-        return add_skew_aware_bucket(df, user_col, ts_col)
+        bucket_seconds = HOUR
     return add_time_bucket(df, ts_col, bucket_seconds)
 
 
@@ -252,11 +255,13 @@ def session_pass(df: DataFrame, user_col: str = "user_id", ts_col: str = "ts",
     page is the value of the last anchor at or before it.
     """
     order = [ts_col, id_col]
-    d = _bucket(df, user_col, ts_col, bucket_seconds)
-    part = [user_col, BUCKET]
+    rows = _bucket(df, user_col, ts_col, bucket_seconds)
+    # a struct equals itself also where the user is null (logged-out rows)
+    d = rows.withColumn("_key", F.struct(F.col(user_col).alias("k")))
+    part = ["_key", BUCKET]
     w = Window.partitionBy(*part).orderBy(*order)
     w_all = Window.partitionBy(*part)
-    sw = Window.partitionBy(user_col).orderBy(BUCKET)
+    sw = Window.partitionBy("_key").orderBy(BUCKET)
     up = Window.unboundedPreceding
     gap_us = F.lit(int(gap_seconds) * 1_000_000)
     ts, rid = F.col(ts_col), F.col(id_col)
@@ -360,5 +365,5 @@ def session_pass(df: DataFrame, user_col: str = "user_id", ts_col: str = "ts",
     if want_prev_page:
         outs.append(F.coalesce(F.col("_pa_l"), F.col("_r1anc"), F.col("_canc"))["v"]
                     .alias("previous_page"))
-    keep = [c for c in d.columns if keep_bucket or c != BUCKET]
+    keep = [c for c in rows.columns if keep_bucket or c != BUCKET]
     return j.select(*keep, *outs)

@@ -88,9 +88,9 @@ FROM events"""
 SQL["decode_events"] = f"""
 WITH {pv_cte()}
 SELECT strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y-%m-%d %H:%M:%S.%g') AS ts_timestamp,
-       epoch_us(ts) // 1000 AS ts, CAST(session_id AS INTEGER) AS sessionid, page, auth, method,
+       epoch_us(ts) // 1000 AS ts, CAST(session_id AS BIGINT) AS sessionid, page, auth, method,
        CAST(status AS INTEGER) AS status, level, CAST(item_in_session AS INTEGER) AS iteminsession,
-       CAST(NULL AS VARCHAR) AS city, CAST(user_id AS INTEGER) AS userid, duration, tag,
+       CAST(NULL AS VARCHAR) AS city, CAST(user_id AS BIGINT) AS userid, duration, tag,
        'page_view_events' AS topic, CAST(user_id % 5 AS INTEGER) AS partition, event_id AS offset
 FROM pv"""
 

@@ -20,22 +20,22 @@ TOPICS = [PAGE_VIEW, LISTEN, STATUS_CHANGE, AUTH]
 USER_BLOCK = [
     ("city", "string"), ("zip", "string"), ("state", "string"),
     ("userAgent", "string"), ("lon", "double"), ("lat", "double"),
-    ("userId", "int"), ("lastName", "string"), ("firstName", "string"),
+    ("userId", "bigint"), ("lastName", "string"), ("firstName", "string"),
     ("gender", "string"), ("registration", "bigint"),
 ]
 SONG_BLOCK = [("artist", "string"), ("song", "string"), ("duration", "double")]
 
 _FIELDS = {
-    PAGE_VIEW: [("ts", "bigint"), ("sessionId", "int"), ("page", "string"),
+    PAGE_VIEW: [("ts", "bigint"), ("sessionId", "bigint"), ("page", "string"),
                 ("auth", "string"), ("method", "string"), ("status", "int"),
                 ("level", "string"), ("itemInSession", "int")]
     + USER_BLOCK + SONG_BLOCK,
-    STATUS_CHANGE: [("ts", "bigint"), ("sessionId", "int"), ("auth", "string"),
+    STATUS_CHANGE: [("ts", "bigint"), ("sessionId", "bigint"), ("auth", "string"),
                     ("level", "string"), ("itemInSession", "int")] + USER_BLOCK,
-    LISTEN: SONG_BLOCK + [("ts", "bigint"), ("sessionId", "int"),
+    LISTEN: SONG_BLOCK + [("ts", "bigint"), ("sessionId", "bigint"),
                           ("auth", "string"), ("level", "string"),
                           ("itemInSession", "int")] + USER_BLOCK,
-    AUTH: [("ts", "bigint"), ("sessionId", "int"), ("level", "string"),
+    AUTH: [("ts", "bigint"), ("sessionId", "bigint"), ("level", "string"),
            ("itemInSession", "int")] + USER_BLOCK + [("success", "boolean")],
 }
 

@@ -86,12 +86,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this is set by the operator (an HDFS / object-store path that
     all executors see). Only when it is unset (tests, local runs) do we pick a
-    scratch folder; ``spark.checkpoint.dir`` cannot be changed on a running
+    scratch folder, on a local master only (a cluster without the setting is
+    an error); ``spark.checkpoint.dir`` cannot be changed on a running
     session, so the choice is kept under the library's own key so that
     later calls agree.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_KEY, None)
     if not d:
+        # ``local[...]`` runs one machine; ``local-cluster[...]`` does not count
+        if not spark.conf.get("spark.master", "").split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="eventide-ckpt-")
         spark.conf.set(SCRATCH_KEY, d)
     try:

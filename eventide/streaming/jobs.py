@@ -17,10 +17,11 @@ from ..operators import windows
 from ..sinks import writers
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1000) -> DataFrame:
     """The driver's events table read as a file stream (a glob, as a file
-    stream source watches a folder), ``ts`` as TIMESTAMP."""
-    src = spark.readStream.schema(S.EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
+    stream source watches a folder), ``ts`` as TIMESTAMP. ``max_files`` bounds
+    a micro-batch."""
+    src = spark.readStream.schema(S.EVENTS_SCHEMA).option("maxFilesPerTrigger", str(max_files)).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
     return src.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

@@ -126,7 +126,7 @@ def foreach_batch_append(spark: SparkSession, sf: str) -> DataFrame:
 def stream_auth_attempts(spark: SparkSession, sf: str) -> DataFrame:
     """G5 G2 J6 D3 on a stream: the events stream, mapped to page views
     row by row, is sessionized and followed page by page in per-user state;
-    login attempts come out as their sessions go on."""
+    login attempts come out once the watermark has passed them."""
     from .stateful import sessionized_auth_attempts_stream
     base = scratch_path(spark, "stream_auth_attempts")
     pv = A.page_view_columns(events_stream(spark, sf)).withWatermark("ts", "30 minutes")
@@ -173,5 +173,8 @@ SELECT method, page, count(*) AS n FROM pv GROUP BY 1, 2""",
     "foreach_batch_append": """
 SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS n_distinct
 FROM events GROUP BY 1""",
-    "stream_auth_attempts": BATCH_SQL["auth_attempts"],
+    # rows are followed once the watermark has passed them
+    "stream_auth_attempts": f"""
+SELECT * FROM ({BATCH_SQL["auth_attempts"]}) AS a
+WHERE ts_us <= ((SELECT epoch_us(max(ts)) FROM events) // 1000 - 1800000) * 1000""",
 }

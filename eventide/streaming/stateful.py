@@ -1,21 +1,23 @@
 """Previous page / login attempts on a stream.
 
 ``lag`` is not allowed on streams, so the redirect-aware previous page is
-kept in state with ``applyInPandasWithState``. State is kept per user (a
-user's sessions follow each other in time), holding
-``(session, last_page, last_previous, last_item, last_ts_ms)``; rows of a
-batch are processed in ``(ts, session, item)`` order and the state times out
-once the watermark passes the session gap, so it is bounded by active users.
-Keying by user instead of by session cuts the number of Python group calls
-per batch to the number of active users.
-
-Rows of a user must arrive in time order across batches (a topic keyed by
-user gives that); a row not newer than the stored last row is dropped.
+kept in state with ``applyInPandasWithState``, per user (a user's sessions
+follow each other in time).
+
+Rows may come in any order the watermark accepts. A row is held in the user's
+state until the watermark has passed it, because only then no earlier row can
+still arrive; the rows due are then followed in event-time order (ties by
+session and item, or by id). No accepted row is dropped. An event-time timeout
+fires when the next held row is due, or, with nothing held, one session gap
+after the last row, when the state goes. So the state holds the rows of the
+watermark delay and one small tuple per active user; rows of one user in one
+batch are bounded by the trigger size (``maxFilesPerTrigger``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,8 +27,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..session import ship_package
 
 LOGIN = "Login"
-STATE_SCHEMA = ("session long, last_page string, last_prev string, last_item long, "
-                "last_ts_ms long")
+STATE_SCHEMA = "session long, last_page string, last_prev string, last_us long, held binary"
 
 
 def previous_pages(pdf: pd.DataFrame, page_col: str, status_col: str,
@@ -43,9 +44,8 @@ def previous_pages(pdf: pd.DataFrame, page_col: str, status_col: str,
     redirect = pdf[status_col].reset_index(drop=True).between(300, 398) \
         .fillna(False).to_numpy(dtype=bool)
     if session_col is not None:
-        sess = pdf[session_col].reset_index(drop=True)
-        new_sess = (sess != sess.shift(1)).to_numpy(dtype=bool)
-        new_sess[0] = state_session is None or sess.iloc[0] != state_session
+        sess = pdf[session_col].to_numpy()
+        new_sess = np.r_[state_session is None or sess[0] != state_session, sess[1:] != sess[:-1]]
     else:
         new_sess = np.zeros(n, dtype=bool)
         new_sess[0] = last_page is None and last_prev is None
@@ -65,6 +65,40 @@ def previous_pages(pdf: pd.DataFrame, page_col: str, status_col: str,
     return pd.Series(vals[grp], dtype=object)
 
 
+def _micros(pdf: pd.DataFrame, ts_col: str) -> np.ndarray:
+    return pd.to_datetime(pdf[ts_col], utc=True).astype("datetime64[us, UTC]").astype("int64").to_numpy()
+
+
+def follow_due_rows(pdfs: Iterator[pd.DataFrame], state: GroupState, blank: tuple, ts_col: str, order: list[str],
+                    gap_us: int, follow: Callable) -> Iterator[pd.DataFrame]:
+    """Hold new rows in the state and hand those that the watermark has passed,
+    in ``order``, to ``follow(rows, micros, carry) -> (carry, result or None)``.
+
+    The state tuple is (*carry, held rows); the last carry field is the time of
+    the last followed row in microseconds."""
+    *carry, held = state.get if state.exists else (*blank, None)
+    frames = [pickle.loads(held)] if held else []
+    if not state.hasTimedOut:
+        frames += list(pdfs)
+    if not frames:  # the gap after the last row has passed
+        state.remove()
+        return
+    watermark = state.getCurrentWatermarkMs()
+    pdf = pd.concat(frames, ignore_index=True)
+    due = _micros(pdf, ts_col) <= watermark * 1000
+    ready, rest = pdf[due].sort_values(order, kind="stable").reset_index(drop=True), pdf[~due]
+    if len(ready):
+        carry, result = follow(ready, _micros(ready, ts_col), tuple(carry))
+        if result is not None and len(result):
+            yield result
+    state.update((*carry, pickle.dumps(rest.reset_index(drop=True)) if len(rest) else None))
+    if len(rest):
+        wake = -(-int(_micros(rest, ts_col).min()) // 1000) - 1
+    else:
+        wake = (carry[-1] + gap_us) // 1000 + 1
+    state.setTimeoutTimestamp(max(wake, watermark + 1))
+
+
 def auth_attempts_stream(page_views: DataFrame, session_col: str = "session_id",
                          ts_col: str = "ts", item_col: str = "item_in_session",
                          page_col: str = "page", status_col: str = "status",
@@ -81,35 +115,19 @@ def auth_attempts_stream(page_views: DataFrame, session_col: str = "session_id",
                                          "song", "duration")]
     types = dict(page_views.dtypes)
     out_schema = ", ".join([f"`{c}` {types[c]}" for c in out_cols] + ["success boolean"])
-    gap_ms = _gap_ms(gap)
+    gap_us = _gap_ms(gap) * 1000
 
-    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        if state.exists:
-            sess, last_page, last_prev, last_item, last_ts = state.get
-        else:
-            sess, last_page, last_prev, last_item, last_ts = None, None, None, -1, None
-        pdf = pdf.sort_values([ts_col, session_col, item_col], kind="stable")
-        ts_ms = pd.to_datetime(pdf[ts_col], utc=True).astype("int64") // 1_000_000
-        if last_ts is not None:
-            keep = (ts_ms > last_ts) | ((ts_ms == last_ts) & (pdf[item_col] > last_item))
-            pdf, ts_ms = pdf[keep], ts_ms[keep]
-        if len(pdf) == 0:
-            return
-        prev = previous_pages(pdf, page_col, status_col, last_page, last_prev,
-                              session_col, sess)
-        pdf = pdf.reset_index(drop=True)
-        state.update((int(pdf[session_col].iloc[-1]), pdf[page_col].iloc[-1], prev.iloc[-1],
-                      int(pdf[item_col].iloc[-1]), int(ts_ms.iloc[-1])))
-        state.setTimeoutTimestamp(int(ts_ms.iloc[-1]) + gap_ms)
+    def follow(pdf, us, carry):
+        sess, last_page, last_prev, _ = carry
+        prev = previous_pages(pdf, page_col, status_col, last_page, last_prev, session_col, sess)
         hit = (prev == LOGIN).to_numpy()
-        if hit.any():
-            res = pdf.loc[hit, out_cols].copy()
-            res["success"] = (pdf.loc[hit, auth_col] == "Logged In").to_numpy()
-            yield res
+        res = pdf.loc[hit, out_cols].copy()
+        res["success"] = (pdf.loc[hit, auth_col] == "Logged In").to_numpy()
+        return (int(pdf[session_col].iloc[-1]), pdf[page_col].iloc[-1], prev.iloc[-1], int(us[-1])), res
+
+    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        yield from follow_due_rows(pdfs, state, (None, None, None, None), ts_col,
+                                   [ts_col, session_col, item_col], gap_us, follow)
 
     ship_package(page_views.sparkSession)
     return page_views.groupBy(user_col).applyInPandasWithState(
@@ -121,8 +139,7 @@ def _gap_ms(gap: str) -> int:
     return int(n) * {"second": 1000, "minute": 60_000, "hour": 3_600_000}[unit.rstrip("s")]
 
 
-SESSION_STATE_SCHEMA = ("session long, item long, last_ts_us long, last_page string, "
-                        "last_prev string")
+SESSION_STATE_SCHEMA = "session long, item long, last_page string, last_prev string, last_us long, held binary"
 
 
 def sessionized_auth_attempts_stream(page_views: DataFrame, user_col: str = "user_id",
@@ -133,13 +150,11 @@ def sessionized_auth_attempts_stream(page_views: DataFrame, user_col: str = "use
     """G5 + G2 + J6 + D3 on a stream of page views without session ids.
 
     Per user the state holds the open session (id = its first event id), its
-    item count, the last event time, the last page and the last previous
-    page. A batch's rows are ordered by ``(ts, id)``; a gap of more than
-    ``gap_seconds`` (also from the stored last time) starts a session. The
-    state times out one gap after the user's last event, when the session
-    can no longer continue. Output: ``out_cols`` + ``session_id``,
-    ``item_in_session`` and ``success`` for rows whose previous page is the
-    login page.
+    item count, the last pages, the last event time and the rows that the
+    watermark has not passed. Rows are followed in ``(ts, id)`` order; a gap of
+    more than ``gap_seconds`` starts a session. Output: ``out_cols`` +
+    ``session_id``, ``item_in_session`` and ``success`` for rows whose previous
+    page is the login page, once the watermark has passed them.
     """
     out_cols = out_cols or [c for c in page_views.columns
                             if c not in (page_col, status_col, auth_col)]
@@ -148,45 +163,24 @@ def sessionized_auth_attempts_stream(page_views: DataFrame, user_col: str = "use
                            ["session_id bigint", "item_in_session int", "success boolean"])
     gap_us = int(gap_seconds) * 1_000_000
 
-    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        if state.exists:
-            sess, item, last_us, last_page, last_prev = state.get
-        else:
-            sess, item, last_us, last_page, last_prev = None, -1, None, None, None
-        pdf = pdf.sort_values([ts_col, id_col], kind="stable").reset_index(drop=True)
-        us = pd.to_datetime(pdf[ts_col], utc=True).astype("int64").to_numpy() // 1_000
-        if last_us is not None:  # rows not newer than the state are late: dropped
-            keep = us > last_us
-            pdf, us = pdf[keep].reset_index(drop=True), us[keep]
-        if len(pdf) == 0:
-            return
-        prev_us = np.concatenate([[last_us if last_us is not None else -1], us[:-1]])
-        new = (prev_us < 0) | (us - prev_us > gap_us)
-        if last_us is None:
-            new[0] = True
+    def follow(pdf, us, carry):
+        sess, item, last_page, last_prev, last_us = carry
+        new = np.r_[last_us is None or us[0] - last_us > gap_us, us[1:] - us[:-1] > gap_us]
+        at = np.arange(len(pdf))
+        start = np.maximum.accumulate(np.where(new, at, -1))  # -1: the open session goes on
         ids = pdf[id_col].to_numpy()
-        sid = pd.Series(np.where(new, ids, -1)).replace(-1, np.nan).ffill()
-        sid = sid.fillna(sess if sess is not None else -1).astype("int64")
-        # item number: position since the session start, continuing the state
-        grp = np.cumsum(new)
-        pos = pd.Series(np.arange(len(pdf))).groupby(grp).cumcount().to_numpy()
-        item_no = np.where(grp == 0, item + 1 + pos, pos)
-        prev = previous_pages(pdf.assign(_sid=sid.to_numpy()), page_col, status_col,
-                              last_page, last_prev, "_sid", sess)
-        state.update((int(sid.iloc[-1]), int(item_no[-1]), int(us[-1]),
-                      pdf[page_col].iloc[-1], prev.iloc[-1]))
-        state.setTimeoutTimestamp(int(us[-1] // 1000) + gap_us // 1000 + 1)
+        sid = np.where(start < 0, sess if sess is not None else 0, ids[start])
+        item_no = np.where(start < 0, (item if item is not None else -1) + 1 + at, at - start)
+        prev = previous_pages(pdf.assign(_sid=sid), page_col, status_col, last_page, last_prev, "_sid", sess)
         hit = (prev == LOGIN).to_numpy()
-        if hit.any():
-            res = pdf.loc[hit, out_cols].copy()
-            res["session_id"] = sid.to_numpy()[hit]
-            res["item_in_session"] = item_no[hit].astype("int32")
-            res["success"] = (pdf.loc[hit, auth_col] == "Logged In").to_numpy()
-            yield res
+        res = pdf.loc[hit, out_cols].copy()
+        res["session_id"] = sid[hit]
+        res["item_in_session"] = item_no[hit].astype("int32")
+        res["success"] = (pdf.loc[hit, auth_col] == "Logged In").to_numpy()
+        return (int(sid[-1]), int(item_no[-1]), pdf[page_col].iloc[-1], prev.iloc[-1], int(us[-1])), res
+
+    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        yield from follow_due_rows(pdfs, state, (None, None, None, None, None), ts_col, [ts_col, id_col], gap_us, follow)
 
     ship_package(page_views.sparkSession)
     return page_views.groupBy(user_col).applyInPandasWithState(
