@@ -9,10 +9,11 @@ under its parent's edge of their Hamming distance d, and a search with distance
 d to a node follows only the edges d - radius .. d + radius. The trees of many
 shards are built and searched together, level by level, as arrays.
 
-A shard with more than ``SHARD_ROWS`` fingerprints is salted: its tree goes to
-every salt, and each salt searches its share of the queries. Trees are sent
-to the queries of their own shard only; all trees together grow with the data
-and are never broadcast to everyone. A shard emits no pairs but a star per local
+A shard with more than ``SHARD_ROWS`` fingerprints is cut again by blocks of the
+bits its members need not share, which loses no link. If it is large even then,
+it is salted: its tree goes to every salt, and each salt searches its share of
+the queries. Trees are sent to the queries of their own shard only; all trees
+together grow with the data and are never broadcast to everyone. A shard emits no pairs but a star per local
 component; stars are joined by connected components.
 
 Rules: texts without words have fingerprint 0 and link like any other; equal
@@ -38,6 +39,7 @@ SHINGLE = 3
 RADIUS = 3
 SEED = 42
 SHARD_ROWS = 4096
+LEVELS = 3
 FOREST_ROWS = 200_000
 FRONTIER = 1 << 20
 
@@ -147,22 +149,46 @@ class Forest:
                 label[:] = up
 
 
+def _cut_by_blocks(rows: DataFrame, width: int, blocks: int) -> DataFrame:
+    """(fp, key, rest) -> one row per block of the ``width`` low bits of rest: the
+    key also names the block's value, and rest holds the bits left over."""
+    edges = [width * i // blocks for i in range(blocks + 1)]
+    low = lambda a: F.lit((1 << a) - 1).cast("long")
+    cut = F.array(*[F.struct(
+        F.xxhash64("key", F.lit(i), F.shiftrightunsigned("rest", a).bitwiseAND(low(b - a))).alias("key"),
+        (F.lit(0).cast("long") if b == 64 else F.shiftleft(F.shiftrightunsigned("rest", b), a))
+        .bitwiseOR(F.col("rest").bitwiseAND(low(a))).alias("rest"))
+        for i, (a, b) in enumerate(zip(edges, edges[1:]))])
+    return rows.select("fp", F.explode(cut).alias("p")).select("fp", "p.key", "p.rest")
+
+
 def _shards(fps: DataFrame, radius: int) -> DataFrame:
-    """(key, salt, fp, query) for every block of every distinct fingerprint."""
-    blocks = radius + 1
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    keys = F.array(*[F.struct(F.lit(i).alias("block"),
-                              F.shiftrightunsigned("fp", a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("value"))
-                     for i, (a, b) in enumerate(zip(edges, edges[1:]))])
-    rows = fps.select("fp", F.explode(keys).alias("k")).select(
-        "fp", (F.col("k")["block"] + F.col("k")["value"] * F.lit(blocks)).alias("key"))
-    hot = (rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > SHARD_ROWS)
-           .select("key", F.ceil(F.col("n") / SHARD_ROWS).cast("int").alias("salts")))
-    hot = materialize(hot, "simhash_hot")
-    salted = rows.join(broadcast_within(hot, 100_000), "key", "left")
-    salts = F.coalesce("salts", F.lit(1))
-    own = F.pmod(F.xxhash64("fp"), salts)
-    return (salted.select("key", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    """(key, salt, fp, query): the shards of every distinct fingerprint.
+
+    The members of a shard of over ``SHARD_ROWS`` agree in a block, so linked
+    ones agree in a block of their other bits too: the shard is cut again by
+    those, ``LEVELS`` times at most. What is large even then (fingerprints that
+    agree in more than half of their bits) is salted."""
+    blocks, width = radius + 1, 64
+    rows = fps.select("fp", F.lit(0).cast("long").alias("key"), F.col("fp").alias("rest"))
+    done = None
+    for level in range(LEVELS):
+        rows = _cut_by_blocks(rows, width, blocks)
+        width -= width // blocks
+        large = (rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > SHARD_ROWS)
+                 .select("key", F.ceil(F.col("n") / SHARD_ROWS).cast("int").alias("salts")))
+        large = materialize(large, "simhash_large")
+        marked = rows.join(broadcast_within(large, 100_000), "key", "left")
+        last = level == LEVELS - 1
+        part = marked.select("key", "fp", F.coalesce("salts", F.lit(1)).alias("salts")) if last else (
+            marked.filter("salts is null").select("key", "fp", F.lit(1).alias("salts")))
+        done = part if done is None else done.unionByName(part)
+        if large.isEmpty():
+            break
+        if not last:
+            rows = materialize(marked.filter("salts is not null").select("fp", "key", "rest"), "simhash_again")
+    own = F.pmod(F.xxhash64("fp"), F.col("salts"))
+    return (done.select("key", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
             .select("key", "salt", "fp", (F.col("own") == F.col("salt")).alias("query")))
 
 

@@ -98,6 +98,23 @@ def test_salted_shards_link_the_same(spark, monkeypatch):
     assert sorted(map(tuple, simhash.link_fingerprints(df).collect())) == plain
 
 
+def test_shards_cut_by_further_blocks_lose_no_pair(spark, monkeypatch):
+    rnd = np.random.default_rng(3)
+    near = -98765 ^ (1 << rnd.integers(0, 63, 150)) ^ (1 << rnd.integers(0, 63, 150)) ^ (1 << rnd.integers(0, 63, 150))
+    fps = [int(x) for x in np.unique(np.concatenate([near, ~near[:20], rnd.integers(-2**63, 2**63 - 1, 50)]))]
+    monkeypatch.setattr(simhash, "SHARD_ROWS", 10)
+    met = {}
+    for r in simhash._shards(spark.createDataFrame([(x,) for x in fps], "fp long"), 3).collect():
+        met.setdefault((r["key"], r["salt"]), ([], []))[0].append(r["fp"])
+        if r["query"]:
+            met[r["key"], r["salt"]][1].append(r["fp"])
+    pairs = {(q, x) for tree, asked in met.values() for q in asked for x in tree}
+    for a in fps:
+        for b in fps:
+            if bin((a ^ b) & (2**64 - 1)).count("1") <= 3:
+                assert (a, b) in pairs
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     got = dict(map(tuple, components.connected_components(links).collect()))
