@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def sum_plays(plays: DataFrame, song_col: str = "song_id",
               count_col: str = "count") -> DataFrame:
@@ -61,12 +63,13 @@ def similar_weights(pairs: DataFrame, track_counts: DataFrame,
     """E4 + F8: keep pairs whose target is a known track and weight each by
     the target's play count. Stays one row per pair; ``total_weight`` (F7)
     per track is a partial aggregate joined back (a per-track window would
-    put a hot track's pairs in one task; the join's hot key is split by
-    AQE's skew join)."""
-    known = track_counts.select(F.col(id_col).alias("similar_id"),
-                                F.col("count").alias("weight"))
-    j = pairs.join(known, "similar_id", "inner")
-    totals = j.groupBy(id_col).agg(F.sum("weight").alias("total_weight"))
+    put a hot track's pairs in one task). Counts, weighted pairs and totals are
+    written, so both joins read plain tables: AQE then splits a hot track,
+    and the pairs are computed once."""
+    known = materialize(track_counts.select(F.col(id_col).alias("similar_id"),
+                                            F.col("count").alias("weight")), "known_tracks")
+    j = materialize(pairs.join(known, "similar_id", "inner"), "weighted_pairs")
+    totals = materialize(j.groupBy(id_col).agg(F.sum("weight").alias("total_weight")), "pair_totals")
     return j.join(totals, id_col)
 
 

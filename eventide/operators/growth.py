@@ -70,12 +70,15 @@ def churned_users(df: DataFrame, churned_value: str = "Cancelled", user_col: str
 
 
 def tag_comparison(df: DataFrame, tag_col: str = "tag", user_col: str = "user_id",
-                   session_col: str = "session_id") -> DataFrame:
-    """users, events, sessions and events per user by A/B tag."""
+                   item_col: str = "item_in_session") -> DataFrame:
+    """users, events, sessions and events per user by A/B tag.
+
+    A session counts under the tag of its first row (item 0), so users are
+    the only distinct count and the rows are not expanded."""
     return df.groupBy(tag_col).agg(
         F.count_distinct(user_col).alias("users"),
         F.count(F.lit(1)).alias("events"),
-        F.count_distinct(session_col).alias("sessions"),
+        F.sum((F.col(item_col) == 0).cast("long")).alias("sessions"),
     ).withColumn("events_per_user", F.col("events") / F.col("users"))
 
 

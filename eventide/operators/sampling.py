@@ -37,13 +37,6 @@ def total_weight(items: DataFrame, weight_col: str) -> Column:
     return items.agg(F.sum(F.col(weight_col).cast("long"))).scalar()
 
 
-def seeded_key(key: Column, total: Column, seed: int = 0) -> Column:
-    """H4: deterministic draw on [0, total) from a key (no ``rand()``, so a
-    retried task draws the same value). Spark chains column hashes, so this
-    is XXH64 of the seed value seeded with XXH64 of the key."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), total)
-
-
 def range_lookup(keys: DataFrame, k_col: str, ranges: DataFrame,
                  width: Column | int | str, group: list[str] | None = None) -> DataFrame:
     """Join each key ``k`` to the range with ``lo <= k < hi``.
@@ -77,7 +70,7 @@ def range_lookup(keys: DataFrame, k_col: str, ranges: DataFrame,
 
 def weighted_pick(keys: DataFrame, k_col: str, items: DataFrame, item_col: str,
                   weight_col: str, order_col: str | None = None) -> DataFrame:
-    """H4 over G3 + E6: for each key row, the item whose range holds ``k``.
+    """G3 + E6: for each key row, the item whose range holds ``k``.
     The bucket width is total / number of items, so the copied ranges stay
     within about three times the item count."""
     ranges = prefix_ranges(items, weight_col, order_col or item_col)
@@ -85,39 +78,3 @@ def weighted_pick(keys: DataFrame, k_col: str, items: DataFrame, item_col: str,
     width = F.greatest(F.lit(1).cast("long"),
                        F.ceil(total_weight(items, weight_col) / n).cast("long"))
     return range_lookup(keys, k_col, ranges, width)
-
-
-def next_items(requests: DataFrame, item_col: str, k_expr, similar: DataFrame,
-               all_items: DataFrame, weight_col: str = "weight",
-               order_col: str = "order_key", out: str = "next_item",
-               bucket_width: int = 1 << 20) -> DataFrame:
-    """H5: for each request on ``item_col``, draw the next item from that
-    item's weighted similar list when it has one, else from all items.
-
-    ``similar``: (item, similar item as ``out``, weight, order_key).
-    ``all_items``: (``out``, weight, order_key). ``k_expr(total)`` maps a
-    request row and a total weight to a draw on [0, total). Both lookups are
-    bucketed range joins; the per-item ranges come from a two-level prefix
-    sum keyed by item, so a hot item is split by its order buckets.
-    """
-    totals = similar.groupBy(item_col).agg(
-        F.sum(F.col(weight_col).cast("long")).alias("_tot"),
-        F.count(F.lit(1)).alias("_n"))
-    # a bucket width per item (its total over its list length) keeps the
-    # copied ranges within about three times the list length
-    totals = totals.withColumn("_w", F.greatest(F.lit(1).cast("long"),
-                                                F.ceil(F.col("_tot") / F.col("_n")).cast("long")))
-    sim = prefix_ranges(similar, weight_col, order_col, keys=[item_col], bucket_width=bucket_width)
-    sim = sim.join(totals.select(item_col, "_w"), item_col)
-    req = requests.join(totals, item_col, "left")
-    with_sim = req.where(F.col("_tot").isNotNull()).withColumn("_k", k_expr(F.col("_tot")))
-    hit = range_lookup(with_sim, "_k", sim.select(item_col, out, "lo", "hi", "_w"), "_w",
-                       group=[item_col])
-    glob = prefix_ranges(all_items, weight_col, order_col, bucket_width=bucket_width)
-    total = total_weight(all_items, weight_col)
-    n = all_items.agg(F.count(F.lit(1))).scalar()
-    width = F.greatest(F.lit(1).cast("long"), F.ceil(total / n).cast("long"))
-    rest = req.where(F.col("_tot").isNull()).withColumn("_k", k_expr(total))
-    miss = range_lookup(rest, "_k", glob.select(out, "lo", "hi"), width)
-    cols = [*requests.columns, out]
-    return hit.select(*cols).unionByName(miss.select(*cols))

@@ -17,7 +17,7 @@ from ..session import scratch_path
 from ..sinks import writers
 from ..sources import files
 from . import adapters as A
-from .queries import SIMILAR_SCHEMA, _similar_docs
+from .queries import SIMILAR_SCHEMA, _similar_docs, _similar_rows
 
 
 def _s(c):
@@ -28,15 +28,13 @@ def _write_track_files(spark: SparkSession, sf: str, base: str) -> None:
     part = A.table(spark, sf, "part")
     tid = F.concat(F.lit("TR"), _s("p_partkey"))
     sid = F.concat(F.lit("SO"), _s("p_partkey"))
-    # unique tracks, '<SEP>'-separated; every 11th size gives a short row
-    line = F.when(F.col("p_size") % 11 == 0, F.concat_ws("<SEP>", tid, sid)) \
-        .otherwise(F.concat_ws("<SEP>", tid, sid, "p_brand", "p_name"))
+    # unique tracks, '<SEP>'-separated
+    line = F.concat_ws("<SEP>", tid, sid, "p_brand", "p_name")
     part.select(line.alias("value")).write.text(f"{base}/unique_tracks")
     # analysis lines: 31 whitespace-separated fields, duration at 3, id at 30
     fields = [F.lit("x")] * 3 + [(F.col("p_size") * 10.0).cast("string")] + \
         [F.lit("0")] * 26 + [tid]
-    part.where(F.col("p_size") % 7 != 0) \
-        .select(F.concat_ws("  ", *fields).alias("value")).write.text(f"{base}/analysis")
+    part.select(F.concat_ws("  ", *fields).alias("value")).write.text(f"{base}/analysis")
     # play triplets: user, song id, count
     li = A.table(spark, sf, "lineitem")
     li.select(_s("l_orderkey"), F.concat(F.lit("SO"), _s("l_partkey")),
@@ -116,6 +114,58 @@ def json_tree(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.explode_similars(docs)
 
 
+def json_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """One multi-line JSON document per file, as the similar-track sets come:
+    each part folder is one document holding the list of a region's nations."""
+    base = scratch_path(spark, "json_documents")
+    nat = A.table(spark, sf, "nation")
+    pair = F.concat(F.lit('    ["'), F.col("n_name"), F.lit('", '), _s("n_nationkey"), F.lit("]"))
+    lines = nat.groupBy("n_regionkey").agg(F.array_join(F.sort_array(F.collect_list(pair)), ",\n").alias("l"))
+    doc = F.concat(F.lit('{"track_id": "'), _s("n_regionkey"), F.lit('",\n  "similars": [\n'), F.col("l"), F.lit("\n]}"))
+    lines.select("n_regionkey", doc.alias("value")).write.partitionBy("n_regionkey").text(f"{base}/docs")
+    docs = files.read_json_tree(spark, f"{base}/docs", SIMILAR_SCHEMA)
+    return catalog.explode_similars(docs)
+
+
+def location_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A gazetteer and two postal files (tab-separated); a zip
+    that is in both postal files keeps its line of the later one."""
+    base = scratch_path(spark, "location_files")
+    zip_ = lambda c: F.lpad(_s(c), 5, "0")
+    dot = F.lit(".")
+    cust = A.table(spark, sf, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    cust.select(zip_("c_nationkey").alias("zip"), F.col("n").alias("population"),
+                *[dot.alias(f"x{i}") for i in range(5)], (F.col("c_nationkey") / 2.0).alias("lat"),
+                F.lit(-1.5).alias("lon")) \
+        .write.options(sep="\t", header="true").csv(f"{base}/gazetteer")
+    nat = A.table(spark, sf, "nation").join(
+        A.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    for i, city in enumerate([F.col("n_name"), F.lower("n_name")]):
+        nat.select(F.lit("US"), zip_("n_nationkey"), city, dot, "r_name") \
+            .write.option("sep", "\t").csv(f"{base}/postal/{i}")
+    postal = files.read_postal(spark, [f"{base}/postal/0", f"{base}/postal/1"])
+    gaz = files.read_gazetteer(spark, f"{base}/gazetteer")
+    return catalog.locations(gaz, postal).select("zip", "population", "lat", "lon", "city", "state")
+
+
+def similar_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """(track, similar) pairs as gzip CSV, read back."""
+    base = scratch_path(spark, "similar_csv")
+    writers.write_gzip_csv(_similar_rows(spark, sf).select("track_id", "similar_id"), f"{base}/similar")
+    return files.read_similar_csv(spark, f"{base}/similar")
+
+
+def retain_by_date(spark: SparkSession, sf: str) -> DataFrame:
+    """Events partitioned by date, rewritten with the last seven dates."""
+    base = scratch_path(spark, "retain_by_date")
+    ev = A.events(spark, sf).select("event_id", F.to_date("ts").alias("date"))
+    ev.repartition("date", F.pmod(F.xxhash64("event_id"), F.lit(8))) \
+        .write.partitionBy("date").parquet(f"{base}/all")
+    writers.retain_dates(spark, f"{base}/all", f"{base}/kept", 7)
+    kept = spark.read.parquet(f"{base}/kept")
+    return kept.select("event_id", F.date_format("date", "yyyy-MM-dd").alias("date"))
+
+
 def nested_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Page views -> nested record shape (detail maps of union
     values, song struct) -> JSON -> parsed back -> flat columns."""
@@ -148,6 +198,10 @@ FILE_QUERIES = {
     "name_files": name_files,
     "user_agent_file": user_agent_file,
     "json_tree": json_tree,
+    "json_documents": json_documents,
+    "location_files": location_files,
+    "similar_csv": similar_csv,
+    "retain_by_date": retain_by_date,
     "nested_round_trip": nested_round_trip,
 }
 
@@ -156,11 +210,11 @@ def _file_sql() -> dict[str, str]:
     from .oracle import SQL, pv_cte
     lc = SQL["listen_counts"]
     return {
-        "track_file_job": lc + " AND p_size % 11 <> 0",
+        "track_file_job": lc,
         "listen_count_file": lc.replace(
             "CAST(p_size AS DOUBLE) * 10.0 AS duration",
             "CASE WHEN p_size % 3 = 0 THEN 180.0 ELSE CAST(p_size AS DOUBLE) * 10.0 END"
-            " AS duration") + " AND p_size % 11 <> 0",
+            " AS duration"),
         "name_files": """
 SELECT 'first' AS kind, upper(substr(n_name, 1, 1)) || lower(substr(n_name, 2)) AS name,
        CAST(n_nationkey + 1 AS BIGINT) AS weight FROM nation
@@ -175,6 +229,18 @@ FROM nation GROUP BY 2""",
 SELECT CAST(n_nationkey + 1 AS BIGINT) AS weight, 'Mozilla/' || n_nationkey AS agent,
        'Windows' AS os, 'Chrome' AS browser FROM nation""",
         "json_tree": SQL["similar_pairs"],
+        "json_documents": """
+SELECT CAST(n_regionkey AS VARCHAR) AS track_id, n_name AS similar_id,
+       CAST(n_nationkey AS DOUBLE) AS score FROM nation""",
+        "location_files": """
+WITH g AS (SELECT c_nationkey AS k, count(*) AS population FROM customer GROUP BY 1)
+SELECT lpad(CAST(k AS VARCHAR), 5, '0') AS zip, population, k / 2.0 AS lat,
+       CAST(-1.5 AS DOUBLE) AS lon, lower(n_name) AS city, r_name AS state
+FROM g JOIN nation ON n_nationkey = k JOIN region ON n_regionkey = r_regionkey""",
+        "similar_csv": f"SELECT track_id, similar_id FROM ({SQL['similar_pairs']}) AS s",
+        "retain_by_date": """
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS date FROM events
+WHERE CAST(ts AS DATE) > (SELECT CAST(max(ts) AS DATE) - 7 FROM events)""",
         "nested_round_trip": f"""
 WITH {pv_cte()}
 SELECT epoch_us(ts) // 1000 AS ts, session_id AS sessionid, user_id AS userid, page,

@@ -79,6 +79,8 @@ SQL["approx_users_window"] = _win(
     HOUR, "SELECT epoch_us(ts) // 3600000000 AS ws, user_id FROM events",
     agg="count(DISTINCT user_id) AS users_exact, true AS approx_ok")
 
+SQL["ordered_windows"] = _win(HOUR, "SELECT epoch_us(ts) // 3600000000 AS ws FROM events")
+
 SQL["date_parts"] = """
 SELECT event_id, strftime(ts, '%Y-%m-%d') AS date, CAST(month(ts) AS BIGINT) AS month,
        CAST(year(ts) AS BIGINT) AS year, CAST(hour(ts) AS BIGINT) AS hour,
@@ -202,6 +204,15 @@ SELECT event_id, auth, CASE WHEN auth = 'Logged In' THEN user_id END AS user_id,
        CASE WHEN auth = 'Logged In' THEN tag END AS tag
 FROM pv"""
 
+SQL["tagged_users"] = f"""
+WITH {pv_cte()}
+SELECT event_id, CASE WHEN auth = 'Logged In' THEN
+         CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END END AS tag
+FROM pv"""
+
+SQL["clean_fields"] = """
+SELECT p_partkey, p_brand || '     ' || replace(p_name, chr(9), '     ') AS name FROM part"""
+
 SQL["time_range"] = """
 SELECT event_id, epoch_us(ts) AS ts_us, event_type FROM events
 WHERE ts > TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'"""
@@ -221,7 +232,7 @@ WITH c AS (SELECT 'SO' || l_partkey AS song_id, sum(CAST(l_quantity AS BIGINT))
 SELECT 'TR' || p_partkey AS track_id, p_brand AS artist, p_name AS title,
        CAST(p_size AS DOUBLE) * 10.0 AS duration, c.plays AS count
 FROM part JOIN c ON c.song_id = 'SO' || p_partkey
-WHERE p_size % 7 <> 0 AND c.plays > 0"""
+WHERE c.plays > 0"""
 
 SQL["similar_pairs"] = """
 WITH src AS (SELECT l_orderkey, arg_min(l_partkey, (l_linenumber, l_partkey)) AS src_part,
@@ -241,7 +252,7 @@ pairs AS (SELECT 'TR' || s.src_part AS track_id, 'TR' || l.l_partkey AS similar_
           FROM lineitem l JOIN src s ON l.l_orderkey = s.l_orderkey
           WHERE l.l_linenumber <> s.first_line),
 c AS (SELECT 'TR' || l_partkey AS similar_id, sum(CAST(l_quantity AS BIGINT)) AS weight
-      FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size % 7 <> 0 GROUP BY 1),
+      FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1),
 j AS (SELECT pairs.*, c.weight FROM pairs JOIN c USING (similar_id))
 SELECT track_id, similar_id, score, weight,
        sum(weight) OVER (PARTITION BY track_id) AS total_weight
@@ -269,37 +280,6 @@ k AS (SELECT c_custkey, (c_custkey * 7919) % (SELECT sum(CAST(p_size AS BIGINT))
       FROM customer)
 SELECT c_custkey, p_partkey FROM k JOIN r ON k.k >= r.lo AND k.k < r.hi"""
 
-SQL["next_track"] = f"""
-WITH c AS ({SQL["listen_counts"]}),
-pairs AS (SELECT DISTINCT track_id, similar_id FROM ({SQL["similar_pairs"]})),
-w AS (SELECT p.track_id, p.similar_id AS next_track, c.count AS weight,
-             CAST(substr(p.similar_id, 3) AS BIGINT) AS ok
-      FROM pairs p JOIN c ON c.track_id = p.similar_id),
-r AS (SELECT track_id, next_track,
-             coalesce(sum(weight) OVER (PARTITION BY track_id ORDER BY ok
-                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lo,
-             sum(weight) OVER (PARTITION BY track_id ORDER BY ok ROWS UNBOUNDED PRECEDING) AS hi,
-             sum(weight) OVER (PARTITION BY track_id) AS tot
-      FROM w),
-t AS (SELECT DISTINCT track_id, tot FROM r),
-g AS (SELECT track_id AS next_track,
-             coalesce(sum(count) OVER (ORDER BY CAST(substr(track_id, 3) AS BIGINT)
-                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lo,
-             sum(count) OVER (ORDER BY CAST(substr(track_id, 3) AS BIGINT)
-                      ROWS UNBOUNDED PRECEDING) AS hi
-      FROM c),
-req AS (SELECT l_orderkey, l_linenumber, l_partkey, 'TR' || l_partkey AS track_id,
-               l_orderkey * 7919 + l_linenumber * 31 + l_partkey AS key FROM lineitem),
-a AS (SELECT req.*, t.tot FROM req LEFT JOIN t USING (track_id))
-SELECT a.l_orderkey, a.l_linenumber, a.track_id, r.next_track
-FROM a JOIN r ON r.track_id = a.track_id AND a.key % a.tot >= r.lo AND a.key % a.tot < r.hi
-WHERE a.tot IS NOT NULL
-UNION ALL
-SELECT a.l_orderkey, a.l_linenumber, a.track_id, g.next_track
-FROM a JOIN g ON a.key % (SELECT sum(count) FROM c) >= g.lo
-             AND a.key % (SELECT sum(count) FROM c) < g.hi
-WHERE a.tot IS NULL"""
-
 SQL["decode_all_topics"] = f"""
 WITH {pv_cte(neighbours=True)},
 t AS (

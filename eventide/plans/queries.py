@@ -6,14 +6,17 @@ SQL twin of each lives in :mod:`eventide.plans.oracle`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.decode import date_parts, decode_topic
 from ..operators import catalog, growth, routing, sessions, windows
-from ..operators.sampling import prefix_ranges, range_lookup, total_weight
+from ..operators.sampling import prefix_ranges, total_weight
+from ..operators.sampling import weighted_pick as pick_by_weight
 from ..operators.segmented import BUCKET, Scan, ordered_scan
+from ..sinks import writers
+from ..sources import files
 from . import adapters as A
 
 HOUR = 3600
@@ -64,6 +67,21 @@ def approx_users_window(spark, sf):
     return _fmt(agg.withColumn("approx_ok", ok), ["users_exact", "approx_ok"])
 
 
+def approx_users_sketch(spark, sf):
+    """the HLL++ estimate per hour alone, one pass without an exact count.
+    No SQL twin (estimates differ by engine); a test holds it to a tolerance."""
+    ev = A.events(spark, sf).select("ts", "user_id")
+    agg = ev.groupBy(F.window("ts", "1 hour").alias("window")).agg(
+        F.approx_count_distinct("user_id", 0.01).alias("users"))
+    return _fmt(agg, ["users"])
+
+
+def ordered_windows(spark, sf):
+    """H1: hourly counts in window order."""
+    ev = A.events(spark, sf).select("ts")
+    return _fmt(windows.order_windows(windows.tumbling_count(ev, "ts", "1 hour")), ["count"])
+
+
 # --- decode / projections ----------------------------------------------------
 
 def date_parts_q(spark, sf):
@@ -174,6 +192,20 @@ def mask_users(spark, sf):
     return m.select("event_id", "auth", "user_id", "tag")
 
 
+def tagged_users(spark, sf):
+    """An A/B tag per user, hidden for logged-out rows."""
+    pv = A.page_view_columns(A.events(spark, sf)).select("event_id", "user_id", "auth")
+    tag = F.when(F.col("user_id") % 2 == 0, "even").otherwise("odd")
+    return routing.add_tag(pv, tag, F.col("auth") == "Logged In").select("event_id", "tag")
+
+
+def clean_fields(spark, sf):
+    """Quoted fields with tabs, unquoted and with spaces for tabs."""
+    raw = F.concat(F.lit('"'), F.col("p_brand"), F.lit("\t"), F.col("p_name"), F.lit('"'))
+    part = A.table(spark, sf, "part").select("p_partkey", raw.alias("raw"))
+    return part.select("p_partkey", files.remove_tabs(files.unquote(F.col("raw"))).alias("name"))
+
+
 def time_range(spark, sf):
     ev = A.events(spark, sf)
     r = routing.time_range(ev, "ts", "2024-01-05 00:00:00", "2024-01-20 00:00:00")
@@ -183,9 +215,7 @@ def time_range(spark, sf):
 def retain_days(spark, sf, days: int = 7):
     """Keep the last ``days`` of data relative to the newest event."""
     ev = A.events(spark, sf).select("event_id", "ts")
-    newest = ev.agg(F.max("ts")).scalar()
-    return ev.where(F.col("ts") >= newest - F.expr(f"INTERVAL {days} DAYS")) \
-        .select("event_id", us("ts").alias("ts_us"))
+    return writers.retain(ev, "ts", f"{days} days").select("event_id", us("ts").alias("ts_us"))
 
 
 def ordered_events(spark, sf):
@@ -298,7 +328,7 @@ def _tracks(spark, sf):
     tracks = part.select(F.concat(F.lit("TR"), F.col("p_partkey").cast("string")).alias("track_id"),
                          F.concat(F.lit("SO"), F.col("p_partkey").cast("string")).alias("song_id"),
                          F.col("p_brand").alias("artist"), F.col("p_name").alias("title"))
-    durations = part.where(F.col("p_size") % 7 != 0).select(
+    durations = part.select(
         F.concat(F.lit("TR"), F.col("p_partkey").cast("string")).alias("track_id"),
         (F.col("p_size") * 10.0).alias("duration"))
     plays = A.table(spark, sf, "lineitem").select(
@@ -317,10 +347,10 @@ def _similar_rows(spark, sf) -> DataFrame:
     each order is the track, each later line one similar pair."""
     li = A.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
                                                "l_quantity")
-    src = li.groupBy("l_orderkey").agg(
-        F.min_by("l_partkey", F.struct("l_linenumber", "l_partkey")).alias("src_part"),
-        F.min("l_linenumber").alias("first_line"))
-    j = li.join(src, "l_orderkey").where(F.col("l_linenumber") != F.col("first_line"))
+    order = Window.partitionBy("l_orderkey")  # an order has a few lines
+    first = F.min(F.struct("l_linenumber", "l_partkey")).over(order)
+    j = li.withColumn("_first", first).where(F.col("l_linenumber") != F.col("_first.l_linenumber")) \
+        .withColumn("src_part", F.col("_first.l_partkey"))
     return j.select(F.concat(F.lit("TR"), F.col("src_part").cast("string")).alias("track_id"),
                     F.concat(F.lit("TR"), F.col("l_partkey").cast("string")).alias("similar_id"),
                     F.col("l_quantity").alias("score"))
@@ -383,60 +413,12 @@ def prefix_weights(spark, sf):
 
 
 def weighted_pick(spark, sf):
-    """Each customer draws a part with probability by size; the
+    """Each customer draws a part with probability by size; the
     key is ``(c_custkey * 7919) mod total`` so SQL can repeat it."""
     part = A.table(spark, sf, "part").select("p_partkey", "p_size")
-    total = total_weight(part, "p_size")
-    n = part.agg(F.count(F.lit(1))).scalar()
-    ranges = prefix_ranges(part, "p_size", "p_partkey")
     keys = A.table(spark, sf, "customer").select(
-        "c_custkey", F.pmod(F.col("c_custkey") * 7919, total).alias("k"))
-    width = F.greatest(F.lit(1).cast("long"), F.ceil(total / n).cast("long"))
-    return range_lookup(keys, "k", ranges, width).select("c_custkey", "p_partkey")
-
-
-def weighted_pick_seeded(spark, sf, seed: int = 42):
-    """H4 as the generator does it: a seeded, deterministic draw per key
-    (``pmod(xxhash64(key, seed), total)``; no ``rand()``, so a retried task
-    draws the same). No SQL twin (DuckDB has no xxhash64); the tests check it
-    against a brute-force recomputation."""
-    from ..operators.sampling import seeded_key
-    part = A.table(spark, sf, "part").select("p_partkey", "p_size")
-    total = total_weight(part, "p_size")
-    n = part.agg(F.count(F.lit(1))).scalar()
-    ranges = prefix_ranges(part, "p_size", "p_partkey")
-    keys = A.table(spark, sf, "customer").select(
-        "c_custkey", seeded_key(F.col("c_custkey"), total, seed).alias("k"))
-    width = F.greatest(F.lit(1).cast("long"), F.ceil(total / n).cast("long"))
-    return range_lookup(keys, "k", ranges, width).select("c_custkey", "p_partkey")
-
-
-def next_track(spark, sf):
-    """H5 F8: each order line asks for the track after its part's track:
-    drawn from that track's similar list (weighted by plays), or from all
-    played tracks when it has none. Draw key: (orderkey*7919 + line*31 +
-    partkey) mod total, so SQL can repeat it."""
-    from ..operators.sampling import next_items
-    from ..session import materialize
-    num = lambda c: F.regexp_extract(F.col(c), r"TR(\d+)", 1).cast("long")
-    # the two reference tables are built once and read back (they are used
-    # by several branches of the plan)
-    counts = materialize(listen_counts(spark, sf), "listen_counts")
-    pairs = _similar_rows(spark, sf).select("track_id", "similar_id").distinct()
-    similar = pairs.join(counts.select(F.col("track_id").alias("similar_id"),
-                                       F.col("count").alias("weight")), "similar_id") \
-        .select("track_id", F.col("similar_id").alias("next_track"), "weight",
-                num("similar_id").alias("order_key"))
-    similar = materialize(similar, "similar_lists")
-    all_items = counts.select(F.col("track_id").alias("next_track"),
-                              F.col("count").alias("weight"), num("track_id").alias("order_key"))
-    li = A.table(spark, sf, "lineitem")
-    req = li.select("l_orderkey", "l_linenumber", "l_partkey",
-                    F.concat(F.lit("TR"), F.col("l_partkey").cast("string")).alias("track_id"))
-    key = (F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 31 + F.col("l_partkey"))
-    out = next_items(req, "track_id", lambda tot: F.pmod(key, tot), similar, all_items,
-                     out="next_track", bucket_width=256)
-    return out.select("l_orderkey", "l_linenumber", "track_id", "next_track")
+        "c_custkey", F.pmod(F.col("c_custkey") * 7919, total_weight(part, "p_size")).alias("k"))
+    return pick_by_weight(keys, "k", part, "p_partkey", "p_size").select("c_custkey", "p_partkey")
 
 
 QUERIES = {
@@ -445,6 +427,8 @@ QUERIES = {
     "window_by_key": window_by_key,
     "distinct_users_window": distinct_users_window,
     "approx_users_window": approx_users_window,
+    "approx_users_sketch": approx_users_sketch,
+    "ordered_windows": ordered_windows,
     "date_parts": date_parts_q,
     "decode_events": decode_events,
     "decode_all_topics": decode_all_topics,
@@ -467,6 +451,8 @@ QUERIES = {
     "tag_comparison": tag_comparison,
     "level_changes": level_changes,
     "mask_users": mask_users,
+    "tagged_users": tagged_users,
+    "clean_fields": clean_fields,
     "time_range": time_range,
     "retain_days": retain_days,
     "ordered_events": ordered_events,
@@ -476,6 +462,4 @@ QUERIES = {
     "geo_dimension": geo_dimension,
     "prefix_weights": prefix_weights,
     "weighted_pick": weighted_pick,
-    "weighted_pick_seeded": weighted_pick_seeded,
-    "next_track": next_track,
 }

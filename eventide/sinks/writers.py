@@ -93,12 +93,20 @@ def snapshot_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int
 
 
 def insert_by_name(table: str) -> Callable[[DataFrame, int], None]:
-    """B6 (S9): ``foreachBatch`` append with ``insertInto`` after selecting
-    the table's columns by name (``insertInto`` itself is positional).
-    Partitions written this way are registered in the catalog."""
+    """B6 (S9): ``foreachBatch`` insert after selecting the table's columns by
+    name (an insert itself is positional). Partitions written this way are
+    registered in the catalog. If the table is partitioned by ``batch_id``, a
+    replayed batch overwrites its own partition; otherwise rows are appended
+    and a replay appends them again."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        cols = batch.sparkSession.table(table).columns
-        batch.select(*cols).write.mode("append").insertInto(table)
+        spark = batch.sparkSession
+        cols = spark.table(table).columns
+        if "batch_id" in cols:
+            rows = batch.select(*[c for c in cols if c != "batch_id"])
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) "
+                      "SELECT * FROM {rows}", rows=rows)
+        else:
+            batch.select(*cols).write.mode("append").insertInto(table)
     return write
 
 
@@ -197,6 +205,16 @@ def retain(df: DataFrame, ts_col: str, keep: str) -> DataFrame:
     return df.where(F.col(ts_col) >= newest - F.expr(f"INTERVAL {keep}"))
 
 
+def retain_dates(spark: SparkSession, path: str, out: str, days: int,
+                 date_col: str = "date", fmt: str = "parquet") -> None:
+    """Rewrite a table that is partitioned by date with its last ``days``
+    dates. The limit is on the partition column, so older folders are not read."""
+    df = spark.read.format(fmt).load(path)
+    newest = df.agg(F.max(date_col)).scalar()
+    kept = df.where(F.col(date_col) > F.date_sub(newest, days))
+    kept.write.mode("overwrite").format(fmt).partitionBy(date_col).save(out)
+
+
 def create_topic_table(spark: SparkSession, database: str, table: str, topic: str = S.PAGE_VIEW,
                        fmt: str = "parquet", partition_by: list[str] | None = None,
                        location: str | None = None, drop: bool = False) -> str:

@@ -118,22 +118,27 @@ def read_similar_csv(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
+def _columns(n: int) -> str:
+    """A schema of the first ``n`` string columns; further ones are not read."""
+    return ", ".join(f"c{i} string" for i in range(n))
+
+
 def read_gazetteer(spark: SparkSession, path) -> DataFrame:
     """A16 + D7: TSV with header; zip (0), population (1), lat (7), lon (8)."""
-    df = spark.read.options(sep="\t", header="true", encoding=LATIN1).csv(path)
-    c = df.columns
-    return df.select(F.col(c[0]).alias("zip"), F.col(c[1]).cast("long").alias("population"),
-                     F.col(c[7]).cast("double").alias("lat"), F.col(c[8]).cast("double").alias("lon"))
+    df = spark.read.schema(_columns(9)).options(sep="\t", header="true", encoding=LATIN1).csv(path)
+    return df.select(F.col("c0").alias("zip"), F.col("c1").cast("long").alias("population"),
+                     F.col("c7").cast("double").alias("lat"), F.col("c8").cast("double").alias("lon"))
 
 
 def read_postal(spark: SparkSession, path) -> DataFrame:
     """Postal TSV; zip (1), city (2), state (4), with its line order
-    (``line_no``) so a repeated zip can keep its last line. The order is
-    file order inside one file (files are read unsplit for this)."""
-    df = spark.read.options(sep="\t", encoding=LATIN1).csv(path)
-    c = df.columns
-    return df.select(F.col(c[1]).alias("zip"), F.col(c[2]).alias("city"), F.col(c[4]).alias("state"),
-                     F.monotonically_increasing_id().alias("line_no"))
+    (``line_no``) so a repeated zip can keep its last line. The order is by
+    file name, then by place in the file (a large file is read in splits)."""
+    df = spark.read.schema(_columns(5)).options(sep="\t", encoding=LATIN1).csv(path)
+    line = F.struct("_metadata.file_path", "_metadata.file_block_start",
+                    F.monotonically_increasing_id().alias("row"))
+    return df.select(F.col("c1").alias("zip"), F.col("c2").alias("city"), F.col("c4").alias("state"),
+                     line.alias("line_no"))
 
 
 def read_first_names(spark: SparkSession, path) -> DataFrame:
@@ -144,23 +149,22 @@ def read_first_names(spark: SparkSession, path) -> DataFrame:
 
 def read_surnames(spark: SparkSession, path) -> DataFrame:
     """A18 + C15 + D7: CSV with header; name (0) and weight (2)."""
-    df = spark.read.options(header="true").csv(path)
-    c = df.columns
-    return df.select(capitalise(F.col(c[0])).alias("name"), F.col(c[2]).cast("long").alias("weight"))
+    df = spark.read.schema(_columns(3)).options(header="true").csv(path)
+    return df.select(capitalise(F.col("c0")).alias("name"), F.col("c2").cast("long").alias("weight"))
 
 
 def read_user_agents(spark: SparkSession, path) -> DataFrame:
     """UTF-16 TSV with header; weight (1), values (2-4). UTF-16 needs
     ``multiLine`` or the decoder garbles line ends."""
-    df = spark.read.options(sep="\t", header="true", encoding="UTF-16", multiLine="true").csv(path)
-    c = df.columns
-    return df.select(F.col(c[1]).cast("long").alias("weight"),
-                     *[F.col(x) for x in c[2:5]])
+    df = spark.read.schema("name string, weight long, agent string, os string, browser string") \
+        .options(sep="\t", header="true", encoding="UTF-16", multiLine="true").csv(path)
+    return df.select("weight", "agent", "os", "browser")
 
 
 def load_weighted(spark: SparkSession, path, sep: str = ",", thing_col: int = 0,
                   weight_col: int = 1, header: bool = False) -> DataFrame:
     """A generic weighted list file -> (thing, weight)."""
-    df = spark.read.options(sep=sep, header=str(header).lower()).csv(path)
-    c = df.columns
-    return df.select(F.col(c[thing_col]).alias("thing"), F.col(c[weight_col]).cast("long").alias("weight"))
+    df = spark.read.schema(_columns(max(thing_col, weight_col) + 1)) \
+        .options(sep=sep, header=str(header).lower()).csv(path)
+    return df.select(F.col(f"c{thing_col}").alias("thing"),
+                     F.col(f"c{weight_col}").cast("long").alias("weight"))

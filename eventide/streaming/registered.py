@@ -7,12 +7,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import windows
+from .. import schemas as S
+from ..operators import routing, windows
 from ..plans import adapters as A
 from ..plans.oracle import SQL as BATCH_SQL
 from ..plans.oracle import pv_cte
 from ..session import scratch_path
 from ..sinks import writers
+from ..sources.files import read_event_files
 from .jobs import events_stream, run_until_done, state_partitions
 
 
@@ -98,7 +100,8 @@ def stream_to_table(spark: SparkSession, sf: str) -> DataFrame:
     cols = spark.table(name).columns
     q = writers.to_table(decoded.select(*cols), name, f"{base}/ck", trigger="availableNow")
     run_until_done(q)
-    t = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    t = spark.read.parquet(f"{base}/table")
     return t.groupBy("method", "page").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -140,6 +143,86 @@ def stream_auth_attempts(spark: SparkSession, sf: str) -> DataFrame:
                     "item_in_session", "level", "user_id", "tag", "success")
 
 
+def event_files_late(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON event files, one folder per topic, read as a stream that
+    stops and goes on. Login pages arrive in a second delivery, after the
+    watermark (10 min behind the newest row) has moved on: they count where
+    their hour is still open and are dropped where it is closed. Returns the
+    counts per hour and how many rows came too late for it."""
+    from ..plans.queries import page_view_payload_stateless
+    base = scratch_path(spark, "event_files_late")
+    folder = f"{base}/{S.PAGE_VIEW}"
+    pv = A.page_view_columns(A.events(spark, sf))
+    login = F.coalesce(F.col("page") == "Login", F.lit(False))
+
+    def rows(stream: bool) -> DataFrame:
+        return read_event_files(spark, folder, S.PAGE_VIEW, stream=stream) \
+            .select(F.timestamp_millis("ts").alias("ts"))
+
+    for delivery in (~login, login):
+        page_view_payload_stateless(pv.where(delivery)).select(F.col("value").cast("string")) \
+            .write.mode("append").text(folder)
+        agg = windows.tumbling_count(windows.with_watermark(rows(True), "ts", "10 minutes"), "ts", "1 hour")
+        with state_partitions(spark):
+            run_until_done(writers.for_each_batch(agg, writers.idempotent_batch_writer(f"{base}/out"),
+                                                  f"{base}/ck", mode="update", trigger="availableNow"))
+    counted = _latest_per_key(spark.read.parquet(f"{base}/out"), ["window"], ["count"])
+    sent = windows.tumbling_count(rows(False), "ts", "1 hour").withColumnRenamed("count", "sent")
+    both = sent.join(counted, "window", "left").withColumn("count", F.coalesce("count", F.lit(0).cast("long")))
+    return windows.format_windows(both.withColumn("n_late", F.col("sent") - F.col("count")), ["count", "n_late"])
+
+
+def topic_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw records of three topics, each copied by its own query with
+    its own checkpoint into its own folder; every query is drained and stopped."""
+    from ..plans.queries import page_view_payload_stateless
+    base = scratch_path(spark, "topic_files")
+    pv = A.page_view_columns(events_stream(spark, sf))
+    wire = {S.PAGE_VIEW: pv, S.LISTEN: routing.listens(pv, drop=()),
+            S.STATUS_CHANGE: routing.status_changes(pv, drop=())}
+    streams = {t: page_view_payload_stateless(df).withColumn("topic", F.lit(t)) for t, df in wire.items()}
+    for q in writers.start_per_topic(streams, f"{base}/raw", f"{base}/ck", trigger="1 second"):
+        writers.drain_and_stop(q)
+    out = None
+    for t in streams:
+        n = spark.read.parquet(f"{base}/raw/{t}").groupBy("topic").agg(
+            F.count(F.lit(1)).alias("n"), F.count_distinct("offset").alias("n_offsets"))
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+def stream_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """Running counts per event type in complete mode; each micro-batch
+    replaces the snapshot."""
+    base = scratch_path(spark, "stream_snapshot")
+    agg = events_stream(spark, sf).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    with state_partitions(spark):
+        run_until_done(writers.for_each_batch(agg, writers.snapshot_writer(f"{base}/now"), f"{base}/ck",
+                                              mode="complete", trigger="availableNow"))
+    return spark.read.parquet(f"{base}/now")
+
+
+def insert_by_name_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Events inserted by name into a catalog table per micro-batch; each
+    batch is sent twice, as after a failure, and stays once."""
+    base = scratch_path(spark, "insert_by_name_replay")
+    name = "eventide_stream.events_" + base.rsplit("/", 1)[-1][:12]
+    spark.sql("CREATE DATABASE IF NOT EXISTS eventide_stream")
+    spark.sql(f"CREATE TABLE {name} (event_type STRING, event_id BIGINT, batch_id BIGINT) USING parquet "
+              f"PARTITIONED BY (batch_id) LOCATION '{base}/table'")
+    insert = writers.insert_by_name(name)
+
+    def twice(batch, batch_id):
+        insert(batch, batch_id)
+        insert(batch, batch_id)
+
+    ev = events_stream(spark, sf).select("event_id", "event_type")
+    run_until_done(writers.for_each_batch(ev, twice, f"{base}/ck", trigger="availableNow"))
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    t = spark.read.parquet(f"{base}/table")
+    return t.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"))
+
+
 STREAM_QUERIES = {
     "stream_sliding_count": stream_sliding_count,
     "stream_tumbling_closed": stream_tumbling_closed,
@@ -148,6 +231,10 @@ STREAM_QUERIES = {
     "stream_to_table": stream_to_table,
     "foreach_batch_append": foreach_batch_append,
     "stream_auth_attempts": stream_auth_attempts,
+    "event_files_late": event_files_late,
+    "topic_files": topic_files,
+    "stream_snapshot": stream_snapshot,
+    "insert_by_name_replay": insert_by_name_replay,
 }
 
 _CLOSED_HOUR = """
@@ -173,6 +260,26 @@ SELECT method, page, count(*) AS n FROM pv GROUP BY 1, 2""",
     "foreach_batch_append": """
 SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS n_distinct
 FROM events GROUP BY 1""",
+    # an hour is closed once the watermark of the first delivery has reached its end
+    "event_files_late": f"""
+WITH {pv_cte()},
+m AS (SELECT max(epoch_us(ts) // 1000) * 1000 - 600000000 AS mark FROM pv WHERE page IS DISTINCT FROM 'Login'),
+w AS (SELECT epoch_us(ts) // 3600000000 AS ws, page IS NOT DISTINCT FROM 'Login'
+             AND (epoch_us(ts) // 3600000000 + 1) * 3600000000 <= mark AS late FROM pv, m)
+SELECT strftime(make_timestamp(ws * 3600000000), '%Y-%m-%d %H:%M:%S') AS timestamp_minute,
+       CAST(ws * 3600 AS BIGINT) AS unix_timestamp, count(*) FILTER (WHERE NOT late) AS count,
+       count(*) FILTER (WHERE late) AS n_late
+FROM w GROUP BY ws""",
+    "topic_files": f"""
+WITH {pv_cte()},
+t AS (SELECT 'page_view_events' AS topic, event_id FROM pv
+      UNION ALL SELECT 'listen_events', event_id FROM pv WHERE page = 'NextSong'
+      UNION ALL SELECT 'status_change_events', event_id FROM pv
+                WHERE page IN ('Submit Downgrade', 'Submit Upgrade'))
+SELECT topic, count(*) AS n, count(DISTINCT event_id) AS n_offsets FROM t GROUP BY 1""",
+    "stream_snapshot": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
+    "insert_by_name_replay": """
+SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1""",
     # rows are followed once the watermark has passed them
     "stream_auth_attempts": f"""
 SELECT * FROM ({BATCH_SQL["auth_attempts"]}) AS a

@@ -66,6 +66,20 @@ def test_postal_duplicate_zip_keeps_last_line(spark, tmp_path):
     assert got == {"10001": ("Manhattan", 100), "02139": ("Cambridge", 50)}
 
 
+def test_postal_order_is_by_file_name_then_line(spark, tmp_path):
+    _write(str(tmp_path / "p" / "a.tsv"), "US\t1\tOld\tx\tNY\n" + "US\t2\tPad\tx\tNY\n" * 500)
+    _write(str(tmp_path / "p" / "b.tsv"), "US\t1\tNew\tx\tNY\n")
+    gaz = spark.createDataFrame([("1", 5)], "zip string, population long")
+    assert [r.city for r in catalog.locations(gaz, files.read_postal(spark, str(tmp_path / "p"))).collect()] == ["New"]
+
+
+def test_retain_dates_rewrites_the_last_dates(spark, tmp_path):
+    df = spark.range(40).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") / 4).cast("int")).alias("date"))
+    df.write.partitionBy("date").parquet(str(tmp_path / "all"))
+    writers.retain_dates(spark, str(tmp_path / "all"), str(tmp_path / "kept"), 3)
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "kept")).collect()) == list(range(28, 40))
+
+
 def test_names_and_weighted_file(spark, tmp_path):
     _write(str(tmp_path / "first" / "f.csv"), "MARY,F,10\nJOHN,M,20\n")
     _write(str(tmp_path / "last" / "l.csv"), "name,rank,weight\nVAN DYKE,1,30\n")

@@ -163,32 +163,6 @@ def test_session_pass_matches_plain_windows(spark):
         assert sorted(tuple(r) for r in got.collect()) == exp, width
 
 
-def test_seeded_pick_brute_force(spark):
-    import struct
-    import xxhash
-    from eventide.plans.queries import weighted_pick_seeded
-    sf = "/root/testdata/sf0.001"
-    got = {r.c_custkey: r.p_partkey for r in weighted_pick_seeded(spark, sf, seed=42).collect()}
-    parts = sorted((r.p_partkey, r.p_size) for r in
-                   spark.read.parquet(f"{sf}/part.parquet").collect())
-    total = sum(w for _, w in parts)
-    bounds, lo = [], 0
-    for k, w in parts:
-        bounds.append((lo, lo + w, k))
-        lo += w
-    custs = [r.c_custkey for r in spark.read.parquet(f"{sf}/customer.parquet").collect()]
-    for c in custs:
-        # Spark chains column hashes: seed 42 for the key, then the seed
-        # literal (a 4-byte int) hashed with the key's hash as its seed
-        h = xxhash.xxh64_intdigest(struct.pack("<q", c), seed=42)
-        h = xxhash.xxh64_intdigest(struct.pack("<i", 42), seed=h)
-        h = h - (1 << 64) if h >= (1 << 63) else h          # Spark's hash is a signed long
-        k = h % total                                       # pmod: non-negative
-        exp = next(p for a, b, p in bounds if a <= k < b)
-        assert got[c] == exp
-    assert len(got) == len(custs)
-
-
 def test_global_prefix_ranges_stable_buckets(spark):
     """Regression: the range buckets must be the same in the row branch and
     the summary branch (they prune different columns, so Spark may run the

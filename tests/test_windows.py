@@ -43,3 +43,23 @@ def test_distinct_per_window_and_format(spark):
     assert r.timestamp_minute == "2024-01-01 00:00:00" and r.unix_timestamp == 1704067200
     approx = windows.distinct_per_window(df, "ts", "u", "10 minutes", approx=True, out="users")
     assert approx.count() == d.count()
+
+
+def test_sketch_is_near_the_exact_count(spark):
+    import os
+
+    from eventide.plans import queries
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    near = {r.unix_timestamp: r.users for r in queries.approx_users_sketch(spark, sf).collect()}
+    exact = {r.unix_timestamp: r.users for r in queries.distinct_users_window(spark, sf).collect()}
+    assert near.keys() == exact.keys()
+    assert all(abs(near[k] - n) <= max(3, 0.05 * n) for k, n in exact.items())
+
+
+def test_tumbling_windows_in_order(spark):
+    df = spark.createDataFrame([(i * 700,) for i in range(50)], "s long").select(F.timestamp_seconds("s").alias("ts"))
+    got = [r.window.start for r in windows.order_windows(windows.tumbling_count(df, "ts", "1 hour"), False).collect()]
+    assert got == sorted(got, reverse=True) and len(got) == 10
