@@ -121,6 +121,14 @@ def test_components_of_a_chain(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
 
 
+def test_components_of_a_shuffled_chain(spark):
+    nodes = list(range(-1500, 1500))
+    random.Random(4).shuffle(nodes)
+    links = spark.createDataFrame(list(zip(nodes, nodes[1:])) + [(9000, 9001)], "a long, b long")
+    got = dict(map(tuple, components.connected_components(links).collect()))
+    assert got == {**dict.fromkeys(nodes, -1500), 9000: 9000, 9001: 9000}
+
+
 # op3
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
