@@ -11,8 +11,10 @@ threshold.
 
 Regions are then chosen: where the page marks articles (``article``, ``main``), every
 one with a line above the threshold, or else the one with most text, with all
-its short lines. Elsewhere the region runs from the first to the last line above
-the threshold within one container.
+its short lines. Elsewhere every container (``div``, ``section``, cell, body) with a
+line above the threshold is kept with all its short lines, and so is what is
+nested in one that has a long line of its own (a page whose paragraphs stand in
+the body itself keeps all that is not skipped).
 
 Rules: null or empty html has empty text; unclosed and stray tags are tolerated;
 a page without any line above the threshold gives its largest region; nothing is
@@ -66,6 +68,7 @@ class Lines(HTMLParser):
         self.open: list[tuple[str, int, int, int]] = []  # tag, skipped, region, container
         self.parts: list[str] = []
         self.tags = self.serial = self.articles = 0
+        self.around: dict[int, int] = {}  # container -> the one it stands in
 
     def _state(self) -> tuple[int, int, int]:
         return self.open[-1][1:] if self.open else (0, 0, 0)
@@ -129,6 +132,7 @@ class Lines(HTMLParser):
         skipped = max(skipped, self._leaves(tag, attrs)) if skipped < 2 else 2
         if tag in CONTAINER:
             self.serial += 1
+            self.around[self.serial] = container
             container = self.serial
         self.open.append((tag, skipped, region, container))
 
@@ -205,26 +209,30 @@ def main_text(html: str | None) -> str:
     lines = parser.finish()
     if not any(not s for *_, s in lines):
         return ""
-    ratio = smooth(np.array([0.0 if s else len(t) / n for t, n, _, _, s in lines]))
+    plain = np.array([0.0 if s else len(t) / n for t, n, _, _, s in lines])
+    ratio = smooth(plain)
     cut = threshold(ratio)
-    size: dict[tuple, int] = {}
-    chosen: set[tuple] = set()
+    size: dict[int, int] = {}
+    chosen: set[int] = set()
+    whole: set[int] = set()  # containers whose nested ones are kept too
     marked = any(r and not s for _, _, r, _, s in lines)
-    for (t, _, region, container, skipped), r in zip(lines, ratio):
+    for (t, _, region, container, skipped), r, own in zip(lines, ratio, plain):
         if skipped or (marked and not region):
             continue
-        key = (region, 0) if marked else (0, container)
+        key = region if marked else container
         size[key] = size.get(key, 0) + len(t)
         if r > cut:
             chosen.add(key)
+            if own > cut:
+                whole.add(key)
     if not chosen:
-        chosen = {max(size, key=size.get)}
-    picked = [i for i, (_, _, g, c, s) in enumerate(lines)
-              if not s and ((g, 0) if marked else (0, c)) in chosen]
-    if not marked:  # from the first to the last line above the threshold
-        above = [i for i in picked if ratio[i] > cut] or picked
-        picked = [i for i in picked if above[0] <= i <= above[-1]]
-    return "\n".join(lines[i][0] for i in picked)
+        chosen = whole = {max(size, key=size.get)}
+    if not marked:  # a container is numbered after the one it stands in
+        for inner, outer in parser.around.items():
+            if outer in whole:
+                whole.add(inner)
+        chosen |= whole
+    return "\n".join(t for t, _, g, c, s in lines if not s and (g if marked else c) in chosen)
 
 
 def extract(pages: DataFrame, html_col: str = "html", name: str = "text") -> DataFrame:

@@ -340,6 +340,17 @@ def test_main_text(spark):
     assert (4, want) in map(tuple, got)
 
 
+def test_main_text_keeps_short_lines_of_unmarked_pages():
+    long = [f"Paragraph {i} " + "has a good many words in it " * 14 for i in range(5)]
+    lines = ["A headline of few words", "By an author", *[x.strip() for x in long], "One short closing line.", "And one more of them.", "The end, in a div."]
+    body = "<h1>%s</h1><p>%s</p>" % tuple(lines[:2]) + "".join(f"<p>{x}</p>" for x in lines[2:-1]) + f"<div>{lines[-1]}</div>"
+    want = "\n".join(lines)
+    assert htmltext.main_text(PAGE % f"<div class=content>{body}</div>") == want
+    assert htmltext.main_text(PAGE % f"<div><ul><li>Elsewhere<li>Contact</ul></div><div>{body}</div>") == want
+    assert htmltext.main_text(PAGE % f"<table><tr><td>{body}</table>") == want
+    assert htmltext.main_text(PAGE % body) == want
+
+
 # op10
 
 def plain_stats(t):
