@@ -1,20 +1,19 @@
-"""Benchmark decontamination by SimHash of item-sized windows (native).
+"""Benchmark decontamination by item-sized windows (native).
 
 A text matches a benchmark item if one of its windows of the item's size (in
 word shingles) has a weighted-shingle (multiset) Jaccard similarity of
-``similarity`` or more with it. Windows get a SimHash; a window and an item of
-its size are compared if their fingerprints differ in at most ``RADIUS`` bits.
-The fingerprint is split into RADIUS + 1 blocks: two fingerprints within the
-radius agree in one block at least, so an equality join on (size, block, value)
-finds all of them. Candidates are then verified on the exact shingle counts.
-(At similarity 0.8 two SimHashes differ in about 10 of 64 bits, with a deviation
-of about 3; a radius of 20 leaves out less than one such pair in a thousand.)
+``similarity`` or more with it.
 
 Most windows share no shingle with any item and cannot match. The windows looked
 at are exactly those that can: a window of similarity J with an item of n
 shingles holds at least J / (1 + J) * (n + window) shingles of it, and the best
 window can be moved right until it starts at such a shingle (or ends with the
 text) without losing any. Hits are counted by a running sum per (text, item).
+Every window and item that this bound leaves is compared by the exact shingle
+counts. The SimHashes of the best window and the item give the ``distance`` of the
+result and decide nothing: the angle between two SimHashes grows with the square
+of a shingle's count, so where the item or the window repeats one, matches of 0.8
+lie at any distance and each radius would lose some.
 
 Words are runs of letters and digits, lower case. Shingles have five words;
 an item of fewer words is one shingle of all its words. A text shorter than the
@@ -34,7 +33,6 @@ from eventide.session import materialize
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 20
 MAX_BROADCAST = 200_000
 MAX_TEXTS = 100_000
 BITS = 64
@@ -70,14 +68,6 @@ def simhash_of(rows: DataFrame, keys: list[str]) -> DataFrame:
     return sums.select(*keys, fp.alias("fp"))
 
 
-def blocks_of(fp: Column, radius: int) -> Column:
-    """(block, value) of radius + 1 blocks of the fingerprint."""
-    cuts = [BITS * i // (radius + 1) for i in range(radius + 2)]
-    return F.array(*[F.struct(F.lit(i).alias("block"),
-                              F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("value"))
-                     for i, (a, b) in enumerate(zip(cuts, cuts[1:]))])
-
-
 def benchmark_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """item (number), item_id, k, n, shingles; written once."""
     w = items.select(F.col(id_col).alias("item_id"), held(words_of(F.col(text_col))).alias("words"))
@@ -102,7 +92,7 @@ def _hits(rows: DataFrame, item_rows: DataFrame, k: int) -> DataFrame:
 
 
 def _windows(hits: DataFrame, similarity: float) -> DataFrame:
-    """Distinct (k1, k2, k, n, size, s) windows that can reach the similarity."""
+    """(k1, k2, item, n, size, s): windows that can reach the similarity with the item."""
     size = F.least("n", "len")
     keep = ["k1", "k2", "k", "item", "n", "len"]
     begin = hits.select(*keep, "pos", F.lit(0).alias("end"), F.col("pos").alias("s"))
@@ -117,12 +107,11 @@ def _windows(hits: DataFrame, similarity: float) -> DataFrame:
            .agg(F.max(F.when(F.col("end") == 1, F.col("seen"))).alias("upto"),
                 F.max(F.when(F.col("end") == -1, F.col("seen"))).alias("before")))
     need = F.ceil(similarity / (1 + similarity) * (F.col("n") + size) - 1e-6)
-    return per.filter(F.col("upto") - F.col("before") >= need).select("k1", "k2", "k", "n", size.alias("size"), "s").distinct()
+    return per.filter(F.col("upto") - F.col("before") >= need).select("k1", "k2", "item", "n", size.alias("size"), "s")
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS,
-               id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
-               item_text: str = "text") -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id",
+               text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """k1, k2, doc_id, item_id, similarity, distance, start, size: the best window
     of every text and item that match (start in shingles, size in shingles)."""
     bench = benchmark_items(items, item_id, item_text)
@@ -132,7 +121,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), k1.alias("k1"), k2.alias("k2"))
     found = None
     for k in ks:
-        part = _leaks(rows, item_rows, k, similarity, radius)
+        part = _leaks(rows, item_rows, k, similarity)
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = docs.sparkSession.createDataFrame(
@@ -142,10 +131,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY
     return materialize(named.select("k1", "k2", "doc_id", "item_id", "similarity", "distance", "start", "size"), "bench_leaks")
 
 
-def _leaks(rows: DataFrame, item_rows: DataFrame, k: int, similarity: float, radius: int) -> DataFrame:
+def _leaks(rows: DataFrame, item_rows: DataFrame, k: int, similarity: float) -> DataFrame:
     hits = materialize(_hits(rows, item_rows, k), "bench_hits")
     # equal rows have equal hits
-    windows = materialize(_windows(hits.distinct(), similarity), "bench_windows")
+    pairs = materialize(_windows(hits.distinct(), similarity), "bench_windows")
+    windows = pairs.select("k1", "k2", "n", "size", "s").distinct()
     wanted = materialize(windows.groupBy("k1", "k2").agg(F.collect_list(F.struct("n", "size", "s")).alias("w")), "bench_wanted")
     asked = broadcast_within(wanted.select("k1", "k2"), MAX_TEXTS)
     few = rows.join(asked, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
@@ -156,29 +146,25 @@ def _leaks(rows: DataFrame, item_rows: DataFrame, k: int, similarity: float, rad
     win = win.select("doc_id", "k1", "k2", "w.*", F.slice("sh", F.col("w")["s"] + 1, F.col("w")["size"]).alias("part"))
     win = materialize(win, "bench_window_shingles")
     spread = win.select(*key, F.explode("part").alias("h"))
-    prints = simhash_of(spread, key)
     own = item_rows.filter(F.col("k") == k)
-    item_prints = materialize(simhash_of(own, ["item", "n"]), "bench_prints")
-    left = prints.select(*key, "fp", F.explode(blocks_of(F.col("fp"), radius)).alias("b")).select(*key, "fp", "b.*")
-    right = materialize(item_prints.select("item", "n", F.col("fp").alias("ifp"),
-                                           F.explode(blocks_of(F.col("fp"), radius)).alias("b")).select("item", "n", "ifp", "b.*"),
-                        "bench_blocks")
-    distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp")))
-    near = (left.join(broadcast_within(right, MAX_BROADCAST), ["n", "block", "value"])
-            .withColumn("distance", distance).filter(F.col("distance") <= radius)
-            .groupBy(*key, "item").agg(F.min("distance").alias("distance")))
     counts = spread.groupBy(*key, "h").agg(F.count("*").alias("c"))
     item_counts = materialize(own.groupBy("item", "h").agg(F.count("*").alias("ic")), "bench_counts")
-    same = (near.join(counts, key).join(broadcast_within(item_counts, MAX_BROADCAST), ["item", "h"])
-            .groupBy(*key, "item", "distance").agg(F.sum(F.least("c", "ic")).alias("o")))
+    same = (pairs.join(counts, key).join(broadcast_within(item_counts, MAX_BROADCAST), ["item", "h"])
+            .groupBy(*key, "item").agg(F.sum(F.least("c", "ic")).alias("o")))
     value = F.col("o") / (F.col("n") + F.col("size") - F.col("o"))
-    good = same.select(*key, "item", "distance", value.alias("similarity")).filter(F.col("similarity") >= similarity)
+    good = same.select(*key, "item", value.alias("similarity")).filter(F.col("similarity") >= similarity)
+    best = F.max(F.struct("similarity", (-F.col("s")).alias("neg"), "size")).alias("b")
+    best = good.groupBy("k1", "k2", "item", "n").agg(best)
+    best = materialize(best.select("k1", "k2", "item", "n", F.col("b")["similarity"].alias("similarity"),
+                                   (-F.col("b")["neg"]).alias("s"), F.col("b")["size"].alias("size")), "bench_best")
+    asked = broadcast_within(materialize(best.select(*key).distinct(), "bench_best_windows"), MAX_TEXTS)
+    prints = simhash_of(win.join(asked, key, "left_semi").select(*key, F.explode("part").alias("h")), key)
+    item_prints = materialize(simhash_of(own, ["item"]).withColumnRenamed("fp", "ifp"), "bench_prints")
     ids = win.groupBy("k1", "k2").agg(F.first("doc_id").alias("doc_id"))
-    best = F.max(F.struct("similarity", (-F.col("s")).alias("neg"), "distance", "size")).alias("b")
-    out = good.groupBy("k1", "k2", "item").agg(best).join(ids, ["k1", "k2"])
-    return out.select("doc_id", "k1", "k2", "item", F.col("b")["similarity"].alias("similarity"),
-                      F.col("b")["distance"].cast("int").alias("distance"), (-F.col("b")["neg"]).cast("int").alias("start"),
-                      F.col("b")["size"].cast("int").alias("size"))
+    out = best.join(prints, key).join(broadcast_within(item_prints, MAX_BROADCAST), "item").join(ids, ["k1", "k2"])
+    distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp")))
+    return out.select("doc_id", "k1", "k2", "item", "similarity", distance.cast("int").alias("distance"),
+                      F.col("s").cast("int").alias("start"), F.col("size").cast("int").alias("size"))
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

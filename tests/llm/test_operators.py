@@ -200,6 +200,37 @@ def test_leaks_match_all_windows(spark, docs, rows, empty):
     assert decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_leaks_of_repeated_shingles(spark):
+    def best(text, item):  # (similarity, start) of the best window, by trying all
+        a, s = ([tuple(t.split()[j:j + 5]) for j in range(len(t.split()) - 4)] for t in (item, text))
+        found = []
+        for j in range(max(1, len(s) - len(a) + 1)):
+            part = Counter(s[j:j + len(a)])
+            o = sum((Counter(a) & part).values())
+            found.append((o / (len(a) + sum(part.values()) - o), -j))
+        return max(found)
+
+    words = lambda name, n: [f"{name}{i}" for i in range(n)]
+    items, texts = [], []
+    for i in range(10):
+        rest, run = words(f"r{i}x", 89), [f"ha{i}"] * 15
+        lost = words(f"n{i}x", 11) + run[11:]
+        front = words(f"f{i}x", i)
+        # the item repeats a shingle that the text lacks; the text repeats one that the item lacks
+        items += [(i, " ".join(run + rest)), (100 + i, " ".join(words(f"o{i}x", 15) + [w.upper() for w in words(f"t{i}x", 89)]))]
+        texts += [(i, " ".join(front + lost + rest)), (100 + i, " ".join(front + [f"ho{i}"] * 11 + words(f"o{i}x", 15)[11:] + words(f"t{i}x", 89)))]
+    expected = {}
+    for d, t in texts:
+        for n, it in items:
+            j, neg = best(t, it.lower())
+            if j >= 0.8:
+                expected[d, n] = (round(j, 6), -neg)
+    assert len(expected) == 20
+    got = decontaminate.find_leaks(spark.createDataFrame(texts, "doc_id int, text string"),
+                                   spark.createDataFrame(items, "item_id int, text string"))
+    assert {(r.doc_id, r.item_id): (round(r.similarity, 6), r.start) for r in got.collect()} == expected
+
+
 # op5
 
 def plain_removal(texts, n):
