@@ -10,9 +10,11 @@ d to a node follows only the edges d - radius .. d + radius. The trees of many
 shards are built and searched together, level by level, as arrays.
 
 A shard with more than ``SHARD_ROWS`` fingerprints is cut again by blocks of the
-bits its members need not share, which loses no link. If it is large even then,
-it is salted: its tree goes to every salt, and each salt searches its share of
-the queries. Trees are sent to the queries of their own shard only; all trees
+bits its members need not share, which loses no link, until 12 bits are free at
+most: so few bits make no more than 4,096 fingerprints. From the third cut on a shard
+that needs only as many salts as a cut makes copies (``radius`` + 1) is salted
+instead: its tree goes to every salt, and each salt searches its share of the
+queries. Trees are sent to the queries of their own shard only; all trees
 together grow with the data and are never broadcast to everyone. A shard emits no pairs but a star per local
 component; stars are joined by connected components.
 
@@ -24,6 +26,7 @@ only has a null id; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -40,6 +43,7 @@ RADIUS = 3
 SEED = 42
 SHARD_ROWS = 4096
 LEVELS = 3
+FREE_BITS = 12
 FOREST_ROWS = 200_000
 FRONTIER = 1 << 20
 
@@ -167,26 +171,28 @@ def _shards(fps: DataFrame, radius: int) -> DataFrame:
 
     The members of a shard of over ``SHARD_ROWS`` agree in a block, so linked
     ones agree in a block of their other bits too: the shard is cut again by
-    those, ``LEVELS`` times at most. What is large even then (fingerprints that
-    agree in more than half of their bits) is salted."""
+    those, until at most ``FREE_BITS`` are left (or no block would have a bit).
+    After ``LEVELS`` cuts, a shard of a few times ``SHARD_ROWS`` is salted where
+    that makes no more rows than another cut. So no tree has more than
+    ``SHARD_ROWS`` * (radius + 1) rows."""
     blocks, width = radius + 1, 64
     rows = fps.select("fp", F.lit(0).cast("long").alias("key"), F.col("fp").alias("rest"))
     done = None
-    for level in range(LEVELS):
+    for level in count(1):
         rows = _cut_by_blocks(rows, width, blocks)
         width -= width // blocks
         large = (rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > SHARD_ROWS)
                  .select("key", F.ceil(F.col("n") / SHARD_ROWS).cast("int").alias("salts")))
         large = materialize(large, "simhash_large")
-        marked = rows.join(broadcast_within(large, 100_000), "key", "left")
-        last = level == LEVELS - 1
-        part = marked.select("key", "fp", F.coalesce("salts", F.lit(1)).alias("salts")) if last else (
-            marked.filter("salts is null").select("key", "fp", F.lit(1).alias("salts")))
+        marked = (rows.join(broadcast_within(large, 100_000), "key", "left")
+                  .withColumn("salts", F.coalesce("salts", F.lit(1))))
+        again = F.col("salts") > (1 if level < LEVELS else blocks)
+        last = width <= max(FREE_BITS, blocks) or large.filter(again).isEmpty()
+        part = (marked if last else marked.filter(~again)).select("key", "fp", "salts")
         done = part if done is None else done.unionByName(part)
-        if large.isEmpty():
+        if last:
             break
-        if not last:
-            rows = materialize(marked.filter("salts is not null").select("fp", "key", "rest"), "simhash_again")
+        rows = materialize(marked.filter(again).select("fp", "key", "rest"), "simhash_again")
     own = F.pmod(F.xxhash64("fp"), F.col("salts"))
     return (done.select("key", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
             .select("key", "salt", "fp", (F.col("own") == F.col("salt")).alias("query")))

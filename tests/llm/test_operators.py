@@ -115,6 +115,15 @@ def test_shards_cut_by_further_blocks_lose_no_pair(spark, monkeypatch):
                 assert (a, b) in pairs
 
 
+def test_hot_shards_are_cut_on(spark):
+    rnd = np.random.default_rng(6)
+    fps = np.unique(rnd.integers(0, 2**24, 20_000)) + (77 << 40)  # all agree in 40 bits
+    met = simhash._shards(spark.createDataFrame([(int(x),) for x in fps], "fp long"), 3)
+    tree = met.groupBy("key", "salt").count().agg({"count": "max"}).first()[0]
+    assert tree <= 4 * simhash.SHARD_ROWS
+    assert met.filter("query").select("fp").distinct().count() == len(fps)
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     got = dict(map(tuple, components.connected_components(links).collect()))
