@@ -51,10 +51,11 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _CUE_GAP = re.compile(r"(?:\s*(?:no\.?|nr\.?|number|num\.?|nummer|code|#|is|:|=|-))*\s*[:=#]?\s*", re.I)
-_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30}(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _ACCOUNT = re.compile(r"[A-Za-z]{0,3}[0-9](?:[ -]?[0-9A-Za-z]){5,19}(?![0-9A-Za-z])")
-_URL_USER = re.compile(r"[A-Za-z0-9._~%!$&'()*+,;=:-]{1,256}@[A-Za-z0-9.-]{1,253}(?::[0-9]{1,5})?")
+_USER = re.compile(r"[A-Za-z0-9._~%!$&'()*+,;=:-]++")
+_HOST = re.compile(r"@[A-Za-z0-9.-]{1,253}(?::[0-9]{1,5})?")
 
 
 def luhn(digits: str) -> bool:
@@ -92,15 +93,17 @@ def account_after(text: str, at: int, cue: str = "") -> tuple[int, int] | None:
     """The identifier that a cue ending at ``at`` announces."""
     gap = _CUE_GAP.match(text, at, at + 24)
     at = gap.end() if gap else at
-    m = _IBAN.match(text, at)
-    while m and m.end() > at + 15:  # greedy groups may run into the next word
-        end = m.end()
-        if iban_ok(m[0]):
-            return m.start(), end
-        cut = text.rfind(" ", at, end)
-        if cut < 0:
-            break
-        m = _IBAN.match(text, at, cut)
+    # "no" may be the country of a number rather than the word
+    for start in ((at - 2, at) if text[at - 2:at].lower() == "no" else (at,)):
+        m = _IBAN.match(text, start)
+        while m:  # greedy groups may run into the next word
+            end = m.end()
+            if iban_ok(m[0]):
+                return m.start(), end
+            cut = text.rfind(" ", start, end)
+            if cut < 0:
+                break
+            m = _IBAN.match(text, start, cut)
     if cue == "iban":
         return None
     m = _SSN.match(text, at)
@@ -142,7 +145,7 @@ def find_spans(text: str | None) -> dict[str, list[tuple[int, int]]]:
     if not text:
         return out
     folded = text.lower() if text.isascii() else text.translate(_FOLD)  # same offsets
-    floor = last = 0
+    floor = last = dead = 0
     for end, (what, n) in automaton().iter(folded):
         end += 1
         if what == "at":
@@ -153,8 +156,11 @@ def find_spans(text: str | None) -> dict[str, list[tuple[int, int]]]:
         elif end - n < last or (end - n > 0 and text[end - n - 1].isalnum()):
             continue
         elif what == "scheme":
-            m = _URL_USER.match(text, end)
-            if m and "@" in m[0]:
+            user = _USER.match(text, end) if end >= dead else None
+            m = _HOST.match(text, user.end()) if user else None
+            if user and not m:
+                dead = user.end()  # a later scheme in the same run ends there too
+            if m:
                 stop = m.end()
                 while text[stop - 1] in ".:,;":
                     stop -= 1

@@ -176,6 +176,17 @@ def test_added_spans_and_rows(docs, rows, empty):
     same(hidden, [(1, "[email] x"), (2, None)])
 
 
+def test_short_and_lower_case_ibans_and_long_user_information():
+    spans = lambda t, k: [t[a:b] for a, b in pii.find_spans(t)[k]]
+    assert spans("IBAN NO9386011117947 ok", "account") == ["NO9386011117947"]
+    assert spans("iban: no93 8601 1117 947, ok", "account") == ["no93 8601 1117 947"]
+    assert spans("iban de89370400440532013000 is mine", "account") == ["de89370400440532013000"]
+    assert spans("iban NO9386011117948", "account") == []
+    url = "https://" + "u" * 5000 + ":pw@host.example"
+    assert spans(f"see {url}/x", "address") == [url]
+    assert spans("mailto:" * 20_000 + "x ftp://a@b.example", "address") == ["ftp://a@b.example"]
+
+
 # op4
 
 def test_leaks_match_all_windows(spark, docs, rows, empty):
