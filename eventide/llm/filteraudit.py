@@ -23,6 +23,7 @@ An empty table gives no part and so no row.
 
 from __future__ import annotations
 
+import json
 from fractions import Fraction
 from itertools import permutations
 from math import comb, factorial
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from eventide.llm.common import BLANK_REGEX, table
 
 LETTERS = "ABCDE"
+STEP = "array<struct<filter_order string, step int, f int, own int, before int, after int>>"
 
 
 def shapley_weights(n: int) -> list[list[Fraction]]:
@@ -94,13 +96,13 @@ def audit(cells: DataFrame, letters: str = LETTERS) -> DataFrame:
     for order in permutations(range(n)):
         before = 0
         for k, f in enumerate(order):
-            steps.append(f"named_struct('filter_order', '{''.join(letters[i] for i in order)}', 'step', {k + 1}, "
-                         f"'f', {f}, 'own', {1 << f}, 'before', {before}, 'after', {before | 1 << f})")
+            steps.append({"filter_order": "".join(letters[i] for i in order), "step": k + 1,
+                          "f": f, "own": 1 << f, "before": before, "after": before | 1 << f})
             before |= 1 << f
     shapley = F.array(*[sum((F.col("v_docs")[s] * F.lit(int(w)) for s, w in enumerate(row) if w),
                             F.lit(0).cast("long")) for row in weights])
     rows = (v.withColumn("shapleys", shapley)
-            .select("*", F.expr(f"explode(array({', '.join(steps)})) AS s")))
+            .select("*", F.explode(F.from_json(F.lit(json.dumps(steps)), STEP)).alias("s")))
 
     def gained(m: str) -> Column:
         return F.get(F.col(f"v_{m}"), F.col("s.after")) - F.get(F.col(f"v_{m}"), F.col("s.before"))
