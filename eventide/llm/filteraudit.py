@@ -77,8 +77,8 @@ def coalition_table(cells: DataFrame, n: int, measures: list[str]) -> DataFrame:
     summed; each cell meets the 2^n coalitions as literals, not by a join."""
     sums = []
     for m in measures:
-        sums.append(F.array(*[F.sum(F.when(F.col("mask").bitwiseAND(s) != 0, F.col(m)).otherwise(0))
-                              for s in range(1 << n)]).alias(f"v_{m}"))
+        removed = ", ".join(f"sum(if((mask & {s}) != 0, `{m}`, 0L))" for s in range(1 << n))
+        sums.append(F.expr(f"array({removed})").alias(f"v_{m}"))
         sums.append(F.sum(m).alias(f"all_{m}"))
     return cells.groupBy("part").agg(*sums)
 
