@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import hint_if_small, materialize
 from .segmented import BUCKET, Scan, add_time_bucket, ordered_scan
 
 DAY = 86400
@@ -186,15 +187,16 @@ def transition_matrix(df: DataFrame, page_col: str = "page",
     over the source page; the window runs on the aggregated edge table
     (pages x pages), not on events. A session whose last event lies within
     the gap of the newest event may still continue, so its "end" is not yet
-    known: ``closed_only`` leaves such sessions out (the newest time is a
-    scalar subquery, the session ends a partial aggregate).
+    known: ``closed_only`` leaves such sessions out. Only the ids of those open
+    sessions are joined (written first, so their size is known): they are those of the
+    last gap, however long the history, and a hot closed session is never gathered.
     """
     if closed_only:
         newest = df.agg(F.max(ts_col)).scalar()
         ends = df.groupBy(session_col).agg(F.max(ts_col).alias("_end"))
-        closed = ends.where(_us("_end") + F.lit(int(gap_seconds) * 1_000_000)
-                            <= F.unix_micros(newest)).select(session_col)
-        df = df.join(closed, session_col, "left_semi")
+        still_open = ends.where(_us("_end") + F.lit(int(gap_seconds) * 1_000_000)
+                                > F.unix_micros(newest)).select(session_col)
+        df = df.join(hint_if_small(materialize(still_open, "open_sessions")), session_col, "left_anti")
     edges = df.select(F.col(page_col).alias("source"),
                       F.coalesce(F.col(next_col), F.lit(END)).alias("dest")) \
         .groupBy("source", "dest").agg(F.count(F.lit(1)).alias("n"))
@@ -211,17 +213,33 @@ def event_gaps(df: DataFrame, user_col: str = "user_id", ts_col: str = "ts",
         F.avg(gap).alias("mean_event_gap_s"), F.count(F.lit(1)).alias("n_gaps"))
 
 
-def session_gaps(sessions: DataFrame, user_col: str = "user_id",
-                 start_col: str = "session_start", end_col: str = "session_end",
-                 session_col: str = "session_id", bucket_seconds: int | str = "auto") -> DataFrame:
+def user_gaps(sessions: DataFrame, user_col: str = "user_id", start_col: str = "session_start",
+              end_col: str = "session_end", events_col: str = "n_events") -> DataFrame:
+    """F12, both gaps per user, from one row per session and without any order.
+
+    A user's n sessions do not overlap, so the gaps between them add up to
+    (last end - first start) - sum of durations, over n - 1; the gaps inside them add up to
+    the sum of durations, over events - n. Minimum, maximum and sums are partial
+    aggregates, so a user with any number of sessions is combined map-side. Means are null where there is no gap."""
+    start, end = _us(start_col), _us(end_col)
+    g = sessions.groupBy(user_col).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(events_col).alias("_events"), F.sum(end - start).alias("_inside"),
+        (F.max(end) - F.min(start)).alias("_span"))
+
+    def mean(total: Column, n: Column) -> Column:
+        return F.when(n > 0, total / n / F.lit(1_000_000.0))
+    inner, outer = F.col("_events") - F.col("_n"), F.col("_n") - 1
+    return g.select(user_col, mean(F.col("_inside"), inner).alias("mean_event_gap_s"), inner.alias("n_event_gaps"),
+                    mean(F.col("_span") - F.col("_inside"), outer).alias("mean_session_gap_s"),
+                    outer.alias("n_session_gaps"))
+
+
+def session_gaps(sessions: DataFrame, user_col: str = "user_id", start_col: str = "session_start",
+                 end_col: str = "session_end", events_col: str = "n_events") -> DataFrame:
     """F12 beta: mean time from a session's end to the user's next session
-    start, per user. Sessions of a user are scanned with the skew-safe scan."""
-    d = _bucket(sessions, user_col, start_col, bucket_seconds)
-    d = ordered_scan(d, [user_col], [start_col, session_col],
-                     [Scan("lag", F.col(end_col), "_prev_end")]).drop(BUCKET)
-    gap = (_us(start_col) - _us("_prev_end")) / F.lit(1_000_000.0)
-    return d.where(F.col("_prev_end").isNotNull()).groupBy(user_col).agg(
-        F.avg(gap).alias("mean_session_gap_s"), F.count(F.lit(1)).alias("n_gaps"))
+    start, for users with two sessions or more (see :func:`user_gaps`)."""
+    g = user_gaps(sessions, user_col, start_col, end_col, events_col)
+    return g.where("n_session_gaps > 0").select(user_col, "mean_session_gap_s", F.col("n_session_gaps").alias("n_gaps"))
 
 
 def play_through(df: DataFrame, ts_col: str = "ts", duration_col: str = "duration",

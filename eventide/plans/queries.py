@@ -15,6 +15,7 @@ from ..operators import catalog, growth, routing, sessions, windows
 from ..operators.sampling import prefix_ranges, range_lookup, total_weight
 from ..operators.sampling import weighted_pick as pick_by_weight
 from ..operators.segmented import BUCKET, Scan, ordered_scan
+from ..session import materialize
 from ..sinks import writers
 from ..sources import files
 from . import adapters as A
@@ -131,7 +132,6 @@ def decode_all_topics(spark, sf):
     """The page-view model produces all four topics
     into one Kafka-shaped frame (one subscription), which is split by topic
     and decoded with each topic's own schema."""
-    from ..session import materialize
     from ..sources.kafka import split_topics
     # the sessionized page views feed four producers: build them once
     pv = materialize(A.page_views(spark, sf, neighbours=("previous_page",)), "page_views")
@@ -269,17 +269,18 @@ def transition_matrix_closed(spark, sf):
 
 
 def event_gaps(spark, sf):
-    pv = A.page_views(spark, sf, gap_seconds=12 * HOUR, neighbours=("prev_ts",))
-    g = sessions.event_gaps(pv)
-    return g.select("user_id", F.round("mean_event_gap_s", 3).alias("mean_event_gap_s"), "n_gaps")
+    """F12 alpha, from the session summary: no event meets its neighbour."""
+    pv = A.page_views(spark, sf, gap_seconds=12 * HOUR)
+    g = sessions.user_gaps(sessions.session_summary(pv, order=["ts", "event_id"]))
+    return g.where("n_event_gaps > 0").select("user_id", F.round("mean_event_gap_s", 3).alias("mean_event_gap_s"),
+                                              F.col("n_event_gaps").alias("n_gaps"))
 
 
 def session_gaps(spark, sf):
-    pv = A.page_views(spark, sf)
-    s = sessions.session_summary(pv, order=["ts", "event_id"])
-    g = sessions.session_gaps(s)
-    return g.select("user_id", F.round("mean_session_gap_s", 3).alias("mean_session_gap_s"),
-                    "n_gaps")
+    """F12 beta, from the session summary."""
+    s = sessions.session_summary(A.page_views(spark, sf), order=["ts", "event_id"])
+    return sessions.session_gaps(s).select(
+        "user_id", F.round("mean_session_gap_s", 3).alias("mean_session_gap_s"), "n_gaps")
 
 
 def play_through(spark, sf):
@@ -347,9 +348,11 @@ def _similar_rows(spark, sf) -> DataFrame:
     each order is the track, each later line one similar pair."""
     li = A.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
                                                "l_quantity")
-    order = Window.partitionBy("l_orderkey")  # an order has a few lines
-    first = F.min(F.struct("l_linenumber", "l_partkey")).over(order)
-    j = li.withColumn("_first", first).where(F.col("l_linenumber") != F.col("_first.l_linenumber")) \
+    # one narrow row per order from a partial aggregate, written: a hot order's
+    # lines meet it in a join that can split them, not in one window task
+    heads = materialize(li.groupBy("l_orderkey").agg(
+        F.min(F.struct("l_linenumber", "l_partkey")).alias("_first")), "order_heads")
+    j = li.join(heads, "l_orderkey").where(F.col("l_linenumber") != F.col("_first.l_linenumber")) \
         .withColumn("src_part", F.col("_first.l_partkey"))
     return j.select(F.concat(F.lit("TR"), F.col("src_part").cast("string")).alias("track_id"),
                     F.concat(F.lit("TR"), F.col("l_partkey").cast("string")).alias("similar_id"),
@@ -443,7 +446,6 @@ def next_track(spark, sf):
     played tracks when it has none. Draw key: (orderkey*7919 + line*31 +
     partkey) mod total, so SQL can repeat it."""
     from ..operators.sampling import next_items
-    from ..session import materialize
     num = lambda c: F.regexp_extract(F.col(c), r"TR(\d+)", 1).cast("long")
     # the two reference tables are built once and read back (they are used
     # by several branches of the plan)

@@ -134,6 +134,14 @@ def materialize(df, name: str):
     return df.sparkSession.read.parquet(path)
 
 
+def hint_if_small(table, max_bytes: int = 32 << 20):
+    """Hint a broadcast of a written table of fixed-width columns if its rows, counted
+    from the file footers and taken at 16 bytes and 8 more a column, stay within ``max_bytes``;
+    otherwise the shuffled join is left to Spark, which can split a hot key of a plain table."""
+    from pyspark.sql import functions as F
+    return F.broadcast(table) if table.count() * (16 + 8 * len(table.columns)) <= max_bytes else table
+
+
 _SHIPPED: set[str] = set()
 
 

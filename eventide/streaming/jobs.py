@@ -39,21 +39,29 @@ def windowed_count_job(decoded: DataFrame, length: str = "60 seconds",
     return windows.format_windows(windows.sliding_count(w, ts_col, length, slide))
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 @contextmanager
-def state_partitions(spark: SparkSession, n: int | None = None):
+def state_partitions(spark: SparkSession, n: int | None = None, rocksdb: bool = False):
     """Start a stateful stream with ``n`` state partitions (default: the
     cluster's cores). The count is fixed in the query's checkpoint at its
     first start, so the session setting is restored right after; AQE cannot
     coalesce stateful stages, so the batch default (often 200) would mean
-    200 state-store tasks per operator per micro-batch."""
+    200 state-store tasks per operator per micro-batch. ``rocksdb`` picks that
+    state store also in a session built elsewhere (list, map and timer state need it)."""
     n = n or spark.sparkContext.defaultParallelism
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+    want = {"spark.sql.shuffle.partitions": str(n)}
+    if rocksdb:
+        want["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+    old = {k: spark.conf.get(k, None) for k in want}
+    for k, v in want.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def run_until_done(query) -> None:
