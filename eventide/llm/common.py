@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 # Strip set / word separators of every contract: space and \x09-\x0D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -48,6 +49,24 @@ def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+CHUNK = 4096
+
+
+def repeated(df: DataFrame, times: Column, name: str) -> DataFrame:
+    """Every row ``times`` times, numbered by a long column ``name`` from 0 (rows with
+    0 or null go). A row that is wanted very often becomes chunks first, which are
+    dealt out again, so neither one task nor one array holds a hot row's copies."""
+    d = df.withColumn("_times", times.cast("long")).filter(F.col("_times") > 0)
+    few = d.filter(F.col("_times") <= CHUNK).withColumn("_chunk", F.lit(0).cast("long"))
+    many = (d.filter(F.col("_times") > CHUNK)
+            .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_times") - 1) / CHUNK)))))
+    many = many.repartition(F.xxhash64(*[c for c in df.columns if not isinstance(df.schema[c].dataType, MapType)], "_chunk"))
+    low = F.col("_chunk") * CHUNK
+    both = few.unionByName(many)
+    return (both.withColumn(name, F.explode(F.sequence(low, F.least(low + CHUNK, F.col("_times")) - 1)))
+            .drop("_times", "_chunk"))
+
+
 def text_chunks(texts, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """(start, end) slices of a batch of strings holding about ``max_bytes``
     characters each (a single longer text is a slice of its own)."""

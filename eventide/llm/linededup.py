@@ -15,8 +15,9 @@ document), and texts without a dropped line are not joined line by line.
 
 Rules: null or empty text is one empty line; an empty key is never dropped;
 several occurrences in one document count once; equal rows (same id and text)
-count as separate documents and get the same answer; an empty table gives an
-empty result.
+count as separate documents and get the same answer; lines with equal keys are ties
+and go or stay together; a very long text is one row, read whole; other columns are not
+read, so their names are free; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ class LineRuns:
     def __init__(self, spark: SparkSession, min_docs: int, fanout: int = FANOUT):
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
         self.levels: list[list[DataFrame]] = [[]]
-        self.frequent = spark.createDataFrame([], "h1 long, h2 long")
+        self.frequent = spark.range(0).select(F.col("id").alias("h1"), F.col("id").alias("h2"))
 
     def _run(self, df: DataFrame, name: str) -> DataFrame:
         return materialize(df.sortWithinPartitions("h1", "h2"), name)
@@ -114,16 +115,28 @@ def dropped_lines(docs: DataFrame, min_docs: int = 10, batches: int = BATCHES,
     return materialize(hit.groupBy("k1", "k2").agg(F.collect_set("line").alias("drop")), "dropped_lines")
 
 
+def _without(parts: Column, gone: Column) -> Column:
+    """``parts`` without the places in the sorted array ``gone``: the stretches
+    between them, so the work is linear in the document."""
+    last = F.lit(-1)
+
+    def stretch(k: Column) -> Column:
+        before = F.coalesce(F.get(gone, k - 1), last)
+        return F.slice(parts, before + 2, F.coalesce(F.get(gone, k), F.size(parts)) - before - 1)
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), stretch))
+
+
 def drop_lines(docs: DataFrame, min_docs: int = 10, batches: int = BATCHES,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` columns id, text and n_lines, n_dropped, kept (the text left)."""
     drop = dropped_lines(docs, min_docs, batches, id_col, text_col)
     k1, k2 = row_keys(F.col(id_col), F.col(text_col))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), k1.alias("k1"), k2.alias("k2"))
-    out = rows.join(broadcast_within(drop, MAX_BROADCAST // 4), ["k1", "k2"], "left")
+    # line numbers have no bound in bytes, so this table is never broadcast
+    out = rows.join(drop, ["k1", "k2"], "left")
     parts = lines_of(F.col("text"))
-    left = F.filter(parts, lambda _, i: ~F.array_contains(F.col("drop"), i))
-    kept = F.when(F.col("drop").isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(F.array_join(left, "\n"))
+    kept = F.when(F.col("drop").isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(
+        F.array_join(_without(parts, F.sort_array("drop")), "\n"))
     return out.select("doc_id", "text", F.size(parts).cast("long").alias("n_lines"),
                       F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept"))
 

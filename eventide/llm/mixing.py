@@ -15,9 +15,15 @@ Nothing is sorted per source: ranks are counted in (source, rank bin) sums, a
 window over those finds the bin where R is reached, and only the rows of that
 one bin are ordered. Rows of one source never meet in one task.
 
+Equal rows (same id, text and source) are counted first and then numbered, and the
+number is hashed too, so each has a draw of its own; which of them are taken does not
+matter, as they are equal.
+
 Rules: null text has size 0, null source is a source of its own (last); rows of
-size 0 are kept floor(f) times; equal rows share their rank and enter together;
-an empty table gives an empty result; reruns agree (no random numbers).
+size 0 are kept floor(f) times; equal ranks are ordered by the hash of the row and its
+number; very long texts are counted whole, and one may be most of a source, which then misses
+its target by up to half of it; an empty table gives an empty result; reruns agree (no random
+numbers). Columns of the input are packed in a struct, so none clashes.
 """
 
 from __future__ import annotations
@@ -25,10 +31,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import WORD_REGEX, broadcast_within, table
+from eventide.llm.common import WORD_REGEX, broadcast_within, repeated, table
 from eventide.session import materialize
 
-RANK_BINS = 4096
+RANK_BINS = 4096  # at least; one more for every ROWS_PER_BIN rows
+ROWS_PER_BIN = 1024
 MAX_SOURCES_BROADCAST = 100_000
 
 
@@ -94,7 +101,7 @@ def sampling_plan(rows: DataFrame, targets: DataFrame) -> DataFrame:
     plan = (plan.join(th.select(F.col("source").alias("s3"), "th"), F.col("source").eqNullSafe(F.col("s3")), "left")
             .select("source", "source_size", "target", "whole", "rest", F.col("th").alias("theta")))
     plan = materialize(plan, "mix_theta")
-    ranked = with_rank(rows, plan).filter(F.col("rest") > 0)
+    ranked = with_rank(rows, plan, max(RANK_BINS, rows.count() // ROWS_PER_BIN)).filter(F.col("rest") > 0)
     bins = ranked.groupBy("source", "bin").agg(F.sum("size").alias("words"))
     up = Window.partitionBy("source").orderBy("bin")
     bins = bins.withColumn("upto", F.sum("words").over(up))
@@ -124,7 +131,7 @@ def sampling_plan(rows: DataFrame, targets: DataFrame) -> DataFrame:
         F.coalesce("hl", F.when(F.col("hf").isNotNull(), F.lit(None).cast("long"))).alias("h_max")), "mix_plan")
 
 
-def with_rank(rows: DataFrame, plan: DataFrame) -> DataFrame:
+def with_rank(rows: DataFrame, plan: DataFrame, bins: int = RANK_BINS) -> DataFrame:
     """Join the per-source plan and add q (Pareto rank), bin of q."""
     p = plan.withColumnRenamed("source", "plan_source")
     joined = rows.join(broadcast_within(p, MAX_SOURCES_BROADCAST),
@@ -136,8 +143,8 @@ def with_rank(rows: DataFrame, plan: DataFrame) -> DataFrame:
          .when(prob.isNull() | (prob >= 1), F.lit(0.0))
          .otherwise(odds_u * (1 - prob) / prob))
     joined = joined.withColumn("q", q)
-    return joined.withColumn("bin", F.when(F.col("q") == float("inf"), F.lit(RANK_BINS))
-                             .otherwise(F.floor(F.col("q") / (1 + F.col("q")) * RANK_BINS)).cast("int"))
+    return joined.withColumn("bin", F.when(F.col("q") == float("inf"), F.lit(bins))
+                             .otherwise(F.floor(F.col("q") / (1 + F.col("q")) * bins)).cast("int"))
 
 
 def copies() -> Column:
@@ -148,17 +155,25 @@ def copies() -> Column:
     return F.col("whole") + F.when(more, F.lit(1)).otherwise(F.lit(0))
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> list[Column]:
-    h = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
+def _identity(id_col: str, text_col: str, source_col: str, seed: int) -> list[Column]:
+    """source, size and two hashes that stand for a row."""
+    key = [F.col(id_col), F.col(text_col), F.col(source_col)]
     return [F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-            h.alias("h"), _uniform(h).alias("u")]
+            F.xxhash64(F.lit(seed), *key[:2]).alias("g1"), F.xxhash64(F.lit(seed + 1), *reversed(key)).alias("g2")]
+
+
+def _numbered(groups: DataFrame) -> DataFrame:
+    """One row per document: equal ones numbered, each with a hash and a draw of its own."""
+    rows = repeated(groups, F.col("n"), "i")
+    rows = rows.withColumn("h", F.when(F.col("i") == 0, F.col("g1")).otherwise(F.xxhash64("g1", "g2", "i")))
+    return materialize(rows.withColumn("u", _uniform(F.col("h"))), "mix_rows")
 
 
 def mix_counts(docs: DataFrame, weights=(1, 2, 3), max_repeat: int = 3, seed: int = 11,
                id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """doc_id, size, source_size, target, taken (words taken, repeats counted)."""
-    rows = materialize(docs.select(F.col(id_col).alias("doc_id"),
-                                   *_rows(docs, id_col, text_col, source_col, seed)), "mix_rows")
+    found = docs.select(F.col(id_col).alias("doc_id"), *_identity(id_col, text_col, source_col, seed))
+    rows = _numbered(found.groupBy(*found.columns).agg(F.count("*").alias("n")))
     plan = sampling_plan(rows, source_targets(rows, weights, max_repeat))
     return with_rank(rows, plan).select("doc_id", "size", "source_size", "target",
                                         (copies() * F.col("size")).cast("long").alias("taken"))
@@ -168,16 +183,30 @@ def mix(docs: DataFrame, weights=(1, 2, 3), max_repeat: int = 3, seed: int = 11,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it.
 
-    Only the narrow rows are shuffled; the texts are decided in place."""
-    sized = [c.alias(f"_mix_{i}") for i, c in enumerate(_rows(docs, id_col, text_col, source_col, seed))]
-    rows = materialize(docs.select(*_rows(docs, id_col, text_col, source_col, seed)), "mix_rows")
+    Only narrow rows are shuffled, and the texts of rows that have an equal one (of
+    which one stands for all); the other texts are decided in place."""
+    who = _identity(id_col, text_col, source_col, seed)
+    found = docs.select(*who)
+    groups = materialize(found.groupBy(*found.columns).agg(F.count("*").alias("n")), "mix_groups")
+    rows = _numbered(groups)
     plan = sampling_plan(rows, source_targets(rows, weights, max_repeat))
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_mix_row"), *sized)
-    packed = packed.select("_mix_row", F.col("_mix_0").alias("source"), F.col("_mix_1").alias("size"),
-                           F.col("_mix_2").alias("h"), F.col("_mix_3").alias("u"))
-    out = with_rank(packed, plan).withColumn("_mix_n", copies()).filter(F.col("_mix_n") > 0)
-    return (out.select("_mix_row", F.explode(F.sequence(F.lit(1), F.col("_mix_n"))).alias("_mix_i"))
-            .select("_mix_row.*"))
+    several = materialize(with_rank(rows.filter("n > 1"), plan).groupBy("g1", "g2").agg(
+        F.sum(copies()).cast("long").alias("_mix_n")), "mix_several")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_mix_row")
+    packed = docs.select(row, *who)
+    alone, twins = packed, None
+    if several.count():
+        keys = broadcast_within(several, MAX_SOURCES_BROADCAST)
+        alone = packed.join(keys.select("g1", "g2"), ["g1", "g2"], "left_anti")
+        twins = (packed.join(keys.select("g1", "g2"), ["g1", "g2"], "left_semi").groupBy("g1", "g2")
+                 .agg(F.first("_mix_row").alias("_mix_row")).join(keys, ["g1", "g2"]).select("_mix_row", "_mix_n"))
+    alone = with_rank(alone.withColumn("h", F.col("g1")).withColumn("u", _uniform(F.col("g1"))), plan)
+    out = alone.select("_mix_row", copies().cast("long").alias("_mix_n"))
+    out = (out.filter(F.col("_mix_n") > 0)
+           .select("_mix_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_n"))).alias("_mix_i")).select("_mix_row"))
+    if twins is not None:
+        out = out.unionByName(repeated(twins, F.col("_mix_n"), "_mix_i").select("_mix_row"))
+    return out.select("_mix_row.*")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

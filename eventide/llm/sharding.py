@@ -4,13 +4,16 @@ Rows with equal texts form an atomic group. Groups are ordered by the hash of
 their text and packed into at most 2**14 ordered units (the top bits of the
 hash), so the search works on one bounded array whatever the table holds, and a
 group is never cut. The smallest feasible shard capacity is found by binary
-search over that array; a candidate is checked greedily (fill a shard until the
-next unit would pass the capacity). A unit larger than the capacity takes a
-shard of its own, so one huge group does not set the size of all other shards.
-The shards are then cut by a greedy pass within that capacity.
-
-Rules: null and empty texts are one group of size 1 a row; an empty table gives
-an empty result; an input column named like a result column is replaced.
+search over that array, from the largest unit upwards, as no shard is smaller than
+what it cannot cut; a candidate is checked greedily (fill a shard until the next unit
+would pass the capacity). The shards are then cut by a greedy pass that stays within the
+capacity and closes a shard at its even part of what is left, so a huge group sets the
+capacity but not the size of the other shards.
+
+Rules: null and empty texts are one group of size 1 a row; a very long text counts with all
+its bytes; equal texts and repeated rows share a shard and get slots of their own; ties of
+the order are equal texts; an empty table gives an empty result; an input column named
+like a result column is replaced.
 """
 
 from __future__ import annotations
@@ -18,11 +21,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import table
+from eventide.llm.common import broadcast_within, repeated, table
 from eventide.session import materialize
 
 UNIT_BITS = 14
-SLOT_KEYS = 1024
+SLOT_KEYS = 1024  # at least, and one for every ROWS_PER_KEY rows
+ROWS_PER_KEY = 4096
+MAX_KEYS = 500_000
 
 
 def text_size(text: Column) -> Column:
@@ -64,7 +69,8 @@ def shard_cuts(sizes: DataFrame, shards: int = 16) -> DataFrame:
     one = units.agg(F.sort_array(F.collect_list(F.struct("unit", "size"))).alias("units"),
                     F.sum("size").alias("total"))
     u, total = F.col("units"), F.col("total")
-    span = F.struct(F.lit(0).cast("long").alias("lo"), total.alias("hi"))  # lo fails, hi works
+    # lo fails (a unit is not cut), hi works
+    span = F.struct((F.array_max(F.transform(u, lambda x: x["size"])) - F.lit(1)).cast("long").alias("lo"), total.alias("hi"))
 
     def halve(acc, _):
         # ``(hi - lo) div 2`` without an expression string: no bound names here
@@ -101,26 +107,29 @@ def shard_slots(docs: DataFrame, shards: int = 16, id_col: str = "doc_id",
     """doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     ``slot`` numbers a shard's rows from 0 without gaps. It is counted in two
-    levels (rows per (shard, key of the id), then a row number inside that
-    key), so no shard is ever sorted in one task."""
+    levels (rows per (shard, key of the row), then a running count inside that key), so no
+    shard is ever sorted in one task. Equal rows are counted first and numbered last, so they
+    are one row in between; the number of keys grows with the rows."""
     text = F.col(text_col)
     row = F.xxhash64(F.col(id_col), text)
-    narrow = materialize(docs.select(
+    narrow = docs.select(
         F.col(id_col).alias("doc_id"), text_size(text).alias("size"), text_unit(text).alias("unit"),
-        F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8")).alias("text_crc32"),
-        F.pmod(row, F.lit(SLOT_KEYS)).cast("int").alias("k"), row.alias("h")), "shard_rows")
-    cuts = shard_cuts(narrow, shards)
-    placed = narrow.withColumn("shard", shard_of(cuts, F.col("unit")))
-    counts = placed.groupBy("shard", "k").agg(F.count("*").alias("n"))
+        F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8")).alias("text_crc32"), row.alias("h"))
+    narrow = materialize(narrow.groupBy(*narrow.columns).agg(F.count("*").alias("n")), "shard_rows")
+    keys = max(SLOT_KEYS, narrow.count() // ROWS_PER_KEY)
+    cuts = shard_cuts(narrow.select("unit", (F.col("size") * F.col("n")).alias("size")), shards)
+    placed = (narrow.withColumn("shard", shard_of(cuts, F.col("unit")))
+              .withColumn("k", F.pmod(F.xxhash64("h"), F.lit(keys)).cast("int")))
+    counts = materialize(placed.groupBy("shard", "k").agg(F.sum("n").alias("n")), "shard_keys")
     before = Window.partitionBy("shard").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    # at most shards * SLOT_KEYS rows, whatever the input
-    first = counts.select("shard", "k", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("shard", "k").orderBy("h", "doc_id")
-    return (placed.withColumn("i", F.row_number().over(inside) - 1)
-            .join(F.broadcast(first), ["shard", "k"])
-            .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                    (F.col("first") + F.col("i")).alias("slot"),
-                    F.lit(None).cast("int").alias("grown_shard")))
+    # one row per ROWS_PER_KEY rows or so
+    first = materialize(counts.select("shard", "k", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), "shard_first")
+    inside = Window.partitionBy("shard", "k").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    at = (placed.withColumn("i", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+          .join(broadcast_within(first, MAX_KEYS), ["shard", "k"]))
+    return repeated(at, F.col("n"), "copy").select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+        (F.col("first") + F.col("i") + F.col("copy")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
