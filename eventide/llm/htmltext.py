@@ -18,7 +18,9 @@ the body itself keeps all that is not skipped).
 
 Rules: null or empty html has empty text; unclosed and stray tags are tolerated;
 a page without any line above the threshold gives its largest region; nothing is
-cut by length; an empty table gives an empty result.
+cut by length, however long the page; a line at the threshold stays out, equally large regions give the
+first; repeated rows get equal texts; a column of the input named like the result is replaced; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations

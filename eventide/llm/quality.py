@@ -10,12 +10,17 @@ ordered list into one Spark conditional expression, so applying it is a plain
 column.
 
 The rules are learned from at most ``max_rows`` labelled rows (a documented
-bound, drawn by the hash of the id); every other number covers all rows.
+bound, drawn by the hash of the id); every other number covers all rows. The list has at
+most ``max_rules`` rules (12) of at most ``max_conditions`` conditions (4): both bound the
+size of the Spark expression and are parameters; covering mostly stops before, when no
+further rule is precise.
 
 Rules: null and empty texts have no words, fail the base rules and are not
 kept; with no labels, or labels of one class, the list is empty and the
 base rules alone decide; repeated rows get equal answers; labelled ids that are
-null or absent are ignored; an id with labels that differ counts once for each.
+null or absent are ignored; an id with labels that differ counts once for each; equal gains go
+to the first feature; very long texts are counted whole; an empty table gives an empty
+result; ``keep_quality`` packs the columns of the input, so names cannot clash there.
 """
 
 from __future__ import annotations

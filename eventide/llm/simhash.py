@@ -20,7 +20,9 @@ component; stars are joined by connected components.
 
 Rules: texts without words have fingerprint 0 and link like any other; equal
 texts share a fingerprint, which enters a tree once; a component of null ids
-only has a null id; an empty table gives an empty result.
+only has a null id; of ties (one id with several rows) any row may stay, as they link alike; very
+long texts are hashed whole; ``keep_one`` packs the columns of the input, so names cannot
+clash; an empty table gives an empty result.
 """
 
 from __future__ import annotations

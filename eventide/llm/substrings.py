@@ -23,8 +23,9 @@ corpus:
 5. Spans go back to their rows and are cut out of the texts.
 
 Rules: null is an empty text; texts shorter than ``length`` lose nothing; equal
-rows count as separate texts; matches never cross texts; an empty table gives an
-empty result.
+rows count as separate texts; matches never cross texts; of tied occurrences all go; very long
+texts are taken whole, in segments; other columns are not read, so their names are free; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ count of a pre-token is remembered in a bounded table. Special strings are
 tokens of their own wherever they occur, as the tokenizer file declares.
 
 Rules: null and empty texts have 0 tokens; texts of any length are counted
-whole; an empty table gives an empty result.
+whole; repeated rows get equal counts; merges of equal rank are ties that are applied from the
+left; a column of the input named like the result is replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -533,3 +533,17 @@ def test_lines_without_places(spark):
     df = spark.createDataFrame(rows, "p array<string>, d array<int>")
     got = df.select(linededup._without(mixing.F.col("p"), mixing.F.sort_array("d")).alias("k"), "p", "d").collect()
     assert all(r.k == [x for i, x in enumerate(r.p) if i not in r.d] for r in got)
+
+
+# op9: the ratio clusters decide where nothing is marked
+
+def test_threshold_decides_on_unmarked_pages(monkeypatch):
+    links = "".join(f"<div><a href=/{i}>Part {i}</a> <a href=/x{i}>More</a></div>" for i in range(6))
+    words = "The long paragraph of an article goes on for a good while and says something in each of its sentences. "
+    body = f"<h1>Headline</h1><p>{words * 4}</p><p>{words * 3}</p><p>Short end.</p>"
+    page = f"<html><body><div class=a><div class=b>{links}</div></div><div class=c>{body}</div><div class=d>{links}</div></body></html>"
+    want = "\n".join(["Headline", (words * 4).strip(), (words * 3).strip(), "Short end."])
+    assert htmltext.main_text(page) == want
+    monkeypatch.setattr(htmltext, "threshold", lambda x: -1.0)
+    off = htmltext.main_text(page)
+    assert want in off and "Part 0" in off
