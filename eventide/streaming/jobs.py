@@ -43,17 +43,22 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, n: int | None = None, rocksdb: bool = False):
+def state_partitions(spark: SparkSession, n: int | None = None, rocksdb: bool = False,
+                     merge_sessions: bool = False):
     """Start a stateful stream with ``n`` state partitions (default: the
     cluster's cores). The count is fixed in the query's checkpoint at its
     first start, so the session setting is restored right after; AQE cannot
     coalesce stateful stages, so the batch default (often 200) would mean
     200 state-store tasks per operator per micro-batch. ``rocksdb`` picks that
-    state store also in a session built elsewhere (list, map and timer state need it)."""
+    state store also in a session built elsewhere (list, map and timer state need it).
+    ``merge_sessions`` merges session windows before their shuffle, so a hot key's rows of a task
+    leave it as a few sessions."""
     n = n or spark.sparkContext.defaultParallelism
     want = {"spark.sql.shuffle.partitions": str(n)}
     if rocksdb:
         want["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+    if merge_sessions:
+        want["spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"] = "true"
     old = {k: spark.conf.get(k, None) for k in want}
     for k, v in want.items():
         spark.conf.set(k, v)

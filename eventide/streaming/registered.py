@@ -64,7 +64,7 @@ def stream_sessions_closed(spark: SparkSession, sf: str) -> DataFrame:
                                 "ts", "30 minutes")
     agg = ev.groupBy(F.session_window("ts", "30 minutes").alias("s"), "user_id") \
         .agg(F.count(F.lit(1)).alias("n_events"))
-    with state_partitions(spark):
+    with state_partitions(spark, merge_sessions=True):
         run_until_done(writers.write_stream(agg, f"{base}/out", f"{base}/ck", mode="append",
                                             trigger="availableNow"))
     r = spark.read.parquet(f"{base}/out")

@@ -123,7 +123,8 @@ def auth_attempts_stream(page_views: DataFrame, session_col: str = "session_id",
         hit = (prev == LOGIN).to_numpy()
         res = pdf.loc[hit, out_cols].copy()
         res["success"] = (pdf.loc[hit, auth_col] == "Logged In").to_numpy()
-        return (int(pdf[session_col].iloc[-1]), pdf[page_col].iloc[-1], prev.iloc[-1], int(us[-1])), res
+        last = pdf[session_col].iloc[-1]
+        return (None if pd.isna(last) else int(last), pdf[page_col].iloc[-1], prev.iloc[-1], int(us[-1])), res
 
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         yield from follow_due_rows(pdfs, state, (None, None, None, None), ts_col,
