@@ -162,6 +162,8 @@ class KeyedTable:
             (out.repartition(len(touched), "_bucket").write.format(self.fmt).partitionBy("_bucket")
              .save(f"{self.path}/{folder}/data"))
         self._commit(spark, now, batch_id, f"{folder}/data", touched, newest, schema)
+        _, p, fs = _jvm_path(spark, stage)  # no version names it
+        fs.delete(p, True)
 
     def expire(self, spark: SparkSession) -> None:
         """Rewrite all buckets without their expired rows."""
