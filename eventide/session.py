@@ -181,3 +181,16 @@ def ship_package(spark: SparkSession) -> None:
                                    base_dir="eventide")
     sc.addPyFile(zip_path)
     _SHIPPED.add(sc.applicationId)
+
+
+def register_source(spark: SparkSession, source: type) -> None:
+    """Register a data source of this package. Its code is sent by value: the process
+    that plans its batches on the driver's side does not see files added with ``addPyFile``."""
+    from pyspark import cloudpickle
+
+    import eventide
+    cloudpickle.register_pickle_by_value(eventide)
+    try:
+        spark.dataSource.register(source)
+    finally:
+        cloudpickle.unregister_pickle_by_value(eventide)

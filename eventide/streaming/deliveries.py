@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..plans import adapters as A
 from ..plans.oracle import pv_cte
 from ..session import scratch_path
-from ..sinks import writers
+from ..sinks import committed, writers
 from ..sinks.versions import KeyedTable, atomic_snapshot_writer, read_snapshot
+from ..sources import lines
 from .hourly import heartbeat, hourly_auth_attempts_stream
 from .jobs import run_until_done, state_partitions
 from .progress import progress_table, totals
@@ -145,8 +146,56 @@ def snapshot_versions(spark: SparkSession, sf: str) -> DataFrame:
     return now.join(pinned[0].withColumnRenamed("n", "n_pinned"), "event_type", "left")
 
 
+def _deliver_lines(rows: DataFrame, folder: str, k: int) -> list[str]:
+    """Write ``rows`` (p, value) as line files of delivery ``k``, a folder per p, under
+    names that ascend with ``k``. Returns the folders."""
+    rows.write.partitionBy("p").text(f"{folder}/.new-{k}")
+    fs, root = lines.file_system(folder)
+    out = []
+    for p in (0, 1):
+        fs.create_dir(f"{root}/p{p}", recursive=True)
+        for name, size in lines.list_files(f"{root}/.new-{k}/p={p}"):
+            fs.move(f"{root}/.new-{k}/p={p}/{name}", f"{root}/p{p}/{k:04d}-{name}")
+        out.append(f"{folder}/p{p}")
+    return out
+
+
+def committed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Event lines of two producers, read with positions and written by
+    commit, in two deliveries. The first run fails while one producer's tasks have written theirs; its
+    batch is then run again. A second query starts behind the last row of the first batch.
+    Returns per event how often the first query's table holds it, and the second's."""
+    base = scratch_path(spark, "committed_lines")
+    ev = A.events(spark, sf).select("ts", (F.col("event_id") % 2).alias("p"),
+                                    F.to_json(F.struct("event_id", "event_type")).alias("value"))
+    fails = F.when(F.col("folder").endswith("p1"), F.raise_error(F.lit("a task fails"))).otherwise(F.lit(True)).cast("boolean")
+
+    def run(starting, name: str, broken: bool = False) -> None:
+        stream = lines.read_event_lines(spark, folders, starting, range_bytes=16 << 20)
+        run_until_done(committed.write_committed(stream.where(fails) if broken else stream, f"{base}/{name}",
+                                                 f"{base}/{name}-ck", trigger="availableNow"))
+
+    def table(name: str, **kw) -> DataFrame:
+        return committed.read_committed(spark, f"{base}/{name}", lines.SCHEMA, **kw)
+
+    for k, d in enumerate(_slices(ev, 2)):
+        folders = _deliver_lines(d.select("p", "value"), f"{base}/in", k)
+        if k == 0:
+            try:
+                run("earliest", "all", broken=True)
+            except Exception as e:
+                if "a task fails" not in str(e):
+                    raise
+        run("earliest", "all")
+    run(lines.position_behind(table("all", up_to_batch=0)), "later")
+    event = F.from_json(F.col("value").cast("string"), "event_id long, event_type string")
+    both = table("all").select(event.alias("e"), F.lit(0).alias("k")).unionByName(
+        table("later").select(event.alias("e"), F.lit(1).alias("k")))
+    return both.groupBy("e.event_id", "e.event_type").agg(F.count_if(F.col("k") == 0).alias("n"), F.count_if(F.col("k") == 1).alias("n_later"))
+
+
 DELIVERY_QUERIES = {f.__name__: f for f in (
-    stream_hourly_attempts, redelivered_offsets, keyed_upserts, snapshot_versions)}
+    stream_hourly_attempts, redelivered_offsets, keyed_upserts, snapshot_versions, committed_lines)}
 
 _HALF = "(SELECT epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) // 2 FROM events)"
 
@@ -170,6 +219,9 @@ WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type
                                         ORDER BY ts DESC, event_id DESC, value DESC) AS k FROM events)
 SELECT user_id, event_type, epoch_us(ts) AS ts_us, event_id, value FROM r
 WHERE k = 1 AND epoch_us(ts) >= (SELECT epoch_us(max(ts)) FROM events) - 7 * 86400000000""",
+    "committed_lines": f"""
+SELECT event_id, event_type, count(*) AS n, count(*) FILTER (WHERE epoch_us(ts) >= {_HALF}) AS n_later
+FROM events GROUP BY event_id, event_type""",
     "snapshot_versions": f"""
 SELECT event_type, count(*) AS n, nullif(count(*) FILTER (WHERE epoch_us(ts) < {_HALF}), 0) AS n_pinned
 FROM events GROUP BY event_type""",
