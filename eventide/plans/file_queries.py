@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nested import from_nested, to_nested
 from ..operators import catalog
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sinks import writers
 from ..sources import files
 from . import adapters as A
@@ -115,16 +115,20 @@ def json_tree(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def json_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """One multi-line JSON document per file, as the similar-track sets come:
-    each part folder is one document holding the list of a region's nations."""
+    """Multi-line JSON files, each an array of similar-track documents: a document
+    lists at most four line numbers of an order. Documents are dealt to files of about a thousand."""
     base = scratch_path(spark, "json_documents")
-    nat = A.table(spark, sf, "nation")
-    pair = F.concat(F.lit('    ["'), F.col("n_name"), F.lit('", '), _s("n_nationkey"), F.lit("]"))
-    lines = nat.groupBy("n_regionkey").agg(F.array_join(F.sort_array(F.collect_list(pair)), ",\n").alias("l"))
-    doc = F.concat(F.lit('{"track_id": "'), _s("n_regionkey"), F.lit('",\n  "similars": [\n'), F.col("l"), F.lit("\n]}"))
-    lines.select("n_regionkey", doc.alias("value")).write.partitionBy("n_regionkey").text(f"{base}/docs")
-    docs = files.read_json_tree(spark, f"{base}/docs", SIMILAR_SCHEMA)
-    return catalog.explode_similars(docs)
+    li = A.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    pair = F.concat(F.lit('    ["'), _s("l_partkey"), F.lit('", '), _s("l_quantity"), F.lit("]"))
+    lists = li.groupBy("l_orderkey", F.floor((F.col("l_linenumber") - 1) / 4).alias("b")).agg(
+        F.array_join(F.sort_array(F.collect_list(pair)), ",\n").alias("l"))
+    doc = F.concat(F.lit('{"track_id": "'), _s("l_orderkey"), F.lit('",\n  "similars": [\n'), F.col("l"), F.lit("\n]}"))
+    docs = materialize(lists.select(F.xxhash64("l_orderkey", "b").alias("h"), doc.alias("doc")), "json_documents")
+    n_files = docs.count() // 1000 + 1
+    text = F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("doc")), ",\n"), F.lit("]"))
+    (docs.groupBy(F.pmod("h", F.lit(n_files)).alias("file")).agg(text.alias("value"))
+     .write.partitionBy("file").text(f"{base}/docs"))
+    return catalog.explode_similars(files.read_json_tree(spark, f"{base}/docs", SIMILAR_SCHEMA))
 
 
 def location_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -230,8 +234,8 @@ SELECT CAST(n_nationkey + 1 AS BIGINT) AS weight, 'Mozilla/' || n_nationkey AS a
        'Windows' AS os, 'Chrome' AS browser FROM nation""",
         "json_tree": SQL["similar_pairs"],
         "json_documents": """
-SELECT CAST(n_regionkey AS VARCHAR) AS track_id, n_name AS similar_id,
-       CAST(n_nationkey AS DOUBLE) AS score FROM nation""",
+SELECT CAST(l_orderkey AS VARCHAR) AS track_id, CAST(l_partkey AS VARCHAR) AS similar_id,
+       CAST(l_quantity AS DOUBLE) AS score FROM lineitem""",
         "location_files": """
 WITH g AS (SELECT c_nationkey AS k, count(*) AS population FROM customer GROUP BY 1)
 SELECT lpad(CAST(k AS VARCHAR), 5, '0') AS zip, population, k / 2.0 AS lat,
