@@ -19,7 +19,10 @@ corpus:
    neighbouring suffixes part by increasing length of their common prefix, and
    stops at ``length``: suffixes still together repeat.
 4. A minimizer with more than ``HOT_BYTES`` of different contents does not fit a
-   shard; its windows are dealt one by one by a 128-bit hash and counted.
+   shard. Its contents are cut again, by the minimizers of longer grams (``FURTHER_Q``), and what
+   differs under those goes through the transform as in 2 and 3. Only what is still too large under
+   the longest (texts of a short period, whose grams are all alike) has its windows dealt one by one by a
+   128-bit hash and counted.
 5. Spans go back to their rows and are cut out of the texts.
 
 Rules: null is an empty text; texts shorter than ``length`` lose nothing; equal
@@ -47,6 +50,7 @@ Q = 24
 CHUNK = 1 << 20
 SHARD_BYTES = 1 << 18
 HOT_BYTES = 1 << 20
+FURTHER_Q = (96, 160)
 MAX_BROADCAST = 300_000
 
 _ODD = 0x9E3779B97F4A7C15
@@ -226,6 +230,21 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["m", "c", "text"])
 
 
+def _cut_contents(length: int, q: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            m, c = batch.column("m").to_numpy(), batch.column("c").to_numpy()
+            for a, b in text_chunks(texts, CHUNK):
+                text, start, size, least, inner, own = segments(texts[a:b], length, q)
+                if len(text):
+                    parts = [texts[a + t][s:s + n] for t, s, n in zip(text.tolist(), start.tolist(), size.tolist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x) for x in (m[a:b][text], c[a:b][text], start, least, inner, own)] + [pa.array(parts, pa.binary())],
+                        names=["m", "c", "off", "g", "c2", "own", "text"])
+    return run
+
+
 def _windows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
@@ -243,6 +262,59 @@ def _windows(length: int):
     return run
 
 
+RUNS = "m long, c long, off long, n long"
+
+
+def _apart(texts: DataFrame, sizes: DataFrame, length: int, shard_bytes: int, hot_bytes: int,
+           further: tuple[int, ...]) -> DataFrame:
+    """m, c, off, n: the n windows from off on of content c that also stand elsewhere in the
+    contents of m. ``texts`` (m, c, text) has each content once, ``sizes`` (m, bytes) a row for each."""
+    weight = materialize(sizes.groupBy("m").agg(F.sum("bytes").alias("bytes")), "sub_weight")
+    hot = materialize(weight.filter(F.col("bytes") > hot_bytes).select("m"), "sub_hot")
+    total = weight.agg(F.sum("bytes")).first()[0] or 0
+    shard = F.pmod(F.xxhash64("m"), F.lit(max(1, -(-total // shard_bytes))))
+    marked = texts.join(broadcast_within(hot.withColumn("hot", F.lit(True)), MAX_BROADCAST), "m", "left")
+    cold = (marked.filter("hot is null").select(shard.alias("shard"), "m", "c", "text").groupBy("shard")
+            .applyInArrow(_expand(length), RUNS))
+    if hot.isEmpty():
+        return cold
+    rest = marked.filter("hot").select("m", "c", "text")
+    if not further:
+        return cold.unionByName(_apart_by_hash(rest, length))
+    return cold.unionByName(_apart_by_longer_grams(rest, length, shard_bytes, hot_bytes, further))
+
+
+def _apart_by_longer_grams(texts: DataFrame, length: int, shard_bytes: int, hot_bytes: int,
+                           further: tuple[int, ...]) -> DataFrame:
+    """As :func:`_apart`, with the contents cut into segments of their own. Equal windows have equal
+    minimizers under any gram, so they meet again."""
+    cut = texts.mapInArrow(_cut_contents(length, further[0]),
+                           "m long, c long, off long, g long, c2 long, own boolean, text binary")
+    cut = materialize(cut.withColumn("m2", F.xxhash64("m", "g")).drop("g"), "sub_cut_again")
+    kinds = materialize(cut.groupBy("m2", "c2").agg(F.count("*").alias("n"), F.max("own").alias("own"), F.first("text").alias("text")),
+                        "sub_kinds")
+    mixed = kinds.groupBy("m2").agg(((F.min("c2") != F.max("c2")) | F.max("own")).alias("mixed"))
+    mixed = materialize(mixed.filter("mixed").select("m2"), "sub_mixed")
+    parts = materialize(kinds.join(broadcast_within(mixed, MAX_BROADCAST), "m2")
+                        .select(F.col("m2").alias("m"), F.col("c2").alias("c"), "text"), "sub_parts")
+    windows = (F.octet_length("text") - (length - 1)).cast("long")
+    copied = kinds.filter("n > 1").select(F.col("m2").alias("m"), F.col("c2").alias("c"), F.lit(0).cast("long").alias("off"), windows.alias("n"))
+    inner = _apart(parts, parts.select("m", F.octet_length("text").cast("long").alias("bytes")), length, shard_bytes, hot_bytes, further[1:])
+    runs = materialize(copied.unionByName(inner), "sub_inner").toDF("m2", "c2", "at", "n")
+    return cut.select("m", "c", "off", "m2", "c2").join(runs, ["m2", "c2"]).select("m", "c", (F.col("off") + F.col("at")).alias("off"), "n")
+
+
+def _apart_by_hash(texts: DataFrame, length: int) -> DataFrame:
+    """As :func:`_apart`, window by window."""
+    windows = materialize(texts.mapInArrow(_windows(length), "m long, c long, off long, h1 long, h2 long"), "sub_windows")
+    twice = materialize(windows.groupBy("h1", "h2").count().filter("count > 1").select("h1", "h2"), "sub_twice")
+    warm = windows.join(twice, ["h1", "h2"])
+    # neighbouring windows become one run; a window's partition is one content
+    in_content = Window.partitionBy("m", "c").orderBy("off")
+    return (warm.withColumn("run", F.col("off") - F.row_number().over(in_content)).groupBy("m", "c", "run")
+            .agg(F.min("off").alias("off"), F.count("*").alias("n")).select("m", "c", "off", "n"))
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
                    shard_bytes: int = SHARD_BYTES, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """k1, k2, spans: per row with repeats, the (start, end) byte spans (they
@@ -262,31 +334,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     contents = materialize(mixed.groupBy("m", "c").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "at")).alias("one"))
                            .select("m", "c", "n", "one.*"), "sub_contents")
-    weight = contents.groupBy("m").agg(F.sum(size).alias("bytes"))
-    hot = materialize(weight.filter(F.col("bytes") > hot_bytes).select("m"), "sub_hot")
-    total = contents.agg(F.sum(size)).first()[0] or 0
     wants = contents.groupBy("k1", "k2").agg(F.collect_list(F.struct("m", "c", "at")).alias("wants"))
     wants = materialize(wants, "sub_wants")
     asked = wants.select("k1", "k2")
     few = rows.join(broadcast_within(asked, MAX_BROADCAST), ["k1", "k2"], "left_semi")
     texts = few.join(wants.hint("shuffle_hash"), ["k1", "k2"]).select("text", "wants")
     texts = materialize(texts.mapInArrow(_fetch, "m long, c long, text binary"), "sub_texts")
-    texts = texts.join(broadcast_within(hot.withColumn("hot", F.lit(True)), MAX_BROADCAST), "m", "left")
-
-    shard = F.pmod(F.xxhash64("m"), F.lit(max(1, -(-total // shard_bytes))))
-    cold = (texts.filter("hot is null").select(shard.alias("shard"), "m", "c", "text").groupBy("shard")
-            .applyInArrow(_expand(length), "m long, c long, off long, n long"))
-    windows = materialize(texts.filter("hot").mapInArrow(_windows(length), "m long, c long, off long, h1 long, h2 long"),
-                          "sub_windows")
-    twice = materialize(windows.groupBy("h1", "h2").count().filter("count > 1").select("h1", "h2"), "sub_twice")
-    warm = windows.join(twice, ["h1", "h2"])
-    # neighbouring windows become one run; a window's partition is one content
-    in_content = Window.partitionBy("m", "c").orderBy("off")
-    warm = (warm.withColumn("run", F.col("off") - F.row_number().over(in_content)).groupBy("m", "c", "run")
-            .agg(F.min("off").alias("off"), F.count("*").alias("n")).select("m", "c", "off", "n"))
+    apart = _apart(texts, contents.select("m", size.alias("bytes")), length, shard_bytes, hot_bytes,
+                   tuple(q for q in FURTHER_Q if q < length))
     copied = contents.filter("n > 1").select("m", "c", F.lit(0).cast("long").alias("off"),
                                              (size - (length - 1)).alias("n"))
-    found = materialize(copied.unionByName(cold).unionByName(warm)
+    found = materialize(copied.unionByName(apart)
                         .groupBy("m", "c").agg(F.collect_list(F.struct("off", "n")).alias("runs")), "sub_found")
     part = (mixed.join(found, ["m", "c"]).select("k1", "k2", start.alias("start"), F.explode("runs").alias("r"))
             .select("k1", "k2", (F.col("start") + F.col("r")["off"]).alias("start"),

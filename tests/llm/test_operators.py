@@ -276,6 +276,24 @@ def test_repeats_match_plain_counting(docs, rows, empty):
     assert substrings.remove_repeats(empty).count() == 0
 
 
+def test_hot_minimizers_stay_with_the_transform(spark, monkeypatch):
+    """A phrase between ever new words: its minimizers are hot, their windows mostly differ."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    phrase = "this phrase of a template stands in every one of the texts, again and again"
+    texts = [" ".join(x for _ in range(rnd.randint(1, 9)) for x in (phrase, *[word() for _ in range(rnd.randint(1, 25))])) for _ in range(150)]
+    texts += [t[rnd.randint(0, 90):] for t in texts[:40]] + texts[50:53]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    expected = plain_removal([t.encode() for t in texts], 200)
+    levels = []
+    plain = substrings._apart_by_longer_grams
+    monkeypatch.setattr(substrings, "_apart_by_longer_grams", lambda t, *a: levels.append(a[-1]) or plain(t, *a))
+    monkeypatch.setattr(substrings, "_apart_by_hash", lambda *a: pytest.fail("left the transform"))
+    got = substrings.remove_repeats(df, shard_bytes=6000, hot_bytes=8000)
+    same(got.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept"), [(i, a, b, c, bytearray(e)) for i, (a, b, c, e) in enumerate(expected)])
+    assert levels and sum(x[1] for x in expected)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.binary(max_size=40).map(lambda b: bytes(x % 3 for x in b)), min_size=1, max_size=5), st.integers(2, 9))
 def test_bwt_intervals(texts, n):
