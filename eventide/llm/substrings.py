@@ -176,25 +176,44 @@ def repeated_starts(texts: list[bytes], length: int) -> np.ndarray:
     inside[ends - 1] = False
     s[inside] += 1
     order = suffix_order(s, length)
-    place = np.empty(len(s), np.int64)
-    place[order] = np.arange(len(s))
+    place = np.empty(len(s), np.int32)
+    place[order] = np.arange(len(s), dtype=np.int32)
     bwt = s[order - 1]  # the symbol before each suffix
     # backward extension by a symbol takes suffix i to step[i]: first all that
     # follow a smaller symbol, then those of the same symbol in their order
     step = place[order - 1]
-    before = np.empty(len(s), np.int64)
-    before[step] = np.arange(len(s))  # the suffix that was extended to here
+    before = np.empty(len(s), np.int32)
+    before[step] = np.arange(len(s), dtype=np.int32)  # the suffix that was extended to here
     head = np.empty(len(s), np.int16)
     head[step] = bwt
     parted = np.ones(len(s), bool)  # common prefix with the one above < depth
     parted[1:] = head[1:] != head[:-1]
+    # two suffixes part at a depth if a parting of the depth before lies between those
+    # they were extended from. Where these are neighbours, the parting itself leads on to them;
+    # the others are looked up
+    here = np.flatnonzero(~parted).astype(np.int32)
+    above, at = before[here - 1], before[here]
+    apart = at != above + 1
+    wide, low, high = here[apart], np.minimum(above, at)[apart], np.maximum(above, at)[apart]
+    is_wide = np.zeros(len(s), bool)
+    is_wide[wide] = True
+    fresh = np.flatnonzero(parted).astype(np.int32)  # what parted last
     for _ in range(1, length):  # depth 1 -> length
-        interval = np.cumsum(parted)
-        open_ = np.flatnonzero(~parted)
-        part = open_[interval[before[open_]] != interval[before[open_ - 1]]]
+        part = step[fresh]
+        part = part[~parted[part] & ~is_wide[part]]
+        if len(wide):
+            if 2 * len(fresh) < len(wide):
+                fresh.sort()
+                hit = np.searchsorted(fresh, low, "right") != np.searchsorted(fresh, high, "right")
+            else:
+                upto = np.cumsum(parted, dtype=np.int32)
+                hit = upto[high] != upto[low]
+            part = np.concatenate([part, wide[hit]])
+            wide, low, high = wide[~hit], low[~hit], high[~hit]
         if not len(part):
             break
         parted[part] = True
+        fresh = part
     together = ~parted
     together[:-1] |= ~parted[1:]
     out = np.zeros(len(s), bool)
