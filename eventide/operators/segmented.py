@@ -44,6 +44,16 @@ def add_value_bucket(df: DataFrame, col: str, width: int, name: str = BUCKET) ->
     return df.withColumn(name, F.floor(F.col(col) / F.lit(int(width))))
 
 
+ROWS_PER_RANGE = 1 << 20
+
+
+def range_count(df: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> int:
+    """Ranges for a global scan: as many as hold ``rows_per_range`` rows each, and
+    at least one per core. One number comes to the driver."""
+    rows = df.count()
+    return max(1, min(rows, df.sparkSession.sparkContext.defaultParallelism), -(-rows // rows_per_range))
+
+
 def add_range_bucket(df: DataFrame, order: list[str], n: int | None = None,
                      name: str = BUCKET) -> DataFrame:
     """Bucket for a scan with no key (a global order): range-partition by
@@ -55,9 +65,10 @@ def add_range_bucket(df: DataFrame, order: list[str], n: int | None = None,
     reads its input in two branches (rows and summary) that Spark may not
     share. So the bucketed rows are written once to the shared checkpoint
     folder and read back; both branches then see the same buckets.
+    ``n`` follows the rows (:func:`range_count`) unless given.
     """
     from ..session import materialize
-    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = n or range_count(df)
     return materialize(df.repartitionByRange(n, *order).withColumn(name, F.spark_partition_id()),
                        "range_buckets")
 

@@ -52,8 +52,8 @@ def sessionize(df: DataFrame, user_col: str = "user_id", ts_col: str = "ts",
     ``session_window`` does) and number events in a session from 0.
 
     The session id is the ``id_col`` of its first event, so it is unique and
-    stable. Order is ``(ts, id)``. Buckets are a day per user, a minute for
-    users the sample finds hot (``bucket_seconds="auto"``), or a fixed width.
+    stable. Order is ``(ts, id)``. Buckets are an hour wide for every user
+    (``bucket_seconds="auto"``) or of the width given.
     """
     return session_pass(df, user_col, ts_col, id_col, gap_seconds,
                         bucket_seconds=bucket_seconds, session_col=session_col,

@@ -57,13 +57,24 @@ def sliding_count(df: DataFrame, ts_col: str = "ts_timestamp", length: str = "60
     if not panes or L % S:
         return windowed_agg(df, ts_col, length, slide, keys)
     keys = keys or []
-    k = L // S
-    # pane index = floor(epoch_us / slide_us); a pane p lies in windows whose
-    # start pane is p-k+1 .. p.
+    # pane index = floor(epoch_us / slide_us); a pane p lies in the length/slide
+    # windows that start at panes up to p.
     pane = F.floor(F.unix_micros(F.col(ts_col).cast("timestamp")) / F.lit(S * 1_000_000))
     per_pane = df.groupBy(pane.alias("_pane"), *keys).agg(F.count(F.lit(1)).alias("_n"))
-    fan = per_pane.select(
-        "*", F.explode(F.sequence(F.col("_pane") - (k - 1), F.col("_pane"))).alias("_wstart"))
+    return windows_of_panes(per_pane, length, slide, keys)
+
+
+def windows_of_panes(per_pane: DataFrame, length: str, slide: str, keys: list[str] | None = None,
+                     pane_col: str = "_pane", count_col: str = "_n") -> DataFrame:
+    """Sliding counts from pane counts (``pane_col``: epoch / slide, ``slide`` divides
+    ``length``): each pane is added to the length/slide windows that cover it."""
+    keys = keys or []
+    L, S = _seconds(length), _seconds(slide)
+    if L % S:
+        raise ValueError(f"{slide} does not divide {length}")
+    pane = F.col(pane_col)
+    fan = per_pane.select(*keys, F.col(count_col).alias("_n"),
+                          F.explode(F.sequence(pane - (L // S - 1), pane)).alias("_wstart"))
     agg = fan.groupBy("_wstart", *keys).agg(F.sum("_n").alias("count"))
     start = F.timestamp_micros(F.col("_wstart") * F.lit(S * 1_000_000))
     win = F.struct(start.alias("start"),

@@ -106,10 +106,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir."""
     base = checkpoint_dir(spark).rstrip("/")
-    return "/".join([base, "eventide", *parts, uuid.uuid4().hex])
+    path = "/".join([base, "eventide", *parts, uuid.uuid4().hex])
+    _SCRATCH.setdefault(spark.conf.get("spark.app.id", ""), []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this application has named so far and return how
+    many were there. Results are lazy: call it only when every DataFrame that stands on them
+    has been written or read. Folders of other applications are left alone."""
+    gone = 0
+    for path in _SCRATCH.pop(spark.conf.get("spark.app.id", ""), []):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        gone += p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+    return gone
 
 
 def local_path(path: str) -> str:

@@ -71,16 +71,36 @@ def idempotent_batch_writer(path: str, fmt: str = "parquet", options: dict | Non
     return write
 
 
-def connector_batch_writer(fmt: str, options: dict | None = None, mode: str = "append"
-                           ) -> Callable[[DataFrame, int], None]:
+FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro"}
+
+
+def connector_batch_writer(fmt: str, options: dict | None = None, mode: str = "append",
+                           replay: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callback for a connector addressed by options
     (a warehouse table, a key-value store table with ``keyspace``/``ttl``).
-    Put the batch id in the rows (``batch_id`` column) and key the target on
-    it when the connector can upsert, so a replay is not counted twice."""
+    Rows carry a ``batch_id`` column. ``replay`` says what a batch that runs again does:
+
+    ``partition``  replaces the files of its own ``batch_id`` partition (default of file formats)
+    ``where``      replaces the rows with its ``batch_id`` (default of ``delta``)
+    ``append``     adds its rows again (default of the rest): key the target on
+                   ``batch_id`` and the row's key if the connector upserts, or use
+                   :class:`eventide.sinks.versions.KeyedTable`
+
+    Batch ids start again with a new checkpoint, so a target belongs to one checkpoint."""
+    replay = replay or ("partition" if fmt in FILE_FORMATS else "where" if fmt == "delta" else "append")
+    if replay not in ("partition", "where", "append"):
+        raise ValueError(f"unknown replay {replay!r}")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        w = batch.withColumn("batch_id", F.lit(batch_id)).write.format(fmt).mode(mode)
+        w = batch.withColumn("batch_id", F.lit(batch_id)).write.format(fmt)
         for k, v in (options or {}).items():
             w = w.option(k, v)
+        if replay == "partition":
+            w = w.mode("overwrite").partitionBy("batch_id").option("partitionOverwriteMode", "dynamic")
+        elif replay == "where":
+            w = w.mode("overwrite").option("replaceWhere", f"batch_id = {int(batch_id)}")
+        else:
+            w = w.mode(mode)
         w.save()
     return write
 

@@ -8,14 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import windows
 from ..plans import adapters as A
 from ..plans.oracle import pv_cte
+from ..plans.queries import page_view_payload_stateless
 from ..session import scratch_path
 from ..sinks import committed, writers
 from ..sinks.versions import KeyedTable, atomic_snapshot_writer, read_snapshot
 from ..sources import lines
+from . import panes
 from .hourly import heartbeat, hourly_auth_attempts_stream
-from .jobs import run_until_done, state_partitions
+from .jobs import decoded_page_views, run_until_done, state_partitions
 from .progress import progress_table, totals
 
 GAP = 12 * 3600
@@ -194,8 +197,45 @@ def committed_lines(spark: SparkSession, sf: str) -> DataFrame:
     return both.groupBy("e.event_id", "e.event_type").agg(F.count_if(F.col("k") == 0).alias("n"), F.count_if(F.col("k") == 1).alias("n_later"))
 
 
+def stream_pane_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """J3 J1 F2 over three deliveries: 60 s / 10 s counts per event type from panes
+    (see :mod:`eventide.streaming.panes`)."""
+    base = scratch_path(spark, "stream_pane_windows")
+    ev = A.events(spark, sf).select("ts", "event_type")
+
+    def run(stream: DataFrame) -> None:
+        with state_partitions(spark):
+            run_until_done(panes.write_panes(panes.pane_counts(stream, keys=["event_type"]), f"{base}/out", f"{base}/ck",
+                                             trigger="availableNow"))
+
+    _deliver(_slices(ev, 3), f"{base}/in", run)
+    return windows.format_windows(panes.read_windows(spark, f"{base}/out", keys=["event_type"]), ["count"], ["event_type"])
+
+
+def warehouse_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Decoded page views appended to a file-backed connector in two
+    deliveries, every batch written twice as after a failure. Each row is there once."""
+    base = scratch_path(spark, "warehouse_replay")
+    ev = A.events(spark, sf)
+    writer = writers.connector_batch_writer("parquet", {"path": f"{base}/out"})
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        writer(batch, batch_id)
+        writer(batch, batch_id)
+
+    def run(stream: DataFrame) -> None:
+        records = page_view_payload_stateless(A.page_view_columns(stream))
+        run_until_done(writers.for_each_batch(decoded_page_views(records), twice, f"{base}/ck", trigger="availableNow"))
+
+    _deliver(_slices(ev, 2), f"{base}/in", run)
+    return spark.read.parquet(f"{base}/out").groupBy("method", "page").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("offset").alias("n_offsets"),
+        F.count_distinct("batch_id").alias("n_batches"))
+
+
 DELIVERY_QUERIES = {f.__name__: f for f in (
-    stream_hourly_attempts, redelivered_offsets, keyed_upserts, snapshot_versions, committed_lines)}
+    stream_hourly_attempts, redelivered_offsets, keyed_upserts, snapshot_versions, committed_lines,
+    stream_pane_windows, warehouse_replay)}
 
 _HALF = "(SELECT epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) // 2 FROM events)"
 
@@ -222,6 +262,17 @@ WHERE k = 1 AND epoch_us(ts) >= (SELECT epoch_us(max(ts)) FROM events) - 7 * 864
     "committed_lines": f"""
 SELECT event_id, event_type, count(*) AS n, count(*) FILTER (WHERE epoch_us(ts) >= {_HALF}) AS n_later
 FROM events GROUP BY event_id, event_type""",
+    "stream_pane_windows": """
+SELECT strftime(make_timestamp(ws * 1000000), '%Y-%m-%d %H:%M:%S') AS timestamp_minute,
+       CAST(ws AS BIGINT) AS unix_timestamp, event_type, count(*) AS count
+FROM (SELECT event_type, unnest(range(epoch_us(ts) // 10000000 * 10 - 50, epoch_us(ts) // 10000000 * 10 + 10, 10)) AS ws
+      FROM events)
+GROUP BY ws, event_type""",
+    "warehouse_replay": f"""
+WITH {pv_cte()}
+SELECT method, page, count(*) AS n, count(DISTINCT event_id) AS n_offsets,
+       count(DISTINCT epoch_us(ts) < {_HALF}) AS n_batches
+FROM pv GROUP BY method, page""",
     "snapshot_versions": f"""
 SELECT event_type, count(*) AS n, nullif(count(*) FILTER (WHERE epoch_us(ts) < {_HALF}), 0) AS n_pinned
 FROM events GROUP BY event_type""",
