@@ -7,8 +7,10 @@ non-overlapping occurrences of that pair are merged at once; a sequence
 without a mergeable pair is finished and leaves the arrays. A pre-token's count
 is the number of symbols that survive.
 
-The vocabulary file is read once per worker (its path is a parameter). The
-count of a pre-token is remembered in a bounded table. Special strings are
+The vocabulary file is read once per worker (its path is a parameter); a file that asks
+for other pre-tokens or merges is refused. The counts of short pre-tokens are remembered in
+a table bounded in entries and so in bytes. A pre-token costs at most a round per
+merge of the vocabulary, each linear in its length. Special strings are
 tokens of their own wherever they occur, as the tokenizer file declares.
 
 Rules: null and empty texts have 0 tokens; texts of any length are counted
@@ -32,7 +34,8 @@ from eventide.session import ship_package
 # Fixed value: the pre-token pattern of this family of byte-level vocabularies.
 PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NO_RANK = np.int32(2**31 - 1)
-REMEMBER = 400_000
+REMEMBER = 400_000  # pre-tokens of at most LONG characters
+LONG = 64
 LIMIT = 512
 
 
@@ -43,6 +46,22 @@ def _byte_symbols() -> dict[int, str]:
     return {b: chr(b if b in shown else next(spare)) for b in range(256)}
 
 
+def refuse_unlike(file: dict) -> None:
+    """Raise ValueError unless a tokenizer file asks for just what is done here: byte-level
+    pre-tokens by ``PRETOKEN``, plain merges by rank, special strings taken as they stand."""
+    model, cut = file["model"], file.get("pre_tokenizer") or {}
+    wrong = [k for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges") if model.get(k)]
+    if model.get("type") != "BPE":
+        wrong.append("type")
+    if file.get("normalizer"):
+        wrong.append("normalizer")
+    if cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+        wrong.append("pre_tokenizer")
+    wrong += [k for k in ("single_word", "lstrip", "rstrip") if any(t.get(k) for t in file.get("added_tokens") or [])]
+    if wrong:
+        raise ValueError(f"the vocabulary file needs another tokenizer: {', '.join(wrong)}")
+
+
 class MergeCounter:
     """Counts the symbols left of byte sequences after all merges."""
 
@@ -51,6 +70,7 @@ class MergeCounter:
 
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
+        refuse_unlike(model)
         vocab = model["model"]["vocab"]
         self.symbol = np.array([vocab[s] for _, s in sorted(_byte_symbols().items())], np.int64)
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
@@ -129,6 +149,9 @@ class MergeCounter:
             got = self.merge([w.encode("utf-8", "surrogatepass") for w in new])
             known.update(zip(new, got.tolist()))
         out = [sum(map(known.__getitem__, ws)) + e for ws, e in zip(cut, extra)]
+        for w in new:
+            if len(w) > LONG:
+                del known[w]
         if len(known) > REMEMBER:
             known.clear()
         return out

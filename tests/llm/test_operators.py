@@ -25,6 +25,31 @@ def same(df, expected):
 
 # op1
 
+def test_tokens_refuse_a_file_for_another_tokenizer():
+    import json
+    import public_tokenizers
+    with pytest.raises(ValueError, match="normalizer"):
+        tokens.MergeCounter(public_tokenizers.path("word_bpe_49k.json"))
+    with open(tokens.vocabulary_path(), encoding="utf-8") as f:
+        good = json.load(f)
+    tokens.refuse_unlike(good)
+    for key, value in (("normalizer", {"type": "NFC"}), ("pre_tokenizer", None),
+                       ("pre_tokenizer", {**good["pre_tokenizer"], "add_prefix_space": True}),
+                       ("model", {**good["model"], "ignore_merges": True}),
+                       ("added_tokens", [{**good["added_tokens"][0], "lstrip": True}])):
+        with pytest.raises(ValueError):
+            tokens.refuse_unlike({**good, key: value})
+
+
+def test_long_pretokens_are_counted_but_not_remembered():
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(tokens.vocabulary_path())
+    c = tokens.MergeCounter(tokens.vocabulary_path())
+    long = "abcde" * 2000
+    assert c.count([long, f"a {long} {long}"]) == [len(t.encode(x).ids) for x in (long, f"a {long} {long}")]
+    assert set(c.known) <= {"a", " a"}
+
+
 def test_tokens_match_the_library(docs, rows, empty):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokens.vocabulary_path())
