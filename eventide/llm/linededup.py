@@ -71,10 +71,18 @@ class LineRuns:
     def _run(self, df: DataFrame, name: str) -> DataFrame:
         return materialize(df.sortWithinPartitions("h1", "h2"), name)
 
+    def _fresh(self, counts: DataFrame) -> DataFrame:
+        """``counts`` without the frequent hashes. The condition on n holds for every row; with it
+        the join stays above the count, as on the keys alone the optimizer would put it below, and
+        then every occurrence of a hot line, not its partial counts, is sent to one task."""
+        c, f = counts.hint("merge").alias("c"), self.frequent.hint("merge").alias("f")
+        known = (F.col("c.h1") == F.col("f.h1")) & (F.col("c.h2") == F.col("f.h2")) & (F.col("c.n") > 0)
+        return c.join(f, known, "left_anti")
+
     def add_batch(self, hashes: DataFrame) -> None:
         """``hashes``: (h1, h2), one row per document and distinct line."""
         counts = hashes.groupBy("h1", "h2").agg(F.count("*").alias("n"))
-        fresh = counts.hint("merge").join(self.frequent.hint("merge"), ["h1", "h2"], "left_anti")
+        fresh = self._fresh(counts)
         self.levels[0].append(self._run(fresh, "line_run"))
         level = 0
         while len(self.levels[level]) >= self.fanout:

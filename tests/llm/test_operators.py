@@ -26,6 +26,16 @@ def same(df, expected):
 
 # op1
 
+def test_occurrences_of_a_line_are_counted_before_they_move(spark):
+    runs = linededup.LineRuns(spark, 10)
+    runs.frequent = spark.range(5).selectExpr("id AS h1", "id AS h2")
+    counts = spark.range(100).selectExpr("id % 7 AS h1", "id % 7 AS h2").groupBy("h1", "h2").count().withColumnRenamed("count", "n")
+    fresh = runs._fresh(counts)
+    plan = fresh._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftAnti") < plan.index("Aggregate")  # the join is the upper one
+    assert sorted(map(tuple, fresh.collect())) == [(5, 5, 14), (6, 6, 14)]
+
+
 def test_tokens_refuse_a_file_for_another_tokenizer():
     import json
     import public_tokenizers
