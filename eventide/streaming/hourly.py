@@ -4,15 +4,17 @@
 value and hands them to one Python call. Here a user with a third of all events is many
 keys. Three steps, all in one streaming plan:
 
-1. ``HourRows``, keyed by (user, hour): a list state holds the hour's rows; an event-time
-   timer fires when the watermark has passed the hour's end. Then no row of the hour can
-   still come, so it is sorted and followed once, and one summary row comes out: first and
-   last time and page, the session that is open at its end, and its possible login
-   attempts. What depends on earlier hours (the rows before the hour's first session break;
-   redirects at its very start) is marked as relative to them.
+1. A windowed aggregate, keyed by (user, hour), holds the hour's rows and gives them out
+   when the watermark has passed the hour's end. Then no row of the hour can still come, so
+   it is sorted and followed once (``closed_hours``, an Arrow function over many hours at a
+   time) and becomes one summary: first and last time and page, the session that is open at
+   its end, and its possible login attempts. What depends on earlier hours (the rows before the
+   hour's first session break; redirects at its very start) is marked as relative to them.
+   There are as many hours as events where users are many, so no Python state is read or
+   written per hour.
 2. ``HourCarry``, keyed by user: takes one row per hour, in hour order, and passes on the
    carry: open session, its item count, last page, last "previous page", last time. It
-   never sees events. If a batch closes more hours of a user than one Arrow batch holds,
+   never sees events. If a batch closes more than ``HOURS_AT_ONCE`` hours of a user,
    they are parked in a map state and taken out hour by hour. A timer drops the carry once
    no hour that could join its session is open any more.
 3. Built-in expressions unpack the attempts and add the carry.
@@ -29,11 +31,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import chain, islice
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.sessions import is_redirect
@@ -44,17 +48,11 @@ HEARTBEAT_USER = -(2 ** 63)
 # Ids travel as text and keys are never null: a column with nulls reaches pandas as floating
 # point numbers, which lose ids past 2^53 and never equal themselves as keys.
 KEY = "no_user boolean, user_id bigint"
-SUMMARY = (f"{KEY}, hour_end timestamp, first_us bigint, last_us bigint, first_id string, first_redirect boolean, "
-           "open_session string, open_item int, last_page string, last_prev string, last_prev_known boolean, attempts string")
+SUMMARY = ("first_us bigint, last_us bigint, first_id string, first_redirect boolean, open_session string, open_item int, "
+           "last_page string, last_prev string, last_prev_known boolean, attempts string")
 CARRY = "session string, item int, last_page string, last_prev string, last_us bigint"
-OUT = (f"{KEY}, hour_end timestamp, head_session string, head_items int, head_prev string, attempts string, hours int")
-
-
-def _plain(v):
-    """Arrow and numpy scalars as JSON-ready Python values; missing as None."""
-    if v is None or v != v:
-        return None
-    return v.item() if hasattr(v, "item") else v
+OUT = (f"{KEY}, hour_us bigint, head_session string, head_items int, head_prev string, attempts string, hours int")
+HOURS_AT_ONCE = 1000
 
 
 def follow_hour(rows: list[tuple], gap_us: int) -> dict:
@@ -94,102 +92,68 @@ def join_hour(carry: tuple | None, hour: dict, gap_us: int) -> tuple[tuple, tupl
     return new, (session, items, prev)
 
 
-class HourRows(StatefulProcessor):
-    """Rows of one (user, hour) until the watermark closes the hour."""
-
-    def __init__(self, names: list[str], schema: str, hour_us: int, gap_us: int):
-        self.names, self.schema, self.hour_us, self.gap_us = names, schema, hour_us, gap_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.rows = handle.getListState("rows", self.schema)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            self.rows.appendList([tuple(_plain(v) for v in r) for r in pdf[self.names].itertuples(index=False, name=None)])
-        self.handle.registerTimer((int(key[2]) + 1) * self.hour_us // 1000)
-        return iter(())
+def closed_hours(extras: int, gap_us: int):
+    """Arrow function: lists of an hour's rows -> SUMMARY of each."""
+    kind = to_arrow_type(T.StructType.fromDDL(SUMMARY))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        got = [tuple(_plain(v) for v in r) for r in self.rows.get()]
-        self.rows.clear()
-        if got:
+    def follow(hours: pa.Array) -> pa.Array:
+        out = []
+        for rows in hours:
+            got = [(r["us"], r["id"], r["page"], r["redirect"], r["auth"], [r[f"x{i}"] for i in range(extras)])
+                   for r in rows.as_py()]
             # ties by id; rows without an id come first
-            rows = sorted(((*r[:5], r[5:]) for r in got), key=lambda r: (r[0], r[1] is not None, int(r[1] or 0)))
-            yield pd.DataFrame([{"no_user": bool(key[0]), "user_id": int(key[1]),
-                                 "hour_end": pd.Timestamp((int(key[2]) + 1) * self.hour_us, unit="us"),
-                                 **follow_hour(rows, self.gap_us)}])
+            got.sort(key=lambda r: (r[0], r[1] is not None, int(r[1] or 0)))
+            out.append(follow_hour(got, gap_us))
+        return pa.array(out, kind)
 
-    def close(self) -> None:
-        pass
+    return F.arrow_udf(follow, T.StructType.fromDDL(SUMMARY))
 
 
 class HourCarry(StatefulProcessor):
     """Passes a user's open session from hour to hour."""
 
-    FIELDS = ["hour_us", "first_us", "last_us", "first_id", "first_redirect", "open_session", "open_item", "last_page",
-              "last_prev", "last_prev_known", "attempts"]
-    PARKED = ("first_us bigint, last_us bigint, first_id string, first_redirect boolean, open_session string, open_item int, "
-              "last_page string, last_prev string, last_prev_known boolean, attempts string")
+    FIELDS = [f.split()[0] for f in SUMMARY.split(", ")]
 
     def __init__(self, hour_us: int, gap_us: int):
-        self.hour_us, self.gap_us = hour_us, gap_us
+        self.hour_us, self.gap_us, self.at_once = hour_us, gap_us, HOURS_AT_ONCE
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.carry = handle.getValueState("carry", CARRY)
-        self.parked = handle.getMapState("parked", "hour_us bigint", self.PARKED)
-
-    def _hours(self, rows: Iterator[pd.DataFrame]) -> Iterator[dict]:
-        """The hours in order; they are parked in the state if they come in several frames."""
-        first = next(rows, None)
-        second = next(rows, None)
-        records = lambda pdf: ([_plain(v) for v in r] for r in pdf[self.FIELDS].itertuples(index=False, name=None))
-        if second is None:
-            for r in sorted(records(first), key=lambda r: r[0]):
-                yield dict(zip(self.FIELDS, r))
+        self.parked = handle.getMapState("parked", "hour_us bigint", SUMMARY)
+
+    def _hours(self, rows: Iterator[Row]) -> Iterator[tuple[int, dict]]:
+        """The hours in order; they are parked in the state if they are many."""
+        first = list(islice(rows, self.at_once))
+        after = next(rows, None)
+        if after is None:
+            yield from sorted(((r["hour_us"], r["summary"]) for r in first), key=lambda h: h[0])
             return
-        for pdf in self._chain(first, second, rows):
-            for r in records(pdf):
-                self.parked.updateValue((r[0],), tuple(r[1:]))
-        for (hour,) in sorted(tuple(int(x) for x in k) for k in self.parked.keys()):
-            r = [_plain(v) for v in self.parked.getValue((hour,))]
+        for r in chain(first, [after], rows):
+            self.parked.updateValue((r["hour_us"],), tuple(r["summary"][c] for c in self.FIELDS))
+        for hour in sorted(int(k[0]) for k in self.parked.keys()):
+            summary = dict(zip(self.FIELDS, self.parked.getValue((hour,))))
             self.parked.removeKey((hour,))
-            yield dict(zip(self.FIELDS, [hour, *r]))
-
-    @staticmethod
-    def _chain(first, second, rest):
-        yield first
-        yield second
-        yield from rest
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        carry = tuple(_plain(v) for v in self.carry.get()) if self.carry.exists() else None
-        user, out, seen = (bool(key[0]), int(key[1])), [], 0
-        for hour in self._hours(rows):
+            yield hour, summary
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        carry = self.carry.get()
+        seen = 0
+        for hour_us, hour in self._hours(rows):
             carry, (session, items, prev) = join_hour(carry, hour, self.gap_us)
             seen += 1
             if hour["attempts"] != "[]":
-                out.append((*user, pd.Timestamp(hour["hour_us"], unit="us"), session, items, prev, hour["attempts"], seen))
-            if len(out) >= 1000:
-                yield self._frame(out)
-                out = []
+                yield Row(no_user=key[0], user_id=key[1], hour_us=hour_us, head_session=session, head_items=items,
+                          head_prev=prev, attempts=hour["attempts"], hours=seen)
         self.carry.update(carry)
         last_open = (carry[4] + self.gap_us) // self.hour_us + 1  # the last hour that may join ends here
         self.handle.registerTimer(last_open * self.hour_us // 1000)
-        if out:
-            yield self._frame(out)
-
-    @staticmethod
-    def _frame(out: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(out, columns=["no_user", "user_id", "hour_end", "head_session", "head_items", "head_prev",
-                                          "attempts", "hours"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.carry.exists():
-            last_us = int(self.carry.get()[4])
-            if ((last_us + self.gap_us) // self.hour_us + 1) * self.hour_us <= expiredTimerInfo.getExpiryTimeInMs() * 1000:
-                self.carry.clear()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        carry = self.carry.get()
+        if carry is not None and ((carry[4] + self.gap_us) // self.hour_us + 1) * self.hour_us <= \
+                expiredTimerInfo.getExpiryTimeInMs() * 1000:
+            self.carry.clear()
         return iter(())
 
     def close(self) -> None:
@@ -208,16 +172,16 @@ def hourly_auth_attempts_stream(page_views: DataFrame, extras: list[str], user_c
     hour_us, gap_us = hour_seconds * 1_000_000, gap_seconds * 1_000_000
     us = F.unix_micros(ts_col)
     rows = page_views.where(F.col(ts_col).isNotNull()).select(
-        F.col(user_col).isNull().alias("no_user"), F.coalesce(F.col(user_col).cast("long"), F.lit(0)).alias("user_id"), F.floor(us / hour_us).cast("long").alias("hour"), F.col(ts_col).alias("ts"),
+        F.col(user_col).isNull().alias("no_user"), F.coalesce(F.col(user_col).cast("long"), F.lit(0)).alias("user_id"),
+        F.window(ts_col, f"{hour_seconds} seconds").alias("hour"),
         us.alias("us"), F.col(id_col).cast("string").alias("id"), F.col(page_col).alias("page"),
         F.coalesce(is_redirect(status_col), F.lit(False)).alias("redirect"), F.col(auth_col).alias("auth"),
         *[F.col(c).cast("string").alias(f"x{i}") for i, c in enumerate(extras)])
     names = ["us", "id", "page", "redirect", "auth", *[f"x{i}" for i in range(len(extras))]]
-    state = ", ".join(["us bigint", "id string", "page string", "redirect boolean", "auth string",
-                       *[f"x{i} string" for i in range(len(extras))]])
-    hours = rows.groupBy("no_user", "user_id", "hour").transformWithStateInPandas(
-        HourRows(names, state, hour_us, gap_us), SUMMARY, "Append", "EventTime", eventTimeColumnName="hour_end")
-    carried = hours.withColumn("hour_us", F.unix_micros("hour_end")).groupBy("no_user", "user_id").transformWithStateInPandas(
+    hours = rows.groupBy("hour", "no_user", "user_id").agg(F.collect_list(F.struct(*names)).alias("rows"))
+    followed = hours.select("no_user", "user_id", F.window_time("hour").alias("ts"), F.unix_micros("hour.end").alias("hour_us"),
+                            closed_hours(len(extras), gap_us)("rows").alias("summary"))
+    carried = followed.groupBy("no_user", "user_id").transformWithState(
         HourCarry(hour_us, gap_us), OUT, "Append", "EventTime")
     kind = T.ArrayType(T.StructType.fromDDL("event_id string, ts_us bigint, session string, item int, known boolean, prev string, "
                                             "success boolean, extras array<string>"))
