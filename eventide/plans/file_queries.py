@@ -120,14 +120,19 @@ def json_documents(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "json_documents")
     li = A.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     pair = F.concat(F.lit('    ["'), _s("l_partkey"), F.lit('", '), _s("l_quantity"), F.lit("]"))
-    lists = li.groupBy("l_orderkey", F.floor((F.col("l_linenumber") - 1) / 4).alias("b")).agg(
+    # spread before collecting: a list does not shrink in a partial aggregate, which would only
+    # keep the few tasks that read the file busy
+    li = li.withColumn("b", F.floor((F.col("l_linenumber") - 1) / 4)).repartition("l_orderkey", "b")
+    lists = li.groupBy("l_orderkey", "b").agg(
         F.array_join(F.sort_array(F.collect_list(pair)), ",\n").alias("l"))
     doc = F.concat(F.lit('{"track_id": "'), _s("l_orderkey"), F.lit('",\n  "similars": [\n'), F.col("l"), F.lit("\n]}"))
     docs = materialize(lists.select(F.xxhash64("l_orderkey", "b").alias("h"), doc.alias("doc")), "json_documents")
     n_files = docs.count() // 1000 + 1
     text = F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("doc")), ",\n"), F.lit("]"))
-    (docs.groupBy(F.pmod("h", F.lit(n_files)).alias("file")).agg(text.alias("value"))
-     .write.partitionBy("file").text(f"{base}/docs"))
+    # one row is one file, in one flat folder: a folder per file costs the driver a few
+    # file system calls each, at commit and again at listing
+    (docs.groupBy(F.pmod("h", F.lit(n_files)).alias("file")).agg(text.alias("value")).select("value")
+     .write.option("maxRecordsPerFile", 1).text(f"{base}/docs"))
     return catalog.explode_similars(files.read_json_tree(spark, f"{base}/docs", SIMILAR_SCHEMA))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from .. import schemas as S
 
 LATIN1 = "ISO-8859-1"
+WHOLE_FILE = "\x01\x02\x01\x02"
 
 
 def read_event_files(spark: SparkSession, path: str | list[str], topic: str,
@@ -90,9 +91,14 @@ def read_unique_tracks(spark: SparkSession, path: str | list[str],
 def read_json_tree(spark: SparkSession, paths: str | list[str], schema: str | T.StructType,
                    multiline: bool = True) -> DataFrame:
     """A13 + I1: every JSON document under one or more folders (recursive);
-    several roots are one scan (a union of paths)."""
-    return spark.read.schema(schema).options(recursiveFileLookup="true",
-                                             multiLine=str(multiline).lower()).json(paths)
+    several roots are one scan (a union of paths). A multi-line file is one document or
+    an array of them.
+
+    A multi-line file is read as one record that no separator ends (JSON holds no raw control
+    characters), so it is parsed from memory: Spark's ``multiLine`` reader goes back to the
+    file for each number that the schema takes as a string."""
+    options = {"lineSep": WHOLE_FILE} if multiline else {}
+    return spark.read.schema(schema).options(recursiveFileLookup="true", **options).json(paths)
 
 
 def read_listen_counts(spark: SparkSession, path: str | list[str],

@@ -32,3 +32,53 @@ def test_sketch_is_kept_per_window_only(spark, tmp_path):
     start = int(T0.replace(tzinfo=dt.timezone.utc).timestamp())
     got = {(r.unix_timestamp - start) // 3600: (r.users_exact, r.approx_ok) for r in df.collect()}
     assert got == {h: (len(v), True) for h, v in exp.items()} and got[2] == (0, True)
+
+
+def test_hours_need_no_python_state_per_hour(spark, tmp_path, monkeypatch):
+    """One Python state operator, keyed by user; many hours of a user in one batch are parked and taken out."""
+    from eventide.streaming import hourly
+    from eventide.streaming.jobs import state_partitions
+    monkeypatch.setattr(hourly, "HOURS_AT_ONCE", 2)
+    rows = [(i, T0 + dt.timedelta(minutes=25 * i), 1 if i % 4 else None, "Login" if i % 3 else "Home", 200, "Logged In", "paid")
+            for i in range(60)]
+    schema = "event_id long, ts timestamp, user_id long, page string, status int, auth string, level string"
+    frame = spark.createDataFrame(rows, schema)
+    src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    for b in [frame, hourly.heartbeat(frame, rows[-1][1], 2)]:
+        b.coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(frame.schema).parquet(src).withWatermark("ts", "30 minutes")
+        with state_partitions(spark, 2, rocksdb=True):
+            q = hourly.hourly_auth_attempts_stream(stream, ["level"], gap_seconds=3600).writeStream \
+                .option("checkpointLocation", ck).trigger(availableNow=True).start(out, format="parquet")
+            q.awaitTermination()
+    assert sorted(s.operatorName[:18] for s in q.lastProgress.stateOperators) == ["stateStoreSave", "transformWithState"]
+    want = []
+    for user in (None, 1):
+        session, item, page, before = None, 0, None, None
+        for i, ts, _, p, *_ in (r for r in rows if r[2] == user):
+            if before is None or ts - before > dt.timedelta(hours=1):
+                session, item, prev = i, 0, None
+            else:
+                item, prev = item + 1, page
+            if prev == "Login":
+                want.append((i, session, item))
+            page, before = p, ts
+    got = spark.read.parquet(out).select("event_id", "session_id", "item_in_session").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and want
+
+
+def test_multi_line_json_is_parsed_from_memory(spark, tmp_path):
+    """The same rows as Spark's multi-line reader, which goes back to the file for each number read as a string."""
+    from eventide.sources import files
+    docs = ['[{"track_id": "1",\n "similars": [\n ["a", 17.0],\n ["é", 3]\n]},\n{"track_id": "2", "similars": []}]\n',
+            '{"track_id": "3",\n "similars": [["c", 1.10], [7, null]]}', '{"track_id": "4", "similars', "[]", "",
+            '[{"track_id": 5}, {"similars": [[]]}]']
+    for i, d in enumerate(docs):
+        (tmp_path / f"f{i}").mkdir()
+        (tmp_path / f"f{i}" / "x.json").write_text(d, encoding="utf-8")
+    schema = "track_id string, similars array<array<string>>"
+    got = files.read_json_tree(spark, str(tmp_path), schema)
+    want = spark.read.schema(schema).options(recursiveFileLookup="true", multiLine="true").json(str(tmp_path))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    scan = got._jdf.queryExecution().analyzed().collectLeaves().head().relation().options()
+    assert scan.get("multiLine").isEmpty()
