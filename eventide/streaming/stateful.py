@@ -22,8 +22,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.sessions import is_redirect
 from ..session import ship_package
 
 LOGIN = "Login"
@@ -65,40 +67,65 @@ def previous_pages(pdf: pd.DataFrame, page_col: str, status_col: str,
     return pd.Series(vals[grp], dtype=object)
 
 
-def _micros(pdf: pd.DataFrame, ts_col: str) -> np.ndarray:
-    return pd.to_datetime(pdf[ts_col], utc=True).astype("datetime64[us, UTC]").astype("int64").to_numpy()
+US, REDIRECT, SUCCESS = "_us", "_redirect", "_success"
+NO_TIME = -(2 ** 63)  # rows without a time are due at once, and come last among those due
 
 
-def follow_due_rows(pdfs: Iterator[pd.DataFrame], state: GroupState, blank: tuple, ts_col: str, order: list[str],
+def _followed(page_views: DataFrame, ts_col: str, status_col: str, auth_col: str, cols: list[str]) -> DataFrame:
+    """``cols`` once each, the time (kept for the watermark) and the three derived columns."""
+    return page_views.select(*dict.fromkeys([ts_col, *cols]), F.coalesce(F.unix_micros(ts_col), F.lit(NO_TIME)).alias(US),
+                             F.coalesce(is_redirect(status_col), F.lit(False)).alias(REDIRECT),
+                             F.coalesce(F.col(auth_col) == "Logged In", F.lit(False)).alias(SUCCESS))
+
+
+def _tuples(pdf: pd.DataFrame, cols: list[str]) -> list[tuple]:
+    """Rows as plain Python values, missing as None."""
+    lists = [pdf[c].tolist() for c in cols]
+    return list(zip(*[[None if v != v else v for v in x] if pdf[c].dtype.kind == "f" else x for c, x in zip(cols, lists)]))
+
+
+def _place(row: tuple, n: int) -> list[tuple]:
+    """Sort key of the first n fields; missing values come last."""
+    return [(True, 0) if v is None or v == NO_TIME else (False, v) for v in row[:n]]
+
+
+def follow_due_rows(pdfs: Iterator[pd.DataFrame], state: GroupState, blank: tuple, cols: list[str], n_order: int,
                     gap_us: int, follow: Callable) -> Iterator[pd.DataFrame]:
-    """Hold new rows in the state and hand those that the watermark has passed,
-    in ``order``, to ``follow(rows, micros, carry) -> (carry, result or None)``.
+    """Hold new rows (tuples of ``cols``, the first of which is the time in microseconds) in the
+    state and hand those that the watermark has passed, ordered by the first ``n_order`` columns,
+    to ``follow(rows, carry) -> (carry, result or None)``.
 
     The state tuple is (*carry, held rows); the last carry field is the time of
     the last followed row in microseconds."""
     *carry, held = state.get if state.exists else (*blank, None)
-    frames = [pickle.loads(held)] if held else []
+    rows = pickle.loads(held) if held else []
     if not state.hasTimedOut:
-        frames += list(pdfs)
-    if not frames:  # the gap after the last row has passed
+        for pdf in pdfs:
+            rows += _tuples(pdf, cols)
+    if not rows:  # the gap after the last row has passed
         state.remove()
         return
     watermark = state.getCurrentWatermarkMs()
-    pdf = pd.concat(frames, ignore_index=True)
-    due = _micros(pdf, ts_col) <= watermark * 1000
-    ready, rest = pdf[due].sort_values(order, kind="stable").reset_index(drop=True), pdf[~due]
-    if len(ready):
-        carry, result = follow(ready, _micros(ready, ts_col), tuple(carry))
+    ready = [r for r in rows if r[0] <= watermark * 1000]
+    rest = [r for r in rows if r[0] > watermark * 1000] if ready else rows
+    if ready:
+        ready.sort(key=lambda r: _place(r, n_order))
+        carry, result = follow(ready, tuple(carry))
         if result is not None and len(result):
             yield result
-    state.update((*carry, pickle.dumps(rest.reset_index(drop=True)) if len(rest) else None))
-    if len(rest):
-        wake = -(-int(_micros(rest, ts_col).min()) // 1000) - 1
+    state.update((*carry, pickle.dumps(rest) if rest else None))
+    if rest:
+        wake = -(-min(r[0] for r in rest) // 1000) - 1
     else:
         wake = (carry[-1] + gap_us) // 1000 + 1
     state.setTimeoutTimestamp(max(wake, watermark + 1))
 
 
+def _with_time(out: DataFrame, ts_col: str, out_cols: list[str], more: list[str]) -> DataFrame:
+    """The output columns; the time left the state as microseconds."""
+    return out.select(*[F.when(F.col(c) != NO_TIME, F.timestamp_micros(c)).alias(c) if c == ts_col else F.col(c) for c in out_cols], *more)
+
+
 def auth_attempts_stream(page_views: DataFrame, session_col: str = "session_id",
                          ts_col: str = "ts", item_col: str = "item_in_session",
                          page_col: str = "page", status_col: str = "status",
@@ -113,26 +140,34 @@ def auth_attempts_stream(page_views: DataFrame, session_col: str = "session_id",
     out_cols = out_cols or [c for c in page_views.columns
                             if c not in (page_col, status_col, auth_col, "method", "artist",
                                          "song", "duration")]
-    types = dict(page_views.dtypes)
+    types = {**dict(page_views.dtypes), ts_col: "bigint"}
     out_schema = ", ".join([f"`{c}` {types[c]}" for c in out_cols] + ["success boolean"])
     gap_us = _gap_ms(gap) * 1000
-
-    def follow(pdf, us, carry):
-        sess, last_page, last_prev, _ = carry
-        prev = previous_pages(pdf, page_col, status_col, last_page, last_prev, session_col, sess)
-        hit = (prev == LOGIN).to_numpy()
-        res = pdf.loc[hit, out_cols].copy()
-        res["success"] = (pdf.loc[hit, auth_col] == "Logged In").to_numpy()
-        last = pdf[session_col].iloc[-1]
-        return (None if pd.isna(last) else int(last), pdf[page_col].iloc[-1], prev.iloc[-1], int(us[-1])), res
+    cols = list(dict.fromkeys([US, session_col, item_col, page_col, REDIRECT, SUCCESS, *(c for c in out_cols if c != ts_col)]))
+    out_at = [cols.index(US if c == ts_col else c) for c in out_cols]
+
+    def follow(rows, carry):
+        sess, page_before, prev, us = carry
+        out = []
+        for r in rows:
+            us, s, _, page, redirect, ok = r[:6]
+            if s is None or s != sess:
+                prev = None
+            elif not redirect:
+                prev = page_before
+            if prev == LOGIN:
+                out.append((*[r[i] for i in out_at], ok))
+            sess, page_before = s, page
+        return (None if sess is None else int(sess), page_before, prev, us), pd.DataFrame(out, columns=[*out_cols, "success"])
 
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        yield from follow_due_rows(pdfs, state, (None, None, None, None), ts_col,
-                                   [ts_col, session_col, item_col], gap_us, follow)
+        yield from follow_due_rows(pdfs, state, (None, None, None, None), cols, 3, gap_us, follow)
 
     ship_package(page_views.sparkSession)
-    return page_views.groupBy(user_col).applyInPandasWithState(
+    need = [c for c in cols if c not in (US, REDIRECT, SUCCESS)]
+    out = _followed(page_views, ts_col, status_col, auth_col, [user_col, *need]).groupBy(user_col).applyInPandasWithState(
         step, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    return _with_time(out, ts_col, out_cols, ["success"])
 
 
 def _gap_ms(gap: str) -> int:
@@ -159,30 +194,35 @@ def sessionized_auth_attempts_stream(page_views: DataFrame, user_col: str = "use
     """
     out_cols = out_cols or [c for c in page_views.columns
                             if c not in (page_col, status_col, auth_col)]
-    types = dict(page_views.dtypes)
+    types = {**dict(page_views.dtypes), ts_col: "bigint"}
     out_schema = ", ".join([f"`{c}` {types[c]}" for c in out_cols] +
                            ["session_id bigint", "item_in_session int", "success boolean"])
     gap_us = int(gap_seconds) * 1_000_000
-
-    def follow(pdf, us, carry):
-        sess, item, last_page, last_prev, last_us = carry
-        new = np.r_[last_us is None or us[0] - last_us > gap_us, us[1:] - us[:-1] > gap_us]
-        at = np.arange(len(pdf))
-        start = np.maximum.accumulate(np.where(new, at, -1))  # -1: the open session goes on
-        ids = pdf[id_col].to_numpy()
-        sid = np.where(start < 0, sess if sess is not None else 0, ids[start])
-        item_no = np.where(start < 0, (item if item is not None else -1) + 1 + at, at - start)
-        prev = previous_pages(pdf.assign(_sid=sid), page_col, status_col, last_page, last_prev, "_sid", sess)
-        hit = (prev == LOGIN).to_numpy()
-        res = pdf.loc[hit, out_cols].copy()
-        res["session_id"] = sid[hit]
-        res["item_in_session"] = item_no[hit].astype("int32")
-        res["success"] = (pdf.loc[hit, auth_col] == "Logged In").to_numpy()
-        return (int(sid[-1]), int(item_no[-1]), pdf[page_col].iloc[-1], prev.iloc[-1], int(us[-1])), res
+    cols = list(dict.fromkeys([US, id_col, page_col, REDIRECT, SUCCESS, *(c for c in out_cols if c != ts_col)]))
+    out_at = [cols.index(US if c == ts_col else c) for c in out_cols]
+
+    def follow(rows, carry):
+        sess, item, page_before, prev, us_before = carry
+        out = []
+        for r in rows:
+            us, rid, page, redirect, ok = r[:5]
+            # rows without a time open a session; the rows that come after it join it
+            if us_before is None or (us_before != NO_TIME and (us == NO_TIME or us - us_before > gap_us)):
+                sess, item, prev = rid, 0, None
+            else:
+                item += 1
+                prev = prev if redirect else page_before
+            if prev == LOGIN:
+                out.append((*[r[i] for i in out_at], sess, item, ok))
+            page_before, us_before = page, us
+        return (sess, item, page_before, prev, us_before), pd.DataFrame(
+            out, columns=[*out_cols, "session_id", "item_in_session", "success"])
 
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        yield from follow_due_rows(pdfs, state, (None, None, None, None, None), ts_col, [ts_col, id_col], gap_us, follow)
+        yield from follow_due_rows(pdfs, state, (None, None, None, None, None), cols, 2, gap_us, follow)
 
     ship_package(page_views.sparkSession)
-    return page_views.groupBy(user_col).applyInPandasWithState(
+    need = [c for c in cols if c not in (US, REDIRECT, SUCCESS)]
+    out = _followed(page_views, ts_col, status_col, auth_col, [user_col, *need]).groupBy(user_col).applyInPandasWithState(
         step, out_schema, SESSION_STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    return _with_time(out, ts_col, out_cols, ["session_id", "item_in_session", "success"])

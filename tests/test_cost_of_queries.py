@@ -82,3 +82,27 @@ def test_multi_line_json_is_parsed_from_memory(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     scan = got._jdf.queryExecution().analyzed().collectLeaves().head().relation().options()
     assert scan.get("multiLine").isEmpty()
+
+
+def test_python_state_gets_needed_columns_only(spark, tmp_path):
+    """Each column costs a conversion per user and batch. Rows without a time open a session of their user."""
+    from eventide.streaming.jobs import run_until_done, state_partitions
+    from eventide.streaming.stateful import sessionized_auth_attempts_stream
+    at = lambda m: T0 + dt.timedelta(minutes=m)
+    rows = [(1, at(0), 1, "Login", 200, "Logged In", "a"), (2, at(1), 1, "Home", 200, "Logged In", "b"),
+            (3, at(2), 1, "Login", 307, None, "c"), (4, at(40), 1, "Home", 200, "Out", "d"),
+            (5, None, 2, "Login", 200, "Out", "e"), (6, None, 2, "Home", None, "Out", "f"), (7, at(600), 3, "Home", 200, "Out", "g")]
+    schema = "event_id long, ts timestamp, user_id long, page string, status int, auth string, level string"
+    src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    spark.createDataFrame(rows, schema).withColumn("unused", F.lit("x")).coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(schema + ", unused string").parquet(src).withWatermark("ts", "30 minutes")
+    q = sessionized_auth_attempts_stream(stream, out_cols=["event_id", "ts", "level"])
+    state = q._jdf.queryExecution().analyzed().toString()
+    given = next(x for x in state.splitlines()[state.splitlines().index(next(
+        x for x in state.splitlines() if "WithState" in x)) + 1:] if "Project" in x)
+    assert "unused" not in given and "level" in given
+    with state_partitions(spark, 2, rocksdb=True):
+        run_until_done(q.writeStream.option("checkpointLocation", ck).trigger(availableNow=True).start(out, format="parquet"))
+    got = spark.read.parquet(out).select("event_id", F.col("ts").isNull(), "level", "session_id", "item_in_session", "success")
+    assert sorted(map(tuple, got.collect())) == [(2, False, "b", 1, 1, True), (3, False, "c", 1, 2, False),
+                                                 (6, True, "f", 5, 1, False)]
