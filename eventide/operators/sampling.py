@@ -7,9 +7,10 @@ interval; the lookup is a range join done as an equi-join on a range bucket.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import hint_if_small, materialize
 from .segmented import BUCKET, Scan, add_range_bucket, add_value_bucket, ordered_scan
 
 
@@ -87,37 +88,62 @@ def weighted_pick(keys: DataFrame, k_col: str, items: DataFrame, item_col: str,
     return range_lookup(keys, k_col, ranges, width)
 
 
+# a list of up to this many ranges is compared whole with each request on its item; at some
+# nanoseconds a range this is cheaper than moving the request once more
+SHORT_LIST = 128
+
+
 def next_items(requests: DataFrame, item_col: str, k_expr, similar: DataFrame,
                all_items: DataFrame, weight_col: str = "weight",
                order_col: str = "order_key", out: str = "next_item",
-               bucket_width: int = 1 << 20) -> DataFrame:
+               bucket_width: int = 1 << 20, short_list: int = SHORT_LIST) -> DataFrame:
     """H5: for each request on ``item_col``, draw the next item from that
     item's weighted similar list when it has one, else from all items.
 
     ``similar``: (item, similar item as ``out``, weight, order_key).
     ``all_items``: (``out``, weight, order_key). ``k_expr(total)`` maps a
-    request row and a total weight to a draw on [0, total). Both lookups are
-    bucketed range joins; the per-item ranges come from a two-level prefix
-    sum keyed by item, so a hot item is split by its order buckets.
+    request row and a total weight to a draw on [0, total), without ``rand()``.
+
+    Lists of up to ``short_list`` rows get their ranges from one window and are
+    written; a request meets them in one join on the item, of two plain tables,
+    so AQE can split an item that is asked for often. Longer lists are bucketed
+    range joins; their ranges come from a two-level prefix sum keyed by item, so
+    a hot item is split by its order buckets. So is the lookup in all items.
     """
-    totals = similar.groupBy(item_col).agg(
-        F.sum(F.col(weight_col).cast("long")).alias("_tot"),
-        F.count(F.lit(1)).alias("_n"))
+    weight = F.col(weight_col).cast("long")
     # a bucket width per item (its total over its list length) keeps the
     # copied ranges within about three times the list length
-    totals = totals.withColumn("_w", F.greatest(F.lit(1).cast("long"),
-                                                F.ceil(F.col("_tot") / F.col("_n")).cast("long")))
-    sim = prefix_ranges(similar, weight_col, order_col, keys=[item_col], bucket_width=bucket_width)
-    sim = sim.join(totals.select(item_col, "_w"), item_col)
-    req = requests.join(totals, item_col, "left")
-    with_sim = req.where(F.col("_tot").isNotNull()).withColumn("_k", k_expr(F.col("_tot")))
+    totals = materialize(similar.groupBy(item_col).agg(
+        F.sum(weight).alias("_tot"), F.count(F.lit(1)).alias("_n")), "list_totals")
+    long_lists = hint_if_small(totals.where(F.col("_n") > short_list).select(
+        item_col, "_tot", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("_tot") / F.col("_n")).cast("long")).alias("_w")))
+
+    w = Window.partitionBy(item_col).orderBy(order_col)
+    up, down = Window.unboundedPreceding, Window.unboundedFollowing
+    short = similar.join(long_lists, item_col, "left_anti").select(
+        F.col(item_col).alias("_item"), F.col(out).alias("_out"), weight.alias("_weight"),
+        F.coalesce(F.sum(weight).over(w.rowsBetween(up, -1)), F.lit(0).cast("long")).alias("_lo"),
+        F.sum(weight).over(w.rowsBetween(up, down)).alias("_tot"))
+    short = materialize(short.where(F.col("_weight") > 0).select(
+        "_item", "_out", "_lo", (F.col("_lo") + F.col("_weight")).alias("_hi"), "_tot"), "short_lists")
+    k = k_expr(F.col("_tot"))
+    first = requests.join(short, (F.col(item_col) == F.col("_item")) & (k >= F.col("_lo")) & (k < F.col("_hi")), "left")
+    # the ranges of an item do not overlap: one row for each request
+    first = materialize(first.select(*requests.columns, F.col("_out").alias(out),
+                                     F.col("_item").isNotNull().alias("_hit")), "short_picks")
+    req = first.where(~F.col("_hit")).select(*requests.columns)
+
+    sim = prefix_ranges(similar.join(long_lists.select(item_col), item_col, "left_semi"),
+                        weight_col, order_col, keys=[item_col], bucket_width=bucket_width)
+    sim = sim.join(long_lists.select(item_col, "_w"), item_col)
+    with_sim = req.join(long_lists, item_col).where(F.col("_tot").isNotNull()).withColumn("_k", k_expr(F.col("_tot")))
     hit = range_lookup(with_sim, "_k", sim.select(item_col, out, "lo", "hi", "_w"), "_w",
                        group=[item_col])
     glob = prefix_ranges(all_items, weight_col, order_col, bucket_width=bucket_width)
     total = total_weight(all_items, weight_col)
     n = all_items.agg(F.count(F.lit(1))).scalar()
     width = F.greatest(F.lit(1).cast("long"), F.ceil(total / n).cast("long"))
-    rest = req.where(F.col("_tot").isNull()).withColumn("_k", k_expr(total))
+    rest = req.join(totals.where(F.col("_tot").isNotNull()), item_col, "left_anti").withColumn("_k", k_expr(total))
     miss = range_lookup(rest, "_k", glob.select(out, "lo", "hi"), width)
     cols = [*requests.columns, out]
-    return hit.select(*cols).unionByName(miss.select(*cols))
+    return first.where("_hit").select(*cols).unionByName(hit.select(*cols)).unionByName(miss.select(*cols))

@@ -346,8 +346,8 @@ def listen_counts(spark, sf):
     return catalog.track_listen_counts(*_tracks(spark, sf))
 
 
-def _similar_rows(spark, sf) -> DataFrame:
-    """(track, similar, score) rows from orders: the first line's part of
+def _similar_keys(spark, sf) -> DataFrame:
+    """(src_part, l_partkey, l_quantity) rows from orders: the first line's part of
     each order is the track, each later line one similar pair."""
     li = A.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
                                                "l_quantity")
@@ -355,8 +355,13 @@ def _similar_rows(spark, sf) -> DataFrame:
     # lines meet it in a join that can split them, not in one window task
     heads = materialize(li.groupBy("l_orderkey").agg(
         F.min(F.struct("l_linenumber", "l_partkey")).alias("_first")), "order_heads")
-    j = li.join(heads, "l_orderkey").where(F.col("l_linenumber") != F.col("_first.l_linenumber")) \
-        .withColumn("src_part", F.col("_first.l_partkey"))
+    j = li.join(heads, "l_orderkey").where(F.col("l_linenumber") != F.col("_first.l_linenumber"))
+    return j.select(F.col("_first.l_partkey").alias("src_part"), "l_partkey", "l_quantity")
+
+
+def _similar_rows(spark, sf) -> DataFrame:
+    """:func:`_similar_keys` as (track, similar, score) rows."""
+    j = _similar_keys(spark, sf)
     return j.select(F.concat(F.lit("TR"), F.col("src_part").cast("string")).alias("track_id"),
                     F.concat(F.lit("TR"), F.col("l_partkey").cast("string")).alias("similar_id"),
                     F.col("l_quantity").alias("score"))
@@ -449,25 +454,21 @@ def next_track(spark, sf):
     played tracks when it has none. Draw key: (orderkey*7919 + line*31 +
     partkey) mod total, so SQL can repeat it."""
     from ..operators.sampling import next_items
-    num = lambda c: F.regexp_extract(F.col(c), r"TR(\d+)", 1).cast("long")
+    # a track is moved and sorted by the number in its id, which is its part's key
+    track = lambda c: F.concat(F.lit("TR"), F.col(c).cast("string"))
     # the two reference tables are built once and read back (they are used
     # by several branches of the plan)
-    counts = materialize(listen_counts(spark, sf), "listen_counts")
-    pairs = _similar_rows(spark, sf).select("track_id", "similar_id").distinct()
-    similar = pairs.join(counts.select(F.col("track_id").alias("similar_id"),
-                                       F.col("count").alias("weight")), "similar_id") \
-        .select("track_id", F.col("similar_id").alias("next_track"), "weight",
-                num("similar_id").alias("order_key"))
+    counts = materialize(listen_counts(spark, sf).select(
+        F.substring("track_id", 3, 20).cast("long").alias("next_part"), F.col("count").alias("weight")), "listen_counts")
+    pairs = _similar_keys(spark, sf).select("src_part", F.col("l_partkey").alias("next_part")).distinct()
+    similar = pairs.join(counts, "next_part").select(F.col("src_part").alias("l_partkey"), "next_part", "weight")
     similar = materialize(similar, "similar_lists")
-    all_items = counts.select(F.col("track_id").alias("next_track"),
-                              F.col("count").alias("weight"), num("track_id").alias("order_key"))
-    li = A.table(spark, sf, "lineitem")
-    req = li.select("l_orderkey", "l_linenumber", "l_partkey",
-                    F.concat(F.lit("TR"), F.col("l_partkey").cast("string")).alias("track_id"))
+    req = A.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     key = (F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 31 + F.col("l_partkey"))
-    out = next_items(req, "track_id", lambda tot: F.pmod(key, tot), similar, all_items,
-                     out="next_track", bucket_width=256)
-    return out.select("l_orderkey", "l_linenumber", "track_id", "next_track")
+    out = next_items(req, "l_partkey", lambda tot: F.pmod(key, tot), similar, counts,
+                     order_col="next_part", out="next_part", bucket_width=256)
+    return out.select("l_orderkey", "l_linenumber", track("l_partkey").alias("track_id"),
+                      track("next_part").alias("next_track"))
 
 
 QUERIES = {

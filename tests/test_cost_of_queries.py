@@ -106,3 +106,77 @@ def test_python_state_gets_needed_columns_only(spark, tmp_path):
     got = spark.read.parquet(out).select("event_id", F.col("ts").isNull(), "level", "session_id", "item_in_session", "success")
     assert sorted(map(tuple, got.collect())) == [(2, False, "b", 1, 1, True), (3, False, "c", 1, 2, False),
                                                  (6, True, "f", 5, 1, False)]
+
+
+def _brute_next(requests, similar, every, key):
+    """Python's own draw: similar holds (item, next, weight), every (next, weight)."""
+    lists = {}
+    for item, nxt, w in similar:
+        if item is not None:
+            lists.setdefault(item, []).append((nxt, w))
+    out = []
+    for r in requests:
+        ranges = sorted(lists.get(r[-1], every))
+        k = key(r) % sum(w for _, w in ranges)
+        for nxt, w in ranges:
+            if k < w:
+                out.append((*r, nxt))
+                break
+            k -= w
+    return sorted(out, key=str)
+
+
+def _watch_lookups(monkeypatch):
+    """Rows that the bucketed lookups get: [(grouped, requests, ranges)]."""
+    from eventide.operators import sampling
+    seen, plain = [], sampling.range_lookup
+
+    def watched(keys, k_col, ranges, width, group=None):
+        seen.append((bool(group), keys.count(), ranges.count()))
+        return plain(keys, k_col, ranges, width, group)
+    monkeypatch.setattr(sampling, "range_lookup", watched)
+    return seen
+
+
+def test_next_items_with_short_long_and_no_lists(spark, monkeypatch):
+    """Only lists over the bound, and requests on them, are copied into buckets; every request gets its draw."""
+    from eventide.operators import sampling
+    length = {"a": 1, "b": 3, "c": 4, "d": 40, None: 2}
+    similar = [(i, n * 7, (n * 5 + len(i or "")) % 4 + (n == 0)) for i, m in length.items() for n in range(m)]
+    every = [(n, n % 3) for n in range(1, 60)]
+    requests = [(j, "abcde"[j % 5] if j % 7 else None) for j in range(700)]
+    seen = _watch_lookups(monkeypatch)
+    df = sampling.next_items(
+        spark.createDataFrame(requests, "id long, item string"), "item", lambda tot: F.pmod(F.col("id") * 7919, tot),
+        spark.createDataFrame([(*r, r[1]) for r in similar], "item string, next long, weight long, order_key long"),
+        spark.createDataFrame([(*r, r[0]) for r in every], "next long, weight long, order_key long"),
+        out="next", bucket_width=16, short_list=3)
+    assert df.columns == ["id", "item", "next"]
+    assert sorted(map(tuple, df.collect()), key=str) == _brute_next(requests, similar, every, lambda r: r[0] * 7919)
+    on = lambda items: sum(r[1] in items for r in requests)
+    assert seen == [(True, on(("c", "d")), 44), (False, on(("e", None)), len(every))]
+
+
+def test_next_track_draws_from_short_lists_in_one_join(spark, tmp_path, monkeypatch):
+    """Lists of a few tracks are not copied into buckets, nor are the order lines that ask for them moved again."""
+    from eventide.plans.queries import next_track
+    lines = [(o, o * (n + 3) % 17 if (o + n) % 11 else None, n, float(1 + (o + n) % 5)) for o in range(60) for n in range(o % 5)]
+    lines += lines[:8] + [(900, 19, 1, 2.0), (901, 40, 1, 2.0), (901, 3, 2, 1.0)]  # rows twice, a track without a list, an unknown part
+    parts = [(p, f"part {p}", "Brand", p) for p in range(20)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double") \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    plays, heads = {}, {}
+    for o, p, n, q in lines:
+        heads[o] = min(heads.get(o, (n, p)), (n, p), key=lambda x: (x[0], -1 if x[1] is None else x[1]))
+        if p is not None and p < 20:
+            plays[p] = plays.get(p, 0) + int(q)
+    pairs = {(heads[o][1], p) for o, p, n, _ in lines if n != heads[o][0] and p in plays}
+    key = lambda r: r[0] * 7919 + r[1] * 31 + (r[2] or 0)
+    requests = [(o, n, p) for o, p, n, _ in lines if p is not None]
+    exp = _brute_next(requests, [(t, s, plays[s]) for t, s in pairs], list(plays.items()), key)
+    seen = _watch_lookups(monkeypatch)
+    got = next_track(spark, str(tmp_path)).collect()
+    assert sorted(((r.l_orderkey, r.l_linenumber, int(r.track_id[2:]), int(r.next_track[2:])) for r in got), key=str) == exp
+    tracks = {t for t, _ in pairs if t is not None}
+    assert seen == [(True, 0, 0), (False, sum(r[1] not in tracks for r in lines), len(plays))]
